@@ -1 +1,43 @@
-"""Streaming queries."""
+"""The stream against the batch answer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.registry import RULES_E, query
+from entityhealth.schemas import struct
+from entityhealth.session import scratch_path
+from entityhealth.streaming import daily_scores
+
+EVENTS = struct(
+    event_id="bigint", ts="timestamp_ntz", user_id="bigint", event_type="string", value="double", props="string"
+)
+
+
+@query(
+    "stream_daily_scores",
+    """WITH known AS (
+      SELECT event_id, user_id AS entity_id, CAST(ts AS DATE) AS date, event_type AS category, value,
+        CASE event_type WHEN 'click' THEN (value - 50) / 40 WHEN 'view' THEN (value - 45) / 35
+                        WHEN 'purchase' THEN (value - 50) / 50 ELSE (value - 30) / 30 END AS value_zscore
+      FROM events WHERE event_type IN ('click', 'view', 'purchase', 'error'))
+    SELECT event_id, entity_id, date, category, value, value_zscore,
+      CAST(CASE WHEN abs(value_zscore) > 2 THEN 2 ELSE 0 END AS INTEGER) AS risk_score
+    FROM (SELECT *, row_number() OVER (PARTITION BY entity_id, date ORDER BY event_id DESC) AS rn FROM known)
+    WHERE rn = 1""",
+)
+def stream_daily_scores(spark, sf):
+    """Events scored as a stream and appended by day; the last of each entity and day."""
+    out, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "scores-progress")
+    events = daily_scores.read_landed(spark, sf, EVENTS, "events.parquet")
+    readings = events.select(
+        "event_id",
+        F.col("user_id").alias("entity_id"),
+        F.col("ts").cast("date").alias("date"),
+        F.col("event_type").alias("category"),
+        "value",
+    )
+    scored = daily_scores.score_stream(readings, RULES_E, "category")
+    daily_scores.append_scores(scored, out, checkpoint).awaitTermination()
+    last = daily_scores.current(spark, out, ["entity_id", "date"], ["event_id"])
+    return last.select("event_id", "entity_id", "date", "category", "value", "value_zscore", "risk_score")
