@@ -151,10 +151,22 @@ def species_union(spark, sf):
 def level_distribution(spark, sf):
     """Alerts of the last day per level, zeros kept, in order of severity."""
     alerts = scoring.alerts(scored_e(spark, sf)).select("date", "health_alert_level")
-    counts = joins.count_by_domain(aggregates.latest_date_rows(alerts), "health_alert_level", LEVELS)
+    counts = aggregates.latest_level_distribution(alerts, LEVELS)
     return counts.withColumn("colour", levels.level_colour(F.col("health_alert_level")))
 
 
+@query(
+    "count_by_domain",
+    f"""WITH {SCORED_L}, domain(position, health_alert_level) AS (VALUES (0, 'Đỏ (Nguy cơ cao)'), (1, 'Cam (Cảnh báo)'),
+      (2, 'Vàng (Theo dõi)'), (3, 'Xanh (Bình thường)'), (4, 'unknown'))
+    SELECT CAST(position AS INTEGER) AS position, d.health_alert_level, count(s.order_id) AS n
+    FROM domain d LEFT JOIN scored s USING (health_alert_level) GROUP BY ALL""",
+)
+def count_by_domain(spark, sf):
+    """Scored readings per value of a given list, zeros kept."""
+    return joins.count_by_domain(scored_l(spark, sf), "health_alert_level", [*LEVELS, "unknown"])
+
+
 @query(
     "flag_counts",
     f"""WITH {SCORED_E}, alerts AS (SELECT * FROM scored WHERE risk_score > 0),
@@ -167,8 +179,8 @@ def level_distribution(spark, sf):
 def flag_counts(spark, sf):
     """Alerts of the last day with and without each note signal."""
     alerts = scoring.alerts(scored_e(spark, sf)).select("date", "note_is_stressful", "note_is_illness_related")
-    return aggregates.flag_counts(
-        aggregates.latest_date_rows(alerts), {"note_is_stressful": "Stress", "note_is_illness_related": "Bệnh tật"}
+    return aggregates.latest_flag_counts(
+        alerts, {"note_is_stressful": "Stress", "note_is_illness_related": "Bệnh tật"}
     )
 
 

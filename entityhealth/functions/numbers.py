@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 
 def to_number(text: Column, kind: str = "double") -> Column:
-    """NULL where the text is no number."""
-    return text.try_cast(kind)
+    """NULL where the text is no number; NaN counts as missing.
+
+    Whole numbers may be written with decimals (`3.0`), which are cut.
+    """
+    number = text.try_cast(kind)
+    if kind in ("double", "float"):
+        return F.when(~F.isnan(number), number)
+    return F.coalesce(number, text.try_cast("double").try_cast(kind))
 
 
 def zscore(value: Column, mean: Column, std: Column) -> Column:
@@ -21,15 +27,17 @@ def is_outlier(z: Column, limit: float) -> Column:
     return F.coalesce(F.abs(z) > F.lit(limit), F.lit(False))
 
 
-def exact_sum(value: Column, scale: int = 6) -> Column:
-    """A sum in decimals: the same for every order in which the rows arrive.
-
-    Sums of doubles depend on that order in the last digits, so a retried task
-    could change a rounded report.
-    """
-    return F.sum(value.cast(f"decimal(18,{scale})"))
+def scaled(value: Column, scale: int = 6) -> Column:
+    """The value in units of 10^-scale, as a whole number."""
+    return F.rint(value * 10.0**scale).cast("bigint").cast("decimal(18,0)")
 
 
 def mean_half_up(value: Column, places: int = 2, scale: int = 6) -> Column:
-    """The mean rounded half-up, from an exact sum."""
-    return F.round(exact_sum(value, scale) / F.count(value), places).cast("double")
+    """The mean rounded half-up, from an exact sum of values with up to `scale` decimals.
+
+    Sums of doubles depend in the last digits on the order in which rows
+    arrive, so a retried task could change a rounded report. Whole numbers add
+    up the same in any order.
+    """
+    mean = F.sum(scaled(value, scale)) / F.count(value)
+    return F.round(mean, places - scale).cast("double") / 10.0**scale

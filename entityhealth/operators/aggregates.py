@@ -15,28 +15,30 @@ def _struct_rows(df: DataFrame, rows: list[list[Column]]) -> DataFrame:
     return df.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
 
 
-def trend_by(
-    df: DataFrame, keys: Sequence[str | Column], metrics: Mapping[str, str], count: str | None = None
-) -> DataFrame:
+def _means(metrics: Mapping[str, str]) -> list[Column]:
+    return [numbers.mean_half_up(F.col(c)).alias(out) for c, out in metrics.items()]
+
+
+def trend_by(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, str]) -> DataFrame:
     """Means rounded half-up to 2 places per group, ordered by group.
 
-    `metrics` maps columns to report names; `count` names a row count.
+    `metrics` maps columns to report names.
     """
-    aggs = [numbers.mean_half_up(F.col(c)).alias(out) for c, out in metrics.items()]
-    if count:
-        aggs.append(F.count("*").alias(count))
-    grouped = df.groupBy(*keys).agg(*aggs)
-    return grouped.orderBy(*grouped.columns[: len(keys)])
+    return df.groupBy(*keys).agg(*_means(metrics)).orderBy(*keys)
 
 
 def trend_by_month(
-    df: DataFrame,
-    category: str,
-    day: str,
-    metrics: Mapping[str, str],
-    count: str = "total_records",
+    df: DataFrame, category: str, day: str, metrics: Mapping[str, str], count: str = "total_records"
 ) -> DataFrame:
-    return trend_by(df, [F.col(category), dates.year_month(F.col(day)).alias("year_month")], metrics, count)
+    """The same per category and month, with the number of rows.
+
+    Rows are grouped by the first of the month; only the groups are formatted.
+    """
+    months = df.groupBy(category, F.trunc(day, "month").alias("_month")).agg(
+        *_means(metrics), F.count("*").alias(count)
+    )
+    out = months.withColumn("year_month", dates.year_month(F.col("_month")))
+    return out.select(category, "year_month", *metrics.values(), count).orderBy(category, "year_month")
 
 
 def describe_metrics(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
@@ -122,14 +124,34 @@ def daily_mean(df: DataFrame, metrics: Sequence[str], entity: str = "pet_id", da
     return grouped.select(*cols)
 
 
-def flag_counts(df: DataFrame, flags: Mapping[str, str]) -> DataFrame:
-    """Rows with and without each flag. `flags` maps columns to labels; an absent column counts nothing."""
-    aggs, rows = [F.count("*").alias("_n")], []
+def _last_day(df: DataFrame, day: str, aggs: Sequence[Column]) -> DataFrame:
+    """Counts of the last day, from one pass that counts every day."""
+    return df.groupBy(day).agg(*aggs).orderBy(F.col(day).desc_nulls_last()).limit(1)
+
+
+def latest_level_distribution(
+    df: DataFrame, domain: Sequence[str], column: str = "health_alert_level", day: str = "date", out: str = "n"
+) -> DataFrame:
+    """Rows of the last day per level, in the order of `domain`, zeros kept."""
+    counts = [F.count_if(F.col(column) == level).alias(f"n{i}") for i, level in enumerate(domain)]
+    rows = [
+        [F.lit(i).alias("position"), F.lit(level).alias(column), F.col(f"n{i}").alias(out)]
+        for i, level in enumerate(domain)
+    ]
+    return _struct_rows(_last_day(df, day, counts), rows)
+
+
+def latest_flag_counts(df: DataFrame, flags: Mapping[str, str], day: str = "date") -> DataFrame:
+    """Rows of the last day with and without each flag.
+
+    `flags` maps columns to labels; an absent column counts nothing.
+    """
+    aggs, rows = [], []
     for i, (c, label) in enumerate(flags.items()):
         present = F.col(c) if c in df.columns else F.lit(None).cast("boolean")
         aggs += [F.count_if(present).alias(f"yes{i}"), F.count_if(~present).alias(f"no{i}")]
         rows.append([F.lit(label).alias("signal"), F.col(f"yes{i}").alias("noted"), F.col(f"no{i}").alias("not_noted")])
-    return _struct_rows(df.agg(*aggs), rows)
+    return _struct_rows(_last_day(df, day, aggs), rows)
 
 
 def latest_date(df: DataFrame, day: str = "date") -> DataFrame:

@@ -56,18 +56,36 @@ SHORT = FeatureSpec(
 RAW = FeatureSpec(METRICS, (), ("species", "breed"))
 
 
+def category_indexes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`(column, value, n, index)`: values of all columns in one pass, numbered by falling count.
+
+    Ties are in text order. An index counts from 0 within its column.
+    """
+    values = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    counts = counts_by(values.where(F.col("value").isNotNull()), "column", "value")
+    ranked = ordered_index(counts, [F.col("column"), F.col("n").desc(), F.col("value")], "_place")
+    first = ranked.groupBy("column").agg(F.min("_place").alias("_first"))
+    return ranked.join(F.broadcast(first), "column").select(
+        "column", "value", "n", (F.col("_place") - F.col("_first")).alias("index")
+    )
+
+
 def category_index(df: DataFrame, column: str) -> DataFrame:
-    """Category, count and index by falling count; ties in text order."""
-    counts = counts_by(df.where(F.col(column).isNotNull()), column)
-    return ordered_index(counts, [F.col("n").desc(), F.col(column)], f"{column}_index")
+    """Category, count and index of one column."""
+    return category_indexes(df, [column]).select(
+        F.col("value").alias(column), "n", F.col("index").alias(f"{column}_index")
+    )
 
 
-def with_category_index(df: DataFrame, column: str, index: DataFrame | None = None) -> DataFrame:
-    """Every row with its category's index as double; unseen and NULL get the next free one."""
-    name = f"{column}_index"
-    table = (category_index(df, column) if index is None else index).select(column, name)
-    unseen = table.agg(F.count("*").alias("n")).scalar()
-    return df.join(table, column, "left").withColumn(name, F.coalesce(F.col(name), unseen).cast("double"))
+def with_category_indexes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every row with its categories' indexes as double; unseen and NULL get the next free one."""
+    indexes = category_indexes(df, columns)
+    for c in columns:
+        name = f"{c}_index"
+        table = indexes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("index").alias(name))
+        unseen = table.agg(F.count("*").alias("n")).scalar()
+        df = df.join(table, c, "left").withColumn(name, F.coalesce(F.col(name), unseen).cast("double"))
+    return df
 
 
 def with_label(df: DataFrame) -> DataFrame:
@@ -76,9 +94,8 @@ def with_label(df: DataFrame) -> DataFrame:
 
 def feature_table(df: DataFrame, spec: FeatureSpec = FULL) -> DataFrame:
     """The unassembled inputs as doubles, next to the label."""
-    for c in spec.categories:
-        df = with_category_index(df, c)
-    known = with_label(df.fillna(0, subset=list(spec.metrics)))
+    indexed = with_category_indexes(df, spec.categories)
+    known = with_label(indexed.fillna(0, subset=list(spec.metrics)))
     numbers = {c: F.col(c).cast("double") for c in (*spec.metrics, *spec.flags)}
     return known.withColumns(numbers)
 
@@ -123,10 +140,13 @@ def train_alert_model(
 ) -> PipelineModel:
     """Random forest over the assembled features.
 
-    Fitting reads the training rows several times, so the input columns alone
-    are kept (spilling to disk) while it runs.
+    Fitting reads the training rows many times. They are dealt out evenly over
+    `spark.sql.shuffle.partitions`, the input columns alone, and kept (spilling
+    to disk) while it runs.
     """
-    rows = train.select(*spec.metrics, *spec.flags, *spec.categories, "label").persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = train.select(*spec.metrics, *spec.flags, *spec.categories, "label")
+    rows = rows.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stages, bins = [], 32
         if spec.categories:

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 200
-
-
 def ordered_index(df: DataFrame, order: Sequence[Column], out: str = "index") -> DataFrame:
     """Position of every row in a total order, from 0.
 
@@ -32,20 +30,16 @@ def ordered_index(df: DataFrame, order: Sequence[Column], out: str = "index") ->
     )
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per group with count `n` and a value-ordered `bucket`.
 
-    Copies of a value collapse before the shuffle. The bucket bounds are
-    approximate quantiles of the distinct values, so buckets are of similar
-    size; the checkpoint fixes them.
+    Copies of a value collapse before the shuffle. Buckets are range
+    partitions, so they are of similar size whatever the groups are; the
+    checkpoint fixes them, as their bounds come from a sample.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = counts.groupBy(*keys).agg(F.percentile_approx(value, grid, F.lit(buckets * 50)).alias("_bounds"))
-    placed = counts.join(bounds, list(keys)).withColumn(
-        "bucket", F.size(F.filter("_bounds", lambda b: b < F.col(value)))
-    )
-    return placed.drop("_bounds").checkpoint()
+    present = [F.col(c).isNotNull() for c in (*keys, value)]
+    counts = df.where(reduce(lambda a, b: a & b, present)).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    return counts.repartitionByRange(*keys, value).withColumn("bucket", F.spark_partition_id()).checkpoint()
 
 
 def quantiles_of_counts(

@@ -151,15 +151,14 @@ def dashboard_tables(alerts: DataFrame, predictions: DataFrame, activity: DataFr
 
     `activity` carries the species of each reading.
     """
-    latest_alerts = aggregates.latest_date_rows(alerts)
     latest_activity = aggregates.latest_date_rows(activity)
     metrics = ["food_amount", "sleep_hours", "weight_kg"]
     long = cleanse.melt_metrics(latest_activity, ["species"], metrics)
     return {
         "available_ids": entities.available_ids(predictions, alerts, activity),
-        "level_distribution": joins.count_by_domain(latest_alerts, "health_alert_level", LEVELS),
-        "flag_counts": aggregates.flag_counts(
-            latest_alerts, {"note_is_stressful": "Stress", "note_is_illness_related": "Bệnh tật"}
+        "level_distribution": aggregates.latest_level_distribution(alerts, LEVELS),
+        "flag_counts": aggregates.latest_flag_counts(
+            alerts, {"note_is_stressful": "Stress", "note_is_illness_related": "Bệnh tật"}
         ),
         "alert_trend": model.rule_vs_model(predictions),
         "activity_trend": aggregates.daily_mean(activity, metrics).orderBy("pet_id", "date"),

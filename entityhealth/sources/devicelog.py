@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityhealth.functions.dates import parse_timestamp
+from entityhealth.functions.dates import day_text, parse_timestamp
 from entityhealth.functions.numbers import to_number
 
 # Line layout and message markers of the feeder log.
@@ -41,7 +41,7 @@ def parse_device_log(lines: DataFrame, entity_optional: bool = False) -> DataFra
     keep = [c for c in lines.columns if c != "value"]
     return fields.select(
         *keep,
-        parse_timestamp(F.col("log_time_text")).cast("timestamp_ntz").alias("log_timestamp"),
+        parse_timestamp(F.col("log_time_text")).alias("log_timestamp"),
         "log_level",
         "pet_name_from_log",
         "log_message",
@@ -53,13 +53,12 @@ def parse_device_log(lines: DataFrame, entity_optional: bool = False) -> DataFra
 
 def device_daily_summary(events: DataFrame) -> DataFrame:
     """Sums and event counts by day and name; partial sums before the shuffle."""
-    return events.groupBy(
-        F.date_format("log_timestamp", "yyyy-MM-dd").alias("log_date"), "pet_name_from_log"
-    ).agg(
+    daily = events.groupBy(F.to_date("log_timestamp").alias("log_date"), "pet_name_from_log").agg(
         F.sum("food_dispensed_g").alias("daily_food_dispensed_g"),
         F.count_if("feeder_jammed_event").alias("daily_feeder_jams"),
         F.count_if("unusual_behavior_detected").alias("daily_unusual_behaviors"),
     )
+    return daily.withColumn("log_date", day_text(F.col("log_date")))
 
 
 def map_names(
