@@ -1,0 +1,118 @@
+import datetime as dt
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from entityhealth import schemas
+from entityhealth.plans import jobs
+from entityhealth.rules import LEVELS
+from entityhealth.sources import devicelog, notes, tables
+from entityhealth.streaming import daily_scores
+
+D = dt.date
+COLUMNS = schemas.ACTIVITY.fieldNames()
+
+
+@pytest.fixture(scope="module")
+def files(tmp_path_factory):
+    """A CSV of readings, profiles as JSON lines, notes and a device log; pet09 has no profile."""
+    root = tmp_path_factory.mktemp("inputs")
+    rnd = random.Random(2)
+    lines = [",".join(COLUMNS)]
+    blocks = []
+    for p in range(10):
+        for d in range(60):
+            day = D(2025, 1, 1) + dt.timedelta(days=d)
+            lines.append(
+                f"pet{p:03d},{day},{rnd.randint(150, 300)},{rnd.uniform(10, 18):.1f},{rnd.randint(0, 10)},"
+                f"{rnd.uniform(2.5, 7):.1f},own,bird,own,male,2020"
+            )
+            if rnd.random() < 0.4:
+                text = rnd.choice(["Bé bị nôn, mệt", "Lo lắng\nvà chán ăn", 'vui "vẻ", khỏe'])
+                blocks.append(f"# Pet ID: pet{p:03d} - Notes on {day}\n{text}\n")
+    (root / "a.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    profiles = [
+        dict(pet_id=f"pet{p:03d}", name=f"N{p}", species=("dog", "cat")[p % 2], breed=f"b{p % 3}", gender="male", birth_year=2019)
+        for p in range(9)
+    ]
+    (root / "p.json").write_text("\n".join(map(json.dumps, profiles)), encoding="utf-8")
+    (root / "n.md").write_text("\n".join(blocks), encoding="utf-8")
+    (root / "l.txt").write_text(
+        "[INFO] 2025-01-02 08:00:00 - Pet Miu Food Dispensed: 35g\n[WARN] 2025-01-02 09:00:00 - Pet Miu Feeder Jammed\n"
+    )
+    return root, len(blocks)
+
+
+@pytest.fixture(scope="module")
+def reports(spark, files, tmp_path_factory):
+    root, _ = files
+    out = str(tmp_path_factory.mktemp("out"))
+    return jobs.health_report(spark, f"{root}/a.csv", f"{root}/p.json", f"{root}/n.md", out, trees=5)
+
+
+def test_health_report(spark, reports):
+    scored = spark.read.parquet(reports["scored"])
+    read = jobs.read_reports(spark, reports)
+    assert scored.count() == 9 * 60
+    assert read["alerts"].schema == schemas.ALERT
+    want = scored.where("risk_score > 0").select(*schemas.ALERT.fieldNames())
+    assert read["alerts"].exceptAll(want).count() == 0 == want.exceptAll(read["alerts"]).count()
+    assert read["monthly_trends"].agg(F.sum("total_records")).first()[0] == 540
+    assert read["breed_trends"].count() == 6
+    assert 0 < read["predictions"].count() < 200
+
+
+def test_report_without_notes(spark, files, tmp_path):
+    root, _ = files
+    notes_table = jobs.read_notes(spark, f"{tmp_path}/none.md")
+    profiles = tables.read_profiles(spark, f"{root}/p.json")
+    scored = jobs.score_activity(tables.read_activity_csv(spark, f"{root}/a.csv"), profiles, notes_table)
+    assert scored.count() == 540 and scored.where("note_is_stressful OR note_is_illness_related").count() == 0
+
+
+def test_dashboard(spark, reports):
+    read = jobs.read_reports(spark, reports)
+    activity = spark.read.parquet(reports["scored"])
+    out = jobs.dashboard_tables(read["alerts"], read["predictions"], activity)
+    assert [r.health_alert_level for r in out["level_distribution"].collect()] == list(LEVELS)
+    assert out["available_ids"].count() == 9
+    assert out["activity_box"].count() == 6
+    assert out["activity_trend"].count() == 540
+    assert out["activity_card"].where("date = '2025-03-01'").count() == 9
+    for name in ("flag_counts", "alert_trend", "alert_card"):
+        assert out[name].count() > 0
+
+
+def test_integrate_and_explore(spark, files):
+    root, n_notes = files
+    activity = tables.read_activity_csv(spark, f"{root}/a.csv").drop("name", "species", "breed", "gender", "birth_year")
+    profiles = tables.read_profiles(spark, f"{root}/p.json")
+    note_table = notes.read_note_blocks(spark, f"{root}/n.md")
+    assert note_table.count() == n_notes
+    wide = jobs.integrate(activity, profiles, devicelog.read_log_lines(spark, f"{root}/l.txt"), note_table, {"Miu": "pet001"})
+    assert wide.count() == 540
+    r = wide.where("pet_id = 'pet001' AND date = DATE'2025-01-02'").first()
+    assert (r.daily_food_dispensed_g, r.daily_feeder_jams, r.pet_age_at_log, r.species) == (35, 1, 6, "cat")
+    assert wide.where("text_features IS NOT NULL").count() == note_table.where("pet_id < 'pet009'").count()
+    out = jobs.explore(wide)
+    assert out["jams"].count() == 1 and out["entity_stats"].count() == 9 and out["correlations"].count() == 4
+    assert out["describe"].count() == 3 and out["weekly"].count() > 9 and out["loud"].count() == 0
+
+
+def test_stream_equals_batch_as_files_land(spark, tmp_path, rows):
+    from entityhealth.operators import scoring, upkeep
+
+    schema = "pet_id string, date date, at int, species string, food_amount double, sleep_hours double, weight_kg double, meow_count int"
+    landed, out, progress = (f"{tmp_path}/{n}" for n in ("in", "out", "progress"))
+    batches = [[("a", D(2025, 1, 1), 1, "dog", 10.0, 12.0, 15.0, 1)], [("a", D(2025, 1, 1), 2, "dog", 250.0, 12.0, 15.0, 1), ("b", D(2025, 1, 2), 3, "cat", 300.0, 15.0, 9.0, 20)]]
+    for batch in batches:
+        df = spark.createDataFrame(batch, schema)
+        df.coalesce(1).write.mode("append").parquet(landed)
+        stream = daily_scores.score_stream(daily_scores.read_landed(spark, landed, df.schema))
+        daily_scores.append_scores(stream, out, progress).awaitTermination()
+    everything = spark.createDataFrame([r for b in batches for r in b], schema)
+    want = upkeep.dedupe_keep_last(scoring.score(everything), ["pet_id", "date"], ["at"])
+    got = daily_scores.current(spark, out, ["pet_id", "date"], ["at"])
+    assert rows(got, "pet_id", "at", "risk_score") == rows(want, "pet_id", "at", "risk_score") == [("a", 2, 0), ("b", 3, 4)]

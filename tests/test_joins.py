@@ -30,9 +30,10 @@ def test_skew_join_equals_the_plain_join(spark, rows, how, share, least):
     assert rows(got) == rows(want)
 
 
-def test_skew_join_splits_hot_keys(spark, monkeypatch):
+def test_skew_join_splits_hot_keys(spark):
     left, right = sides(spark)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
         assert joins._hot_keys(left, ["k", "g"], 0.05, 20)[1] is True
         assert len(joins._hot_keys(left, ["k", "g"], 0.05, 20)[0]) == 2
@@ -43,6 +44,7 @@ def test_skew_join_splits_hot_keys(spark, monkeypatch):
         assert plain.where("k = 1").select(F.spark_partition_id().alias("p")).distinct().count() == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_skew_join_wants_equal_key_types(spark):
