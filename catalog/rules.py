@@ -124,7 +124,7 @@ def alert_report(spark, sf):
 def alert_top5(spark, sf):
     """The five newest and most severe alerts."""
     columns = ["date", "risk_score", "entity_id", "event_id", "doc_id", "health_alert_level"]
-    return scoring.alert_report(scored_e(spark, sf), columns, "entity_id").limit(5)
+    return scoring.alert_report(scored_e(spark, sf), columns, "entity_id", tie=["event_id", "doc_id"]).limit(5)
 
 
 @query(

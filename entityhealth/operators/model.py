@@ -18,6 +18,7 @@ from entityhealth.operators.aggregates import counts_by
 from entityhealth.operators.ranks import ordered_index
 
 MAX_CATEGORIES = 1000
+BROADCAST_CATEGORIES = 100_000
 
 
 @dataclass(frozen=True)
@@ -78,13 +79,17 @@ def category_index(df: DataFrame, column: str) -> DataFrame:
 
 
 def with_category_indexes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Every row with its categories' indexes as double; unseen and NULL get the next free one."""
+    """Every row with its categories' indexes as double; unseen and NULL get the next free one.
+
+    The index table is broadcast only when its counted size allows it.
+    """
     indexes = category_indexes(df, columns)
+    hint = F.broadcast if indexes.count() <= BROADCAST_CATEGORIES else lambda t: t
     for c in columns:
         name = f"{c}_index"
         table = indexes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("index").alias(name))
         unseen = table.agg(F.count("*").alias("n")).scalar()
-        df = df.join(table, c, "left").withColumn(name, F.coalesce(F.col(name), unseen).cast("double"))
+        df = df.join(hint(table), c, "left").withColumn(name, F.coalesce(F.col(name), unseen).cast("double"))
     return df
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BROADCAST_GROUPS = 10_000
+
 def ordered_index(df: DataFrame, order: Sequence[Column], out: str = "index") -> DataFrame:
     """Position of every row in a total order, from 0.
 
@@ -42,14 +44,29 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return counts.repartitionByRange(*keys, value).withColumn("bucket", F.spark_partition_id()).checkpoint()
 
 
+def group_hint(counts: DataFrame, keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """A broadcast hint for tables with a few rows per group, where the groups are few.
+
+    The groups are counted first; beyond the limit the tables are shuffled.
+    """
+    few = counts.select(*keys).distinct().count() <= BROADCAST_GROUPS
+    return F.broadcast if few else lambda df: df
+
+
 def quantiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str]
+    counts: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    names: Sequence[str],
+    hint: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles per group from `value_counts`.
 
     Only the buckets that hold a wanted rank are sorted, each on its own.
     """
     keys = list(keys)
+    hint = hint or group_hint(counts, keys)
     totals = counts.groupBy(*keys, "bucket").agg(F.sum("n").alias("bucket_n"))
     along = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("start", F.coalesce(F.sum("bucket_n").over(along), F.lit(0)))
@@ -67,10 +84,11 @@ def quantiles_of_counts(
 
     needed = located.select(*keys, "bucket", "start").distinct()
     inside = Window.partitionBy(*keys, "bucket").orderBy(value)
-    ranked = counts.join(needed, keys + ["bucket"]).withColumn(
+    ranked = counts.join(hint(needed), keys + ["bucket"]).withColumn(
         "end", F.col("start") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    hits = located.select(*keys, "bucket", "what", "rank").join(ranked, keys + ["bucket"]).where(
+    wanted_ranks = located.select(*keys, "bucket", "what", "rank")
+    hits = ranked.join(hint(wanted_ranks), keys + ["bucket"]).where(
         (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n"))
     )
     whats = [f"{side}{i}" for i in range(len(probs)) for side in ("low", "high")]
@@ -92,12 +110,13 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str = "value", reach: f
     """
     keys = list(keys)
     counts = value_counts(df, keys, value)
-    box = quantiles_of_counts(counts, keys, value, (0.25, 0.5, 0.75), ("q1", "median", "q3"))
+    hint = group_hint(counts, keys)
+    box = quantiles_of_counts(counts, keys, value, (0.25, 0.5, 0.75), ("q1", "median", "q3"), hint)
     low = F.col("q1") - reach * (F.col("q3") - F.col("q1"))
     high = F.col("q3") + reach * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(low, high)
     return (
-        counts.join(box, keys)
+        counts.join(hint(box), keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.sum("n").alias("n"),

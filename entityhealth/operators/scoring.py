@@ -7,7 +7,7 @@ Python code; the category filter reaches the scan.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -145,20 +145,29 @@ def alerts(scored: DataFrame) -> DataFrame:
     return scored.where(F.col("risk_score") > 0)
 
 
-def alert_order(df: DataFrame, entity: str = "pet_id", day: str = "date") -> list[Column]:
-    """Newest and most severe first; the other columns make the order total."""
-    first = [F.col(day).desc(), F.col("risk_score").desc(), F.col(entity)]
-    return first + [F.col(c) for c in df.columns if c not in (day, "risk_score", entity)]
+def alert_order(
+    df: DataFrame, entity: str = "pet_id", day: str = "date", tie: Sequence[str] | None = None
+) -> list[Column]:
+    """Newest and most severe first, then by entity and `tie`.
+
+    Without `tie` a hash of the row makes the order total. Whole rows are no
+    sort key: the bounds of a global sort are samples of the key, which would
+    bring note texts to the driver.
+    """
+    last = [F.col(c) for c in tie] if tie is not None else [F.xxhash64(*df.columns)]
+    return [F.col(day).desc(), F.col("risk_score").desc(), F.col(entity), *last]
 
 
 def alert_report(
     scored: DataFrame,
-    columns: list[str],
+    columns: Sequence[str],
     entity: str = "pet_id",
     day: str = "date",
+    tie: Sequence[str] | None = None,
 ) -> DataFrame:
+    """Rows with points, in report columns and report order."""
     report = alerts(scored).select(*columns)
-    return report.orderBy(*alert_order(report, entity, day))
+    return report.orderBy(*alert_order(report, entity, day, tie))
 
 
 def union_by_name(*parts: DataFrame) -> DataFrame:

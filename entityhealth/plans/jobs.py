@@ -45,13 +45,9 @@ def with_profiles(activity: DataFrame, profiles: DataFrame) -> DataFrame:
     return joins.attach_profile(activity, profiles.select("pet_id", *own), "pet_id", "left", replace=own)
 
 
-def score_activity(
-    activity: DataFrame, profiles: DataFrame, note_table: DataFrame, rules: RuleSet = DEFAULT_RULES
-) -> DataFrame:
-    """Readings joined with profiles and notes, scored."""
-    filled = cleanse.fill_missing(activity, schemas.METRICS)
-    noted = joins.attach_notes(with_profiles(filled, profiles), scoring.annotate_notes(note_table, rules))
-    return scoring.score(noted, rules)
+def score_readings(readings: DataFrame, note_table: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """Readings with their profile, joined with notes and scored."""
+    return scoring.score(joins.attach_notes(readings, scoring.annotate_notes(note_table, rules)), rules)
 
 
 def health_report(
@@ -63,34 +59,32 @@ def health_report(
     rules: RuleSet = DEFAULT_RULES,
     trees: int = 100,
 ) -> dict[str, str]:
-    """Score all readings and write the scored table and the four reports.
+    """Merge and score all readings; write both tables and the four reports.
 
-    The scored table is written once as Parquet and read by alerts and model,
-    so the joins run once and a lost executor costs no more than its tasks.
-    Trends come from the readings before notes repeat them.
+    The merged and the scored table are written once as Parquet and read back,
+    so files are parsed once, the joins run once and a lost executor costs no
+    more than its tasks. Trends come from the merged readings, before notes
+    repeat them.
     """
     paths = {
-        "scored": f"{out}/scored",
+        "readings": f"{out}/final_merged_data.parquet",
+        "scored": f"{out}/scored.parquet",
         "alerts": f"{out}/pet_health_alerts_final.csv",
         "breed_trends": f"{out}/breed_trends.csv",
         "monthly_trends": f"{out}/monthly_trends.csv",
         "predictions": f"{out}/ml_predictions.csv",
     }
-    activity = tables.read_activity_csv(spark, activity_path)
-    profiles = tables.read_profiles(spark, profiles_path)
-    score_activity(activity, profiles, read_notes(spark, notes_path), rules).write.mode("overwrite").parquet(
-        paths["scored"]
-    )
+    activity = cleanse.fill_missing(tables.read_activity_csv(spark, activity_path), schemas.METRICS)
+    merged = with_profiles(activity, tables.read_profiles(spark, profiles_path))
+    merged.write.mode("overwrite").parquet(paths["readings"])
+    readings = spark.read.parquet(paths["readings"])
+    score_readings(readings, read_notes(spark, notes_path), rules).write.mode("overwrite").parquet(paths["scored"])
     scored = spark.read.parquet(paths["scored"])
     sinks.write_report(scoring.alert_report(scored, schemas.ALERT.fieldNames()), paths["alerts"])
 
-    known = [c.category for c in rules.categories]
-    readings = with_profiles(cleanse.fill_missing(activity, schemas.METRICS), profiles)
-    readings = readings.where(F.col("species").isin(known))
-    sinks.write_report(aggregates.trend_by(readings, ["species", "breed"], TREND_MEANS), paths["breed_trends"])
-    sinks.write_report(
-        aggregates.trend_by_month(readings, "species", "date", TREND_MEANS), paths["monthly_trends"]
-    )
+    known = readings.where(F.col("species").isin([c.category for c in rules.categories]))
+    sinks.write_report(aggregates.trend_by(known, ["species", "breed"], TREND_MEANS), paths["breed_trends"])
+    sinks.write_report(aggregates.trend_by_month(known, "species", "date", TREND_MEANS), paths["monthly_trends"])
 
     _, predictions = model.fit_predict(scored, trees=trees)
     sinks.write_report(predictions.select(*schemas.PREDICTION.fieldNames()), paths["predictions"])

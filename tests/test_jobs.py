@@ -68,13 +68,14 @@ def test_report_without_notes(spark, files, tmp_path):
     root, _ = files
     notes_table = jobs.read_notes(spark, f"{tmp_path}/none.md")
     profiles = tables.read_profiles(spark, f"{root}/p.json")
-    scored = jobs.score_activity(tables.read_activity_csv(spark, f"{root}/a.csv"), profiles, notes_table)
+    readings = jobs.with_profiles(tables.read_activity_csv(spark, f"{root}/a.csv"), profiles)
+    scored = jobs.score_readings(readings, notes_table)
     assert scored.count() == 540 and scored.where("note_is_stressful OR note_is_illness_related").count() == 0
 
 
 def test_dashboard(spark, reports):
     read = jobs.read_reports(spark, reports)
-    activity = spark.read.parquet(reports["scored"])
+    activity = spark.read.parquet(reports["readings"]).where("species IS NOT NULL")
     out = jobs.dashboard_tables(read["alerts"], read["predictions"], activity)
     assert [r.health_alert_level for r in out["level_distribution"].collect()] == list(LEVELS)
     assert out["available_ids"].count() == 9
