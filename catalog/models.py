@@ -81,11 +81,35 @@ def alert_predictions(spark, sf):
     )
 
 
-@query("rule_vs_model")
+@query("confusion_counts")
+def confusion_counts(spark, sf):
+    """How a forest that sees the measures only, not the flags the level is computed from, does."""
+    predictions = model.fit_predict(_scored_with_breed(spark, sf), ("order_id", "line"), RAW, trees=20)[1]
+    return model.confusion_counts(predictions)
+
+
+@query(
+    "rule_vs_model",
+    f"""WITH {SCORED_L} SELECT entity_id, date,
+      CAST(CASE WHEN category = 'R' AND risk_score = 0 THEN -1 WHEN health_alert_level = 'Đỏ (Nguy cơ cao)' THEN 3
+        WHEN health_alert_level = 'Cam (Cảnh báo)' THEN 2 WHEN health_alert_level = 'Vàng (Theo dõi)' THEN 1 ELSE 0 END
+      AS DOUBLE) AS rule_level, CAST(floor(abs(quantity_zscore)) AS DOUBLE) AS model_level
+    FROM scored WHERE quantity < 49""",
+)
 def rule_vs_model(spark, sf):
-    """Rule level and prediction side by side, per entity in time order.
+    """Rule level and a predicted code side by side, per entity in time order.
 
-    The model sees the measures only, not the flags the level is computed from.
+    The codes here follow from a z-score, so that SQL can tell them; unknown
+    levels and unreadable codes are mixed in.
     """
-    predictions = model.fit_predict(_scored_with_breed(spark, sf), ("order_id", "line"), RAW, trees=20)[1]
+    scored = scored_l(spark, sf)
+    code = F.floor(F.abs("quantity_zscore")).cast("string")
+    predictions = scored.withColumns(
+        {
+            "health_alert_level": F.when(
+                (F.col("category") != "R") | (F.col("risk_score") > 0), F.col("health_alert_level")
+            ),
+            "prediction": F.when(F.col("quantity") < 49, code).otherwise("prediction"),
+        }
+    )
     return model.rule_vs_model(predictions, "entity_id")

@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A number written with decimals. Only such texts are parsed as double on the
+# way to a whole number: a failing parse costs an exception.
+DECIMAL = r"^\s*[+-]?\d+\.\d*\s*$"
+
+
 def to_number(text: Column, kind: str = "double") -> Column:
     """NULL where the text is no number; NaN counts as missing.
 
@@ -14,7 +19,8 @@ def to_number(text: Column, kind: str = "double") -> Column:
     number = text.try_cast(kind)
     if kind in ("double", "float"):
         return F.when(~F.isnan(number), number)
-    return F.coalesce(number, text.try_cast("double").try_cast(kind))
+    decimal = F.when(text.rlike(DECIMAL), text).try_cast("double").try_cast(kind)
+    return F.coalesce(number, decimal)
 
 
 def zscore(value: Column, mean: Column, std: Column) -> Column:

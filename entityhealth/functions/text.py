@@ -40,3 +40,23 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
 def keyword_flag(text: Column, words: Iterable[str]) -> Column:
     """True where the text contains one of the words in any case; NULL text gives False."""
     return contains_any(F.lower(text), words)
+
+
+# The characters a word ends at.
+WORD_BREAKS = " \t\n\x0b\x0c\r"
+
+
+def words(text: Column) -> Column:
+    """Lower-cased words of a text, split at every single word break.
+
+    Two breaks in a row give an empty word; breaks at the end give none.
+    """
+    trimmed = F.rtrim(F.lower(text), F.lit(WORD_BREAKS))
+    only_breaks = (F.length(trimmed) == 0) & (F.length(text) > 0)
+    return F.when(only_breaks, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
+
+
+def without(words_column: Column, stop_words: Iterable[str]) -> Column:
+    """The words that are not in the list, in order."""
+    stop = [w.lower() for w in stop_words]
+    return F.filter(words_column, lambda w: ~w.isin(stop)) if stop else words_column

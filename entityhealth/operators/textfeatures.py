@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entityhealth.functions.text import without, words
+
 # Vietnamese stop words.
 STOP_WORDS = ("là", "và", "của", "có", "không", "những", "một", "rất", "này", "mà", "để", "ở", "với")
 NUM_FEATURES = 1000
@@ -15,13 +17,13 @@ NUM_FEATURES = 1000
 
 def tokens(df: DataFrame, text: str = "note_text", out: str = "words") -> DataFrame:
     """Lower-cased words split at single white space; rows without text are dropped."""
-    return Tokenizer(inputCol=text, outputCol=out).transform(df.where(F.col(text).isNotNull()))
+    return df.where(F.col(text).isNotNull()).withColumn(out, words(F.col(text)))
 
 
 def remove_stop_words(
-    df: DataFrame, words: Sequence[str] = STOP_WORDS, column: str = "words", out: str = "filtered_words"
+    df: DataFrame, stop_words: Sequence[str] = STOP_WORDS, column: str = "words", out: str = "filtered_words"
 ) -> DataFrame:
-    return StopWordsRemover(inputCol=column, outputCol=out, stopWords=list(words), locale="en_US").transform(df)
+    return df.withColumn(out, without(F.col(column), stop_words))
 
 
 def hash_tf(
@@ -50,11 +52,12 @@ def document_frequencies(
     Repeats inside a text go before the shuffle, frequent words are counted per
     task first.
     """
-    filtered = remove_stop_words(tokens(df, text), stop_words)
-    words = filtered.select(F.explode(F.array_distinct("filtered_words")).alias("term"))
-    total = df.where(F.col(text).isNotNull()).agg(F.count("*").alias("n")).scalar()
+    present = df.where(F.col(text).isNotNull())
+    terms = present.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    terms = terms.where(~F.col("term").isin([w.lower() for w in stop_words]))
+    total = present.agg(F.count("*").alias("n")).scalar()
     return (
-        words.groupBy("term")
+        terms.groupBy("term")
         .agg(F.count("*").alias("doc_count"))
         .withColumn("idf", F.log((total + 1) / (F.col("doc_count") + 1)))
     )

@@ -35,7 +35,7 @@ def test_entry(spark):
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"alert_predictions", "rule_vs_model", "tfidf_hashed"}))
+@pytest.mark.parametrize("name", sorted(set(queries()) - {"alert_predictions", "confusion_counts", "tfidf_hashed"}))
 def test_plans(spark, plan, capsys, name):
     text = plan(queries()[name](spark, SF), capsys)
     assert not [w for w in UNWANTED if w in text]

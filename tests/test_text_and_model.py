@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import StopWordsRemover, StringIndexer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -22,6 +22,17 @@ def test_tokens_and_stop_words(notes):
     assert words[0].filtered_words == ["mèo", "chó", "", "vui"]
 
 
+def test_words_agree_with_the_library_tokenizer(spark):
+    texts = ["a b", " a  b ", "a\tb\n\nc\r\n", "", " ", "\n\t", "Á\u00a0B c", "x" * 50, "a\x0bb\x0cc"]
+    df = spark.createDataFrame([(t,) for t in texts], "note_text string")
+    theirs = StopWordsRemover(inputCol="words", outputCol="f", stopWords=["A", "c"], locale="en_US").transform(
+        Tokenizer(inputCol="note_text", outputCol="words").transform(df)
+    )
+    mine = textfeatures.remove_stop_words(textfeatures.tokens(df), ["A", "c"])
+    got = [(r.words, r.filtered_words) for r in mine.collect()]
+    assert got == [(r.words, r.f) for r in theirs.collect()]
+
+
 def test_document_frequencies(notes):
     got = {r.term: (r.doc_count, r.idf) for r in textfeatures.document_frequencies(notes).collect()}
     assert got["mèo"] == (2, pytest.approx(math.log(4 / 3)))
