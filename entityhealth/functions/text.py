@@ -46,14 +46,18 @@ def keyword_flag(text: Column, words: Iterable[str]) -> Column:
 WORD_BREAKS = " \t\n\x0b\x0c\r"
 
 
-def words(text: Column) -> Column:
-    """Lower-cased words of a text, split at every single word break.
+def word_text(text: Column) -> Column:
+    """The text in lower case without word breaks at its end."""
+    return F.rtrim(F.lower(text), F.lit(WORD_BREAKS))
+
+
+def words(text: Column, prepared: Column) -> Column:
+    """Words of a text, split at every single word break; `prepared` is its `word_text`.
 
     Two breaks in a row give an empty word; breaks at the end give none.
     """
-    trimmed = F.rtrim(F.lower(text), F.lit(WORD_BREAKS))
-    only_breaks = (F.length(trimmed) == 0) & (F.length(text) > 0)
-    return F.when(only_breaks, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
+    only_breaks = (F.length(prepared) == 0) & (F.length(text) > 0)
+    return F.when(only_breaks, F.array().cast("array<string>")).otherwise(F.split(prepared, r"\s"))
 
 
 def without(words_column: Column, stop_words: Iterable[str]) -> Column:

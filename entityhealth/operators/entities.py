@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,11 +122,17 @@ def latest_alert_card(
 
 
 def latest_activity_card(
-    df: DataFrame, metrics: Sequence[str], entity: str = "pet_id", day: str = "date"
+    df: DataFrame,
+    metrics: Sequence[str],
+    entity: str = "pet_id",
+    day: str = "date",
+    places: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Per entity: the latest readings as text, `N/A` where missing."""
+    """Per entity: the latest readings as text, `N/A` where missing.
+
+    `places` rounds the given columns for display.
+    """
     last = latest_per_entity(df.select(entity, day, *metrics), entity, day)
+    shown = [F.round(c, places[c]) if places and c in places else F.col(c) for c in metrics]
     cols = [F.col(entity), levels.or_na(dates.day_text(F.col(day))).alias(day)]
-    return last.select(*cols, *[levels.or_na(F.col(c)).alias(c) for c in metrics])
-
-
+    return last.select(*cols, *[levels.or_na(v).alias(c) for c, v in zip(metrics, shown)])

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from entityhealth.session import fixed
+
 BROADCAST_GROUPS = 10_000
 
 def ordered_index(df: DataFrame, order: Sequence[Column], out: str = "index") -> DataFrame:
@@ -18,9 +20,8 @@ def ordered_index(df: DataFrame, order: Sequence[Column], out: str = "index") ->
     whose bounds come from a sample, so both uses see the same ones.
     """
     sorted_parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = sorted_parts.withColumns(
-        {"_part": F.spark_partition_id(), "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
-    ).checkpoint()
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = fixed(sorted_parts.withColumns({"_part": F.spark_partition_id(), "_pos": place}))
     sizes = numbered.groupBy("_part").agg(F.count("*").alias("_size"))
     # One row per shuffle partition.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -41,7 +42,7 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """
     present = [F.col(c).isNotNull() for c in (*keys, value)]
     counts = df.where(reduce(lambda a, b: a & b, present)).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    return counts.repartitionByRange(*keys, value).withColumn("bucket", F.spark_partition_id()).checkpoint()
+    return fixed(counts.repartitionByRange(*keys, value).withColumn("bucket", F.spark_partition_id()))
 
 
 def group_hint(counts: DataFrame, keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityhealth.functions.text import without, words
+from entityhealth.functions.text import without, word_text, words
 
 # Vietnamese stop words.
 STOP_WORDS = ("là", "và", "của", "có", "không", "những", "một", "rất", "này", "mà", "để", "ở", "với")
@@ -17,7 +17,8 @@ NUM_FEATURES = 1000
 
 def tokens(df: DataFrame, text: str = "note_text", out: str = "words") -> DataFrame:
     """Lower-cased words split at single white space; rows without text are dropped."""
-    return df.where(F.col(text).isNotNull()).withColumn(out, words(F.col(text)))
+    prepared = df.where(F.col(text).isNotNull()).withColumn("_text", word_text(F.col(text)))
+    return prepared.withColumn(out, words(F.col(text), F.col("_text"))).drop("_text")
 
 
 def remove_stop_words(
@@ -52,8 +53,8 @@ def document_frequencies(
     Repeats inside a text go before the shuffle, frequent words are counted per
     task first.
     """
-    present = df.where(F.col(text).isNotNull())
-    terms = present.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    present = df.select(text).where(F.col(text).isNotNull())
+    terms = tokens(present, text).select(F.explode(F.array_distinct("words")).alias("term"))
     terms = terms.where(~F.col("term").isin([w.lower() for w in stop_words]))
     total = present.agg(F.count("*").alias("n")).scalar()
     return (

@@ -21,6 +21,7 @@ from entityhealth.operators import (
     upkeep,
 )
 from entityhealth.rules import DEFAULT_RULES, LEVELS, RuleSet
+from entityhealth.session import fixed
 from entityhealth.sources import devicelog, notes, sinks, tables
 
 # Food is in grams; the report header keeps its traditional name.
@@ -92,12 +93,18 @@ def health_report(
 
 
 def read_reports(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """The written reports with their declared schemas."""
+    """The written reports with their declared schemas.
+
+    Rows without a readable date or prediction are dropped, such as header
+    lines repeated where part files were joined by hand.
+    """
+    alerts = tables.read_report(spark, paths["alerts"], schemas.ALERT, multi_line=True)
+    predictions = tables.read_report(spark, paths["predictions"], schemas.PREDICTION)
     return {
-        "alerts": tables.read_report(spark, paths["alerts"], schemas.ALERT, multi_line=True),
+        "alerts": alerts.dropna(subset=["date"]),
         "breed_trends": tables.read_report(spark, paths["breed_trends"], schemas.BREED_TREND),
         "monthly_trends": tables.read_report(spark, paths["monthly_trends"], schemas.MONTHLY_TREND),
-        "predictions": tables.read_report(spark, paths["predictions"], schemas.PREDICTION),
+        "predictions": predictions.dropna(subset=["date", "prediction"]),
     }
 
 
@@ -157,7 +164,9 @@ def dashboard_tables(alerts: DataFrame, predictions: DataFrame, activity: DataFr
         "alert_trend": model.rule_vs_model(predictions),
         "activity_trend": aggregates.daily_mean(activity, metrics).orderBy("pet_id", "date"),
         "activity_box": ranks.box_stats(long, ["species", "metric"]),
-        "activity_card": entities.latest_activity_card(activity, schemas.METRICS),
+        "activity_card": entities.latest_activity_card(
+            activity, schemas.METRICS, places={"food_amount": 2, "sleep_hours": 1, "weight_kg": 2}
+        ),
         "alert_card": entities.latest_alert_card(predictions, alerts),
     }
 
@@ -184,4 +193,4 @@ def daily_refresh(
     parts = [t.withColumn("_source", F.lit(i)) for i, t in enumerate((touched, carried, incoming))]
     merged = upkeep.dedupe_keep_last(scoring.union_by_name(*parts), [entity, date], ["_source", *arrival])
     # The rows are fixed before their old partitions are replaced.
-    sinks.land(merged.drop("_source").checkpoint(), path, date)
+    sinks.land(fixed(merged.drop("_source")), path, date)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -34,17 +34,26 @@ def scratch_root(spark: SparkSession) -> str:
     The cluster names it in `spark.checkpoint.dir`. A folder of this machine is
     used only by a local session that names none.
     """
-    named = spark.conf.get(CHECKPOINT_CONF, None)
+    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
     made = tempfile.mkdtemp(prefix="entityhealth-")
     spark.sparkContext.setCheckpointDir(made)
-    spark.conf.set(CHECKPOINT_CONF, made)
     return made
 
 
+def fixed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder, so that every use sees the same ones.
+
+    Needed where a plan depends on samples or sketches. Lost executors do not
+    lose the rows, and nothing before them runs twice.
+    """
+    scratch_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the scratch folder."""
     return f"{scratch_root(spark)}/entityhealth/{label}-{uuid.uuid4().hex}"

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,16 @@ def test_report_without_notes(spark, files, tmp_path):
     assert scored.count() == 540 and scored.where("note_is_stressful OR note_is_illness_related").count() == 0
 
 
+def test_repeated_header_lines_are_dropped(spark, reports, tmp_path):
+    parts = sorted(f for f in Path(reports["predictions"]).glob("part-*.csv"))
+    joined = tmp_path / "joined.csv"
+    joined.write_bytes(b"".join(f.read_bytes() for f in [*parts, parts[0]]))
+    once = jobs.read_reports(spark, reports)["predictions"].count()
+    again = jobs.read_reports(spark, {**reports, "predictions": str(joined)})["predictions"]
+    extra = len(parts[0].read_text(encoding="utf-8").splitlines()) - 1
+    assert again.count() == once + extra
+
+
 def test_dashboard(spark, reports):
     read = jobs.read_reports(spark, reports)
     activity = spark.read.parquet(reports["readings"]).where("species IS NOT NULL")
@@ -81,7 +92,8 @@ def test_dashboard(spark, reports):
     assert out["available_ids"].count() == 9
     assert out["activity_box"].count() == 6
     assert out["activity_trend"].count() == 540
-    assert out["activity_card"].where("date = '2025-03-01'").count() == 9
+    card = out["activity_card"].where("date = '2025-03-01'")
+    assert card.count() == 9 and len(card.first().sleep_hours.split(".")[1]) == 1
     for name in ("flag_counts", "alert_trend", "alert_card"):
         assert out[name].count() > 0
 

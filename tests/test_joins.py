@@ -21,9 +21,12 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("share,least", [(0.05, 20), (0.0, 1), (0.9, 10**9)])
-def test_skew_join_equals_the_plain_join(spark, rows, how, share, least):
+@pytest.mark.parametrize("swap", [False, True])
+@pytest.mark.parametrize("share,least", [(0.05, 20), (0.3, 20), (0.0, 1), (0.9, 10**9)])
+def test_skew_join_equals_the_plain_join(spark, rows, how, swap, share, least):
     left, right = sides(spark)
+    if swap:
+        left, right = right, left
     got = joins.skew_join(left, right, ["k", "g"], how, share, least)
     want = left.join(right, ["k", "g"], how)
     assert got.columns == want.columns
