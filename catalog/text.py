@@ -58,5 +58,5 @@ def tfidf_hashed(spark, sf):
     return features.select(
         "doc_id",
         F.size("filtered_words").alias("n_kept"),
-        F.transform(vector_to_array("text_features"), lambda x: F.round(x, 6)).alias("text_features"),
+        vector_to_array("text_features").alias("text_features"),
     )
