@@ -6,21 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# A number written with decimals. Only such texts are parsed as double on the
-# way to a whole number: a failing parse costs an exception.
-DECIMAL = r"^\s*[+-]?\d+\.\d*\s*$"
+# What a number looks like. Other texts are not cast at all: a failing cast
+# costs an exception, and columns with many gaps have many of them.
+NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+WHOLE = r"^\s*[+-]?\d+\s*$"
 
 
 def to_number(text: Column, kind: str = "double") -> Column:
-    """NULL where the text is no number; NaN counts as missing.
+    """NULL where the text is no finite number.
 
     Whole numbers may be written with decimals (`3.0`), which are cut.
     """
-    number = text.try_cast(kind)
+    text = text.cast("string")
     if kind in ("double", "float"):
-        return F.when(~F.isnan(number), number)
-    decimal = F.when(text.rlike(DECIMAL), text).try_cast("double").try_cast(kind)
-    return F.coalesce(number, decimal)
+        return F.when(text.rlike(NUMBER), text.try_cast(kind))
+    return F.when(text.rlike(WHOLE), text.try_cast(kind)).when(
+        text.rlike(NUMBER), text.try_cast("double").try_cast(kind)
+    )
 
 
 def zscore(value: Column, mean: Column, std: Column) -> Column:

@@ -32,7 +32,10 @@ def parse_date_any(df: DataFrame, column: str, fmts: Sequence[str] = dates.DATE_
 
 def cast_metrics(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     """Cast the columns that are present; a bad value becomes NULL."""
-    return df.withColumns({c: numbers.to_number(F.col(c), k) for c, k in kinds.items() if c in df.columns})
+    types = dict(df.dtypes)
+    texts = {c: numbers.to_number(F.col(c), k) for c, k in kinds.items() if types.get(c) == "string"}
+    others = {c: F.col(c).try_cast(k) for c, k in kinds.items() if types.get(c, "string") != "string"}
+    return df.withColumns({**texts, **others})
 
 
 def coerce_numeric(df: DataFrame, column: str, kind: str = "double") -> DataFrame:

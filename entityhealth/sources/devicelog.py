@@ -44,7 +44,7 @@ def parse_device_log(lines: DataFrame, entity_optional: bool = False) -> DataFra
         "log_level",
         "pet_name_from_log",
         "log_message",
-        F.regexp_extract("log_message", FOOD, 1).try_cast("int").alias("food_dispensed_g"),
+        F.nullif(F.regexp_extract("log_message", FOOD, 1), F.lit("")).try_cast("int").alias("food_dispensed_g"),
         F.contains("log_message", F.lit(JAMMED)).alias("feeder_jammed_event"),
         F.contains("log_message", F.lit(UNUSUAL)).alias("unusual_behavior_detected"),
     )

@@ -24,10 +24,10 @@ def _typed(df: DataFrame, schema: T.StructType, date_format: str) -> DataFrame:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif isinstance(f.dataType, T.DateType):
             out.append(parse_date(F.col(f.name), date_format).alias(f.name))
-        elif isinstance(f.dataType, T.StringType):
-            out.append(F.col(f.name))
-        else:
+        elif isinstance(f.dataType, T.NumericType):
             out.append(to_number(F.col(f.name), f.dataType.simpleString()).alias(f.name))
+        else:
+            out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
     return df.select(*out)
 
 

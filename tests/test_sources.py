@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,6 +123,28 @@ def test_device_log_lines_without_a_name(spark, tmp_path):
     assert (r.log_level, r.log_timestamp, r.unusual_behavior_detected) == ("WARN", dt.datetime(2025, 6, 25, 8, 5), True)
 
 
+def test_device_log_fields_equal_the_line_pattern(spark):
+    lines = [
+        "[INFO] 2025-06-25 08:03:21 - Pet Miu started eating.",
+        "noise [WARN] 2025-06-25 08:03:21 - Pet Miu x [INFO] 2025-06-25 08:03:22 - Pet Rex y",
+        "[INFO] 2025-06-25 08:03:21 - Pet  two blanks",
+        "[INFO] 2025-06-25 08:03:21 - Pet Miu",
+        "[INFO] 2025-06-25 08:03:21 - no name [WARN] 2025-06-26 08:03:21 - Pet Rex late",
+        "[DEBUG] 2025-06-25 08:03:21 - Pet Miu x",
+        "[INFO] 2025-06-25 8:03:21 - Pet Miu x",
+        "",
+    ]
+    head = r"\[(INFO|WARN)\] (\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) - "
+    df = spark.createDataFrame([(t,) for t in lines], "value string")
+    for optional, pattern in ((False, head + "Pet (.*?) (.*)"), (True, head + "(?:Pet (.*?) )?(.*)")):
+        got = devicelog.parse_device_log(df, optional).collect()
+        for text, r in zip(lines, got, strict=True):
+            m = re.search(pattern, text)
+            level, stamp, name, message = [g or "" for g in m.groups()] if m else [""] * 4
+            assert (r.log_level, r.pet_name_from_log, r.log_message) == (level, name, message), text
+            assert str(r.log_timestamp or "") == stamp
+
+
 def test_read_or_empty(spark, tmp_path):
     absent = tables.read_or_empty(spark, lambda: notes.read_note_blocks(spark, f"{tmp_path}/none"), schemas.NOTE)
     assert absent.schema == schemas.NOTE and absent.count() == 0
@@ -175,3 +198,6 @@ def test_conform_and_lenient_columns(spark, rows):
     assert [r.d for r in dates.collect()] == [D(2025, 1, 2)] * 6
     numbers = cleanse.coerce_numeric(spark.createDataFrame([("1.5",), ("prediction",), (None,), ("NaN",)], "p string"), "p")
     assert [r.p for r in numbers.collect()] == [1.5]
+    mixed = spark.createDataFrame([(" 7 ", "-1.5e3", 2.9, "x")], "a string, b string, c double, d string")
+    cast = cleanse.cast_metrics(mixed, {"a": "int", "b": "double", "c": "int", "d": "int", "absent": "int"})
+    assert tuple(cast.first()) == (7, -1500.0, 2, None)
