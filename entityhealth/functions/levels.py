@@ -10,7 +10,8 @@ from entityhealth import rules as R
 
 def alert_level(score: Column, red: Column | int, orange: Column | int, yellow: Column | int = 1) -> Column:
     """First band that fits, from the most severe down."""
-    return F.when(score >= red, R.RED).when(score >= orange, R.ORANGE).when(score >= yellow, R.YELLOW).otherwise(R.GREEN)
+    out = F.when(score >= red, R.RED).when(score >= orange, R.ORANGE).when(score >= yellow, R.YELLOW)
+    return out.otherwise(R.GREEN)
 
 
 def level_code(level: Column, default: float = 0.0) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entityhealth.functions import dates, numbers, text
+from entityhealth.functions import dates, levels, numbers, text
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -94,4 +94,4 @@ def melt_metrics(
 
 def display_defaults(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """The columns as text with `N/A` for missing values."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("N/A")) for c in columns})
+    return df.withColumns({c: levels.or_na(F.col(c)) for c in columns})

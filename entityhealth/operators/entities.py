@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityhealth.functions import dates, levels, numbers
-from entityhealth.operators.cleanse import any_of
+from entityhealth.operators.cleanse import any_of, display_defaults
 
 
 def entity_stats(df: DataFrame, metrics: Sequence[str], entity: str = "pet_id") -> DataFrame:
@@ -133,6 +133,5 @@ def latest_activity_card(
     `places` rounds the given columns for display.
     """
     last = latest_per_entity(df.select(entity, day, *metrics), entity, day)
-    shown = [F.round(c, places[c]) if places and c in places else F.col(c) for c in metrics]
-    cols = [F.col(entity), levels.or_na(dates.day_text(F.col(day))).alias(day)]
-    return last.select(*cols, *[levels.or_na(v).alias(c) for c, v in zip(metrics, shown)])
+    rounded = last.withColumns({c: F.round(c, n) for c, n in (places or {}).items() if c in metrics})
+    return display_defaults(rounded.withColumn(day, dates.day_text(F.col(day))), [day, *metrics])

@@ -87,7 +87,9 @@ def skew_join(
 
     def spread(df: DataFrame, own: set[int], other: set[int], own_part: str, other_part: str) -> DataFrame:
         key = F.xxhash64(*on)
-        row = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(SPLITS)).cast("int")
+        # Copies of a row lie in different input partitions; maps cannot be hashed.
+        hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+        row = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(SPLITS)).cast("int")
         absent = F.coalesce(*[F.when(F.col(c).isNull(), True) for c in on], F.lit(False))
         everywhere = F.sequence(F.lit(0), F.lit(SPLITS - 1))
         parts = df.withColumn(own_part, F.when(absent | key.isin(list(own)), row).otherwise(0))

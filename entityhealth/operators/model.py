@@ -62,7 +62,8 @@ def category_indexes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Ties are in text order. An index counts from 0 within its column.
     """
-    values = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    values = texts.unpivot([], list(columns), "column", "value")
     counts = counts_by(values.where(F.col("value").isNotNull()), "column", "value")
     ranked = ordered_index(counts, [F.col("column"), F.col("n").desc(), F.col("value")], "_place")
     first = ranked.groupBy("column").agg(F.min("_place").alias("_first"))

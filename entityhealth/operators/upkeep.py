@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityhealth.operators.entities import keep_last, latest_per_entity
+from entityhealth.operators.entities import keep_last
 from entityhealth.operators.scoring import union_by_name
 
 
@@ -94,7 +94,3 @@ def daily_upsert(
     parts = [t.withColumn("_source", F.lit(i)) for i, t in enumerate((existing, carried, incoming))]
     merged = dedupe_keep_last(union_by_name(*parts), [entity, date], ["_source", *arrival])
     return merged.drop("_source").orderBy(entity, date)
-
-
-def latest_attributes(df: DataFrame, attributes: Sequence[str], entity: str = "pet_id", date: str = "date") -> DataFrame:
-    return latest_per_entity(df.select(entity, date, *attributes), entity, date)

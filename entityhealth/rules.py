@@ -150,9 +150,10 @@ def rule_table(spark: SparkSession, rules: RuleSet = DEFAULT_RULES) -> DataFrame
     for c in rules.categories:
         for m in rules.metrics:
             b = c.baselines.get(m.name)
-            rows.append((c.category, m.name, b and float(b.mean), b and float(b.std), c.points.get(m.name, 0), None))
+            limits = (float(b.mean), float(b.std)) if b else (None, None)
+            rows.append((c.category, m.name, *limits, c.points.get(m.name, 0), None))
         for s in rules.signals:
-            rows.append((c.category, s.name, None, None, c.points.get(s.name, 0), list(c.keywords.get(s.name, ()))))
-    return spark.createDataFrame(
-        rows, "category string, rule string, mean double, std double, points int, keywords array<string>"
-    )
+            words = list(c.keywords.get(s.name, ()))
+            rows.append((c.category, s.name, None, None, c.points.get(s.name, 0), words))
+    schema = "category string, rule string, mean double, std double, points int, keywords array<string>"
+    return spark.createDataFrame(rows, schema)

@@ -2,7 +2,9 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from entityhealth.operators import joins
 
@@ -50,6 +52,15 @@ def test_skew_join_splits_hot_keys(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_skew_join_with_vectors_and_maps(spark):
+    left = spark.createDataFrame([(1, {"a": 1})] * 5 + [(2, None)], "k int, m map<string,int>")
+    right = spark.createDataFrame([(1, Vectors.sparse(4, [1], [2.0]))] * 3 + [(3, None)], StructType(
+        [StructField("k", IntegerType()), StructField("v", VectorUDT())]
+    ))
+    got = joins.skew_join(left, right, ["k"], "left", 0.0, 2)
+    assert got.count() == 16 and got.where("k = 2").first().v is None
+
+
 def test_skew_join_wants_equal_key_types(spark):
     left = spark.createDataFrame([(1,)], "k int")
     with pytest.raises(ValueError):
