@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
     made = tempfile.mkdtemp(prefix="entityhealth-")
     spark.sparkContext.setCheckpointDir(made)
