@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entityhealth.llm import simhash
+from entityhealth.llm import hostrules, mixing, packing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,3 +31,129 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op1_simhash(spark, sf):
     """Fingerprint and component of near copies of every document."""
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+def _match_sql(rule: secrets.Rule, rank: int) -> str:
+    """The counted matches of a rule in `text` as a list of {start, kind, name, stop}."""
+    pattern = rule.pattern.replace("'", "''")
+    hits, gaps = f"regexp_extract_all(text, '{pattern}')", f"regexp_split_to_array(text, '{pattern}')"
+    held = f"regexp_extract_all(text, '{pattern}', {rule.group})"
+    return f"""SELECT doc_id, unnest(list_transform(range(1, len(hits) + 1), lambda i: {{
+          'start': CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+                   + coalesce(list_sum(list_transform(hits[1:i - 1], lambda g: length(g))), 0) AS INTEGER),
+          'size': length(hits[i]), 'counts': length(held[i]) >= {rule.least}}})) AS m, {rank} AS kind, '{rule.kind}' AS name
+        FROM (SELECT doc_id, {hits} AS hits, {gaps} AS gaps, {held} AS held FROM texts
+              WHERE regexp_matches(text, '{pattern}'))"""
+
+
+_MATCHES = " UNION ALL ".join(_match_sql(r, k) for k, r in enumerate(secrets.RULES))
+
+
+@query(
+    "op3_secrets",
+    f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    matches AS ({_MATCHES}),
+    found AS (
+      SELECT doc_id, kind, m.start AS start, name || ':' || m.start || ':' || (m.start + m.size) AS said
+      FROM matches WHERE m.counts
+    ), listed AS (
+      SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+        count(*) FILTER (kind = 2) AS n_hex, string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+        string_agg(said, ',' ORDER BY start, kind) AS spans
+      FROM found GROUP BY doc_id
+    ) SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+      FROM texts t LEFT JOIN listed l ON t.doc_id = l.doc_id""",
+)
+def op3_secrets(spark, sf):
+    """Secrets of every document."""
+    return secrets.scan(table(spark, sf, "documents"))
+
+
+WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+@query(
+    "op8_quality_rules",
+    rf"""WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS_SQL} AS w FROM documents),
+    windows AS (
+      SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g
+      FROM texts WHERE len(w) >= 8
+    ), twice AS (SELECT doc_id, g FROM windows GROUP BY doc_id, g HAVING count(*) > 1),
+    places AS (SELECT x.doc_id, x.i, lead(x.i) OVER (PARTITION BY x.doc_id ORDER BY x.i) AS j
+               FROM windows x JOIN twice y ON x.doc_id = y.doc_id AND x.g = y.g),
+    repeats AS (SELECT doc_id, CAST(sum(least(8, coalesce(j - i, 8))) AS BIGINT) AS n FROM places GROUP BY doc_id),
+    lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l FROM texts),
+    m AS (
+      SELECT t.doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(l) AS n_lines
+      FROM texts t JOIN lines USING (doc_id) LEFT JOIN repeats r USING (doc_id)
+    ), rated AS (
+      SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * n_symbols > 10 * n_words
+        OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines AS failed
+      FROM m
+    ), hosts AS (SELECT source, count(*) AS n, count(*) FILTER (failed) AS bad FROM rated GROUP BY source),
+    total AS (SELECT sum(bad) / sum(n) AS mean, sum(n) AS n, count(*) AS hosts FROM hosts),
+    spread AS (
+      SELECT any_value(mean) AS mean,
+        sum(h.n * (bad / h.n - mean) ** 2) / any_value(t.n) - any_value(mean * (1 - mean) * hosts / t.n) AS s
+      FROM hosts h, total t
+    ), prior AS (
+      SELECT mean, CASE WHEN s > 0 THEN least(1000, greatest(2, mean * (1 - mean) / s - 1)) ELSE 1000 END AS weight FROM spread
+    ), verdicts AS (
+      SELECT source, (bad + mean * weight) / (n + weight) > 0.5 AS bad_host FROM hosts, prior
+    ) SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND NOT (bad_host AND failed) AS kept, bad_host
+      FROM rated r JOIN verdicts v ON r.source IS NOT DISTINCT FROM v.source""",
+)
+def op8_quality_rules(spark, sf):
+    """Rule measures and the verdict on every document."""
+    return hostrules.judge(table(spark, sf, "documents"))
+
+
+@query(
+    "op10_mixing",
+    rf"""WITH sized AS (
+      SELECT doc_id, source, CAST(len({WORDS_SQL}) AS BIGINT) AS size,
+        md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) || ':mix') AS key FROM documents
+    ), named AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM sized GROUP BY source
+    ), ranked AS (
+      SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS total,
+        row_number() OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) AS r FROM named
+    ), filled AS (
+      SELECT *, CAST(cap AS DOUBLE) * (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))
+        <= CAST(weight AS DOUBLE) * (total - coalesce(sum(cap) OVER before, 0)) AS is_full
+      FROM ranked WINDOW before AS (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), goal AS (
+      SELECT source, source_size, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE
+          CAST(weight * (total - coalesce(sum(cap) FILTER (is_full) OVER (), 0)) AS DOUBLE)
+          / sum(weight) FILTER (NOT is_full) OVER () END AS target FROM filled
+    ), rounds AS (
+      SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS n FROM goal
+    ), keys AS (SELECT source, key, sum(size) AS size FROM sized GROUP BY source, key),
+    placed AS (
+      SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM keys
+    ), cut AS (
+      SELECT p.source, max(key) AS cut FROM placed p JOIN rounds g ON p.source IS NOT DISTINCT FROM g.source
+      WHERE before + p.size / 2 <= target - n * source_size AND p.size > 0 GROUP BY p.source
+    ) SELECT s.doc_id, s.size, s.source, source_size, target,
+        CAST(s.size * (n + CASE WHEN s.key <= cut THEN 1 ELSE 0 END) AS BIGINT) AS taken
+      FROM sized s JOIN rounds g ON s.source IS NOT DISTINCT FROM g.source
+      LEFT JOIN cut c ON s.source IS NOT DISTINCT FROM c.source""",
+)
+def op10_mixing(spark, sf):
+    """How many words of every document the mix takes."""
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query("op6_packing")
+def op6_packing(spark, sf):
+    """The batch and place of every sequence of the documents."""
+    return packing.pack(table(spark, sf, "documents"))
