@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from entityhealth.llm import hostrules, mixing, packing, secrets, simhash
+from entityhealth.llm import bpe, hostrules, mixing, packing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,3 +158,9 @@ def op10_mixing(spark, sf):
 def op6_packing(spark, sf):
     """The batch and place of every sequence of the documents."""
     return packing.pack(table(spark, sf, "documents"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark, sf):
+    """Token counts of every document by the 32k piece model."""
+    return bpe.count(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
