@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from entityhealth.llm import bpe, hostrules, mixing, packing, secrets, simhash
+from entityhealth.llm import bpe, hostrules, mixing, multiindex, packing, pagetext, quality, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,3 +164,28 @@ def op6_packing(spark, sf):
 def op9_token_counts(spark, sf):
     """Token counts of every document by the 32k piece model."""
     return bpe.count(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op2_page_text")
+def op2_page_text(spark, sf):
+    """The main text of every page."""
+    return pagetext.extract(table(spark, sf, "pages"))
+
+
+@query("op4_quality")
+def op4_quality(spark, sf):
+    """The quality of every document."""
+    return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark, sf):
+    """The toxicity of every document."""
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op7_nearest")
+def op7_nearest(spark, sf):
+    """The nearest vectors of every fiftieth one."""
+    rows = table(spark, sf, "embeddings")
+    return multiindex.search(rows, rows["vec_id"] % 50 == 0)
