@@ -24,10 +24,12 @@ NEIGHBOURS = 5
 FIT_ROWS = 20_000
 MAX_CENTROIDS = 256
 CELL_ROWS = 16
-#: A query walks cells until they hold so many distinct vectors, or this share of all where that is more.
+#: A query walks cells until they hold so many distinct vectors, or where that is more the share of
+#: all that finds this part of the neighbours of so many vectors of the sample.
 CANDIDATES = 2_000
-CANDIDATE_SHARE = 0.02
-#: Vectors of a cell that meet the cell's queries in one unit of work, and queries in it.
+RECALL = 0.97
+TRIALS = 256
+#: Vectors that meet queries in one unit of work, and queries in it.
 UNIT_ROWS = 4_096
 UNIT_QUERIES = 4_096
 #: Pairs compared at once.
@@ -98,11 +100,50 @@ class Index:
     def distances(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _distances(units[:, : self.middle], self.first), _distances(units[:, self.middle :], self.second)
 
+    def share(self, sample: np.ndarray, neighbours: int, recall: float) -> float:
+        """The part of all vectors that a walk has to see to find `recall` of the nearest ones.
+
+        Measured in the sample: for some of its vectors, how many others lie in
+        cells no farther than the cells of their true neighbours. In a larger
+        table neighbours are nearer, so the part is rather too large than too small.
+        """
+        sample = np.unique(sample, axis=0)
+        if len(sample) < 2:
+            return 1.0
+        tried = sample[np.random.default_rng(5).permutation(len(sample))[:TRIALS]]
+        own = self.cells(sample)
+        places = []
+        for lo in range(0, len(tried), 16):
+            some = tried[lo : lo + 16]
+            a, b = self.distances(some)
+            sums = a[:, own // len(self.second)] + b[:, own % len(self.second)]
+            near = some @ sample.T
+            order = np.argsort(-near, axis=1, kind="stable")[:, 1 : neighbours + 1]
+            reach = np.take_along_axis(sums, order, axis=1)
+            places.append((sums[:, None, :] <= reach[:, :, None]).sum(axis=2).ravel() / len(sample))
+        return float(np.quantile(np.concatenate(places), recall))
+
     def cells(self, units: np.ndarray) -> np.ndarray:
         a, b = self.distances(units)
         return a.argmin(axis=1) * len(self.second) + b.argmin(axis=1)
 
 
+def shelve(held: dict[int, int]) -> tuple[dict[int, int], list[int]]:
+    """A shelf for every cell, and the parts that each shelf is cut into.
+
+    Neighbouring cells share a shelf of about UNIT_ROWS vectors; a cell with more
+    has a shelf of its own, in parts.
+    """
+    shelves, parts, n = {}, [], UNIT_ROWS
+    for cell in sorted(held):
+        if n + held[cell] > UNIT_ROWS:
+            parts.append(max(1, math.ceil(held[cell] / UNIT_ROWS)))
+            n = 0
+        shelves[cell] = len(parts) - 1
+        n += held[cell]
+    return shelves, parts
+
+
 def _cell_column(index: Index, vector: Column) -> Column:
     @F.pandas_udf("int")
     def cells(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -112,17 +153,22 @@ def _cell_column(index: Index, vector: Column) -> Column:
     return cells(vector)
 
 
-def _walk_column(index: Index, held: dict[int, int], wanted: int, vector: Column) -> Column:
-    @F.pandas_udf("array<int>")
-    def walks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for vectors in batches:
-            if not len(vectors):
-                yield pd.Series([], dtype=object)
-                continue
-            a, b = index.distances(_units(vectors))
-            yield pd.Series([walk(x, y, held, wanted) for x, y in zip(a, b)])
+def _walks(index: Index, held: dict[int, int], shelves: dict[int, int], wanted: int):
+    """Rows of a query and a shelf: the cells there that the query walks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lo in range(0, len(batch), 64):
+                some = batch.iloc[lo : lo + 64]
+                rows = []
+                for asked, vector, x, y in zip(some["class"], some["vector"], *index.distances(_units(some["vector"]))):
+                    by_shelf: dict[int, list[int]] = {}
+                    for cell in walk(x, y, held, wanted):
+                        by_shelf.setdefault(shelves[cell], []).append(cell)
+                    rows.extend((asked, vector, shelf, cells) for shelf, cells in by_shelf.items())
+                yield pd.DataFrame(rows, columns=["class", "vector", "shelf", "cells"])
 
-    return walks(vector)
+    return run
 
 
 def cosines(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -141,13 +187,15 @@ def _nearest(neighbours: int):
         q, e = (np.stack([np.asarray(v, np.float64) for v in df["vector"]]) for df in (queries, entries))
         unit_q, unit_e = _units(queries["vector"]), _units(entries["vector"])
         asked, named, ids = (df.to_numpy() for df in (queries["class"], entries["class"], entries["first_id"]))
+        cells, place = np.unique(entries["cell"].to_numpy(), return_inverse=True)
         # A query's own class can be the best, so one more is taken.
         keep, out = min(neighbours + 1, len(e)), [none]
         step = max(1, UNIT_PAIRS // len(e))
         for lo in range(0, len(q), step):
-            near = unit_q[lo : lo + step] @ unit_e.T
+            walked = np.stack([np.isin(cells, c) for c in queries["cells"].iloc[lo : lo + step]])
+            near = np.where(walked[:, place], unit_q[lo : lo + step] @ unit_e.T, -2)
             least = np.partition(near, len(e) - keep, axis=1)[:, len(e) - keep]
-            i, j = np.nonzero(near >= least[:, None] - 1e-9)
+            i, j = np.nonzero((near >= least[:, None] - 1e-9) & (near > -2))
             score = cosines(q[lo + i], e[j])
             order = np.lexsort((ids[j], -score, i))
             i, j, score = i[order], j[order], score[order]
@@ -165,7 +213,7 @@ def search(
     vector_col: str = "embedding",
     neighbours: int = NEIGHBOURS,
     candidates: int = CANDIDATES,
-    share: float = CANDIDATE_SHARE,
+    recall: float = RECALL,
 ) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score`: for every query its nearest vectors, ties by smaller id.
 
@@ -173,12 +221,15 @@ def search(
     its own neighbour; rows are told apart by id, and a vector that an id has
     twice counts once. Vectors that are NULL, empty, zero or of non-finite or
     NULL components take no part, neither do rows without id nor vectors of
-    another length than the first of the sample. A table with fewer vectors than
-    `candidates` is walked whole. Other columns are not read.
+    another length than the first of the sample. How far a query walks is fitted to
+    the sample, so that about `recall` of the neighbours are found: little for
+    vectors in clusters, much for vectors without any. A table with fewer vectors
+    than `candidates` is walked whole. Other columns are not read.
 
     Equal vectors are one class, of which only the smallest ids can be
-    neighbours, so large groups of copies cost no more than one vector. Cells are
-    cut into units of UNIT_ROWS vectors and UNIT_QUERIES queries. The table of
+    neighbours, so large groups of copies cost no more than one vector. Cells lie
+    on shelves of UNIT_ROWS vectors, and a query goes to each shelf that it walks
+    once, with the cells it walks there. The table of
     cells has MAX_CENTROIDS ** 2 rows at most; it and the centroids are all that
     reaches the driver besides the bounded sample.
     """
@@ -207,25 +258,29 @@ def search(
     entries = settled(entries, "entries")
     cells = entries.groupBy("cell").agg(F.count("*").alias("n"))
     held = {r["cell"]: r["n"] for r in cells.collect()}
-    wanted = max(candidates, math.ceil(share * n))
+    wanted = max(candidates, math.ceil(index.share(fitted, neighbours, recall) * n))
 
     asking = rows.where(F.coalesce("asks", F.lit(False))).select("id", "vector")
-    queries = asking.groupBy("vector").agg(F.min("id").alias("class"))
-    walked = settled(
-        queries.select("class", "vector", _walk_column(index, held, wanted, F.col("vector")).alias("cells")), "queries"
+    queries = settled(asking.groupBy("vector").agg(F.min("id").alias("class")), "queries")
+    groups = max(1, math.ceil(queries.count() / UNIT_QUERIES))
+    shelves, parts = shelve(held)
+    walked = queries.mapInPandas(
+        _walks(index, held, shelves, wanted), "class bigint, vector array<double>, shelf int, cells array<int>"
     )
-    parts = cells.select("cell", F.ceil(F.col("n") / UNIT_ROWS).cast("int").alias("parts"))
-    asked = walked.select("class", "vector", F.explode("cells").alias("cell"))
-    groups = asked.groupBy("cell").agg(F.ceil(F.count("*") / UNIT_QUERIES).cast("int").alias("groups"))
-    plan = F.broadcast(settled(parts.join(groups, "cell"), "cells"))
+    # A row per cell, so both may be broadcast.
+    of_cell = spark.createDataFrame([(c, k, parts[k]) for c, k in shelves.items()], "cell int, shelf int, parts int")
+    of_shelf = spark.createDataFrame(list(enumerate(parts)), "shelf int, parts int")
     spread = F.xxhash64("class")
-    part = F.pmod(spread, F.col("parts")).cast("int").alias("part")
-    group = F.pmod(spread, F.col("groups")).cast("int").alias("group")
-    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    every_group = F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group")
-    left = asked.join(plan, "cell").select("class", "vector", "cell", group, every_part)
-    right = entries.join(plan, "cell").select("class", "first_id", "vector", "cell", part, every_group)
-    unit = ["cell", "part", "group"]
+    part, group = (F.pmod(spread, n).cast("int") for n in (F.col("parts"), F.lit(groups)))
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    left = walked.join(F.broadcast(of_shelf), "shelf").select(
+        "class", "vector", "cells", "shelf", group.alias("group"), every_part.alias("part")
+    )
+    right = entries.join(F.broadcast(of_cell), "cell").select(
+        "class", "first_id", "vector", "cell", "shelf", part.alias("part"), every_group.alias("group")
+    )
+    unit = ["shelf", "part", "group"]
     found = (
         left.groupBy(*unit)
         .cogroup(right.groupBy(*unit))
