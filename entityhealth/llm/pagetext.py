@@ -139,15 +139,18 @@ def _lines(page: str) -> list[tuple[str, int, tuple[Region, ...]]]:
         nonlocal left_out
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == name:
-                if left_out is None or left_out >= k:
+                outer = left_out is None or left_out >= k
+                breaks = outer and (left_out is None or name in BLOCKS or stack[left_out][0] in BLOCKS)
+                regions_before = stack[k][2]
+                del stack[k:]
+                if breaks:
                     lines.end()
-                    lines.regions = stack[k][2]
-                    del stack[k:]
+                if outer:
+                    lines.regions = regions_before
                     if left_out is not None:
                         left_out = None
-                        gap()
-                else:
-                    del stack[k:]
+                        if breaks:
+                            gap()
                 return
 
     def add(raw: str) -> None:
@@ -191,7 +194,8 @@ def _lines(page: str) -> list[tuple[str, int, tuple[Region, ...]]]:
                 stack.append((name, name == "header", lines.regions))
                 if out:
                     left_out = len(stack) - 1
-                    gap()
+                    if name in BLOCKS:
+                        gap()
                 elif left_out is None and (sure := _holds_article(name, attributes)):
                     regions += 1
                     lines.regions = (*lines.regions, (sure, -regions))
