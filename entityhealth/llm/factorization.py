@@ -24,7 +24,7 @@ Features = Callable[[str, int | None], dict[int, float]]
 #: Labelled rows that a model learns from, at most. Rows beyond it add little to a model of this size.
 FIT_ROWS = 12_000
 #: Features that a model has, at most, and texts of the sample that one must be in.
-MAX_FEATURES = 6_000
+MAX_FEATURES = 2_500
 MIN_TEXTS = 4
 #: Texts scored together.
 BLOCK = 512
