@@ -55,7 +55,7 @@ def notes_left_split(spark, sf):
     """The same join with the splitting of hot keys switched on for keys of two rows and more."""
     readings = readings_e(spark, sf).select("event_id", "entity_id", "date")
     notes = notes_d(spark, sf).drop("note_text")
-    return joins.skew_join(readings, notes, ("entity_id", "date"), "left", share=0.0001, least=2)
+    return joins.skew_join(readings, notes, ("entity_id", "date"), "left", task_rows=2)
 
 
 @query(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from catalog.registry import SCORED_L, query, readings_l, scored_l, table
+from catalog.registry import READINGS_L, SCORED_L, query, readings_l, scored_l, table
 from entityhealth.operators import joins, model
+from entityhealth.session import written
 
 SPEC = model.FeatureSpec(
     ("quantity", "price", "discount"),
@@ -55,13 +57,20 @@ def category_index_wide(spark, sf):
     FROM rows JOIN ci USING (category) JOIN bi USING (breed)""",
 )
 def feature_table(spark, sf):
-    """The model's inputs as columns, with the label."""
-    return model.feature_table(_scored_with_breed(spark, sf), SPEC).select(
-        "order_id", "line", "date", *SPEC.inputs, "label"
+    """The entries of the vectors that the forest sees, with the label."""
+    vectors = model.assemble(model.feature_table(_scored_with_breed(spark, sf), SPEC), SPEC)
+    entries = vector_to_array("features")
+    return vectors.select(
+        "order_id", "line", "date", *[entries[i].alias(c) for i, c in enumerate(SPEC.inputs)], "label"
     )
 
 
-@query("hash_split")
+@query(
+    "hash_split",
+    f"""WITH {READINGS_L} SELECT order_id, line, date, CASE WHEN
+      CAST('0x' || substr(md5('42:' || order_id || ':' || line), 1, 8) AS BIGINT) % 10000 < 8000
+      THEN 'train' ELSE 'test' END AS part FROM readings""",
+)
 def hash_split(spark, sf):
     """Every reading in exactly one of two parts, by its key."""
     rows = readings_l(spark, sf).select("order_id", "line", "date")
@@ -72,20 +81,36 @@ def hash_split(spark, sf):
 RAW = model.FeatureSpec(SPEC.metrics, (), SPEC.categories)
 
 
-@query("alert_predictions")
+TEST_SQL = f"""WITH {SCORED_L}, test AS (
+  SELECT order_id, line, entity_id, date, health_alert_level,
+    CAST(CASE health_alert_level WHEN 'Đỏ (Nguy cơ cao)' THEN 3 WHEN 'Cam (Cảnh báo)' THEN 2
+      WHEN 'Vàng (Theo dõi)' THEN 1 ELSE 0 END AS DOUBLE) AS label
+  FROM scored JOIN part ON part_id = p_partkey
+  WHERE CAST('0x' || substr(md5('42:' || order_id || ':' || line), 1, 8) AS BIGINT) % 10000 >= 8000)"""
+
+
+@query("alert_predictions", f"{TEST_SQL} SELECT *, true AS beats_majority FROM test")
 def alert_predictions(spark, sf):
-    """Forest trained on 80 % of the readings, its predictions for the rest."""
+    """The rows that a forest trained on 80 % of the readings predicts, and whether it beats always saying one level.
+
+    A forest has no SQL; which rows it predicts, their labels and that it has
+    learnt something have.
+    """
     predictions = model.fit_predict(_scored_with_breed(spark, sf), ("order_id", "line"), SPEC)[1]
-    return predictions.select(
-        "order_id", "line", "entity_id", "date", "health_alert_level", "prediction", "label"
+    predictions = written(
+        predictions.select("order_id", "line", "entity_id", "date", "health_alert_level", "prediction", "label"), "predictions"
     )
+    hits = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    shares = [F.avg((F.col("label") == code).cast("double")) for code in range(4)]
+    right = predictions.agg(hits, F.greatest(*shares)).first()
+    return predictions.drop("prediction").withColumn("beats_majority", F.lit(bool(right[0] and right[0] > right[1])))
 
 
-@query("confusion_counts")
+@query("confusion_counts", f"{TEST_SQL} SELECT label, count(*) AS n FROM test GROUP BY label")
 def confusion_counts(spark, sf):
-    """How a forest that sees the measures only, not the flags the level is computed from, does."""
+    """Labels in the confusion matrix of a forest that sees the measures only, not the flags the level is computed from."""
     predictions = model.fit_predict(_scored_with_breed(spark, sf), ("order_id", "line"), RAW, trees=20)[1]
-    return model.confusion_counts(predictions)
+    return model.confusion_counts(predictions).groupBy("label").agg(F.sum("n").alias("n"))
 
 
 @query(

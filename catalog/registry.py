@@ -205,7 +205,7 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
     message = (
         F.when(kind == "purchase", F.concat(who, F.lit("Food Dispensed: "), F.floor("value").cast("string"), F.lit("g")))
         .when(kind == "error", F.concat(who, F.lit("Feeder Jammed")))
-        .when(kind == "signup", F.lit("Unusual behavior detected: 5 meows in 2 minutes."))
+        .when(kind == "signup", F.lit("Unusual behavior detected: barking for long."))
         .when(kind == "click", F.concat(who, F.lit("Unusual behavior detected: no meal")))
         .otherwise(F.concat(who, F.lit("started eating.")))
     )
@@ -221,7 +221,7 @@ LOG_LINES = """lines AS (
          WHEN 'purchase' THEN 'Pet Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') || ' Food Dispensed: '
                               || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || 'g'
          WHEN 'error' THEN 'Pet Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') || ' Feeder Jammed'
-         WHEN 'signup' THEN 'Unusual behavior detected: 5 meows in 2 minutes.'
+         WHEN 'signup' THEN 'Unusual behavior detected: barking for long.'
          WHEN 'click' THEN 'Pet Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') || ' Unusual behavior detected: no meal'
          ELSE 'Pet Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') || ' started eating.' END AS value
   FROM events)"""

@@ -35,17 +35,22 @@ def is_outlier(z: Column, limit: float) -> Column:
     return F.coalesce(F.abs(z) > F.lit(limit), F.lit(False))
 
 
-def scaled(value: Column, scale: int = 6) -> Column:
-    """The value in units of 10^-scale, as a whole number."""
-    return F.rint(value * 10.0**scale).cast("bigint").cast("decimal(18,0)")
-
-
-def mean_half_up(value: Column, places: int = 2, scale: int = 6) -> Column:
-    """The mean rounded half-up, from an exact sum of values with up to `scale` decimals.
+def mean_half_up(value: Column, places: int = 2) -> Column:
+    """The mean rounded half away from zero, from an exact sum; NULL and NaN are no values.
 
     Sums of doubles depend in the last digits on the order in which rows
-    arrive, so a retried task could change a rounded report. Whole numbers add
-    up the same in any order.
+    arrive, so a retried task could change a rounded report. Decimals add up the
+    same in any order, and the quotient is rounded once, as whole numbers.
+    Values and sums that 23 digits before and 10 after the point do not hold
+    (1e23 and beyond, infinities) fall back to the mean of doubles.
     """
-    mean = F.sum(scaled(value, scale)) / F.count(value)
-    return F.round(mean, places - scale).cast("double") / 10.0**scale
+    value = F.when(~F.isnan(value.cast("double")), value)
+    exact = F.sum(value.try_cast("decimal(28,10)")).try_cast("decimal(33,10)")
+    n, held = F.count(value), F.count(value.try_cast("decimal(28,10)"))
+    # 2 * 10^places * |sum| + n, divided by 2 n without a rest, is the rounded mean in units of the last place.
+    doubled = F.abs(exact) * F.lit(2 * 10**places).cast(f"decimal({places + 1},0)") + n.cast("decimal(20,0)")
+    units = F.floor(F.try_divide(doubled, (2 * n).cast("decimal(20,0)")))
+    rounded = F.sign(exact.cast("double")) * units.cast("double") / 10.0**places
+    return F.when(held == n, F.coalesce(rounded, F.round(F.avg(value.cast("double")), places))).otherwise(
+        F.round(F.avg(value.cast("double")), places)
+    )

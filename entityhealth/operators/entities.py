@@ -74,15 +74,12 @@ def latest_per_entity(
 def available_ids(*tables: DataFrame, entity: str = "pet_id") -> DataFrame:
     """Sorted ids of the first table that has any.
 
-    One pass for all tables: distinct ids with the table's position, then only
-    the lowest position.
+    Tables are asked in turn for a single id, which stops at the first one found;
+    only the table that has one is read for the distinct ids.
     """
-    ranked = [t.select(F.col(entity), F.lit(i).alias("_source")).distinct() for i, t in enumerate(tables)]
-    ids = ranked[0]
-    for r in ranked[1:]:
-        ids = ids.unionByName(r)
-    ids = ids.where(F.col(entity).isNotNull())
-    return ids.where(F.col("_source") == ids.agg(F.min("_source")).scalar()).select(entity).orderBy(entity)
+    found = [t.select(entity).where(F.col(entity).isNotNull()) for t in tables]
+    first = next((t for t in found[:-1] if not t.isEmpty()), found[-1])
+    return first.distinct().orderBy(entity)
 
 
 def latest_alert_card(

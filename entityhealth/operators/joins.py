@@ -13,11 +13,11 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot with this share of the rows, and this many rows at least.
-HOT_SHARE = 0.01
-HOT_ROWS = 1_000_000
-HOT_KEYS = 64
-SPLITS = 64
+# A key is hot with more rows than one task should hold; it is split into parts of this size.
+TASK_ROWS = 1_000_000
+# Keys that the sketch reports and counters it keeps. A key with over 1/TRACKED of the rows is never missed.
+REPORTED = 10_000
+TRACKED = 200_000
 
 
 def attach_profile(
@@ -36,12 +36,12 @@ def attach_profile(
     return fact.drop(*replace).join(profile, on, how)
 
 
-def _hot_keys(df: DataFrame, on: Sequence[str], share: float, least: int) -> tuple[set[int], bool]:
-    """Hashes of the keys with a large share of the rows, and whether missing keys have one.
+def _hot_keys(df: DataFrame, on: Sequence[str], task_rows: int) -> tuple[dict[int, int], int]:
+    """Hashes of the keys with more than `task_rows` rows and their parts, and the parts of rows without a key.
 
-    One pass over the key columns with a sketch of fixed size; the driver gets a
-    single row with at most `HOT_KEYS` items. An estimate is enough: splitting a
-    key that is not hot changes no result.
+    One pass over the key columns with a sketch of bounded size; the driver gets
+    a single row with at most REPORTED items. An estimate is enough: splitting a
+    key that is not hot, or into other parts, changes no result.
     """
     absent = F.lit(False)
     for c in on:
@@ -50,29 +50,25 @@ def _hot_keys(df: DataFrame, on: Sequence[str], share: float, least: int) -> tup
     row = keys.agg(
         F.count("*").alias("n"),
         F.count("k").alias("present"),
-        F.expr(f"approx_top_k(k, {HOT_KEYS}, {HOT_KEYS * 64})").alias("top"),
+        F.expr(f"approx_top_k(k, {REPORTED}, {TRACKED})").alias("top"),
     ).first()
-    bound = max(row["n"] * share, least)
-    hot = {t["item"] for t in row["top"] or [] if t["item"] is not None and t["count"] >= bound}
-    return hot, row["n"] - row["present"] >= bound
+    found = {t["item"]: t["count"] for t in row["top"] or [] if t["item"] is not None}
+    parts = {k: -(-n // task_rows) for k, n in found.items() if n > task_rows}
+    return parts, max(1, -(-(row["n"] - row["present"]) // task_rows))
 
 
 def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    share: float = HOT_SHARE,
-    least: int = HOT_ROWS,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", task_rows: int = TASK_ROWS
 ) -> DataFrame:
-    """Equi-join that stays balanced when one key holds a large share of either side.
+    """Equi-join that stays balanced when keys hold many rows of either side.
 
     Without hot keys it is the plain join. Otherwise the rows of a hot key are
-    spread over `SPLITS` parts on the side where it is hot and the other side
-    repeats its rows of that key once per part. A left row repeated for a key
-    hot on the right keeps its matches from every part; parts without a match
-    are dropped, and as the key does occur on the right, some part has one.
-    Left rows without a key match nothing and are spread as well.
+    spread over parts of about `task_rows` on the side where it is hot and the
+    other side repeats its rows of that key once per part; the table of hot keys
+    has 2 * REPORTED rows at most. A left row repeated for a key hot on the
+    right keeps its matches from every part; parts without a match are dropped,
+    and as the key does occur on the right, some part has one. Left rows without
+    a key match nothing and are spread as well.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
@@ -80,28 +76,34 @@ def skew_join(
     for c in on:
         if left.schema[c].dataType != right.schema[c].dataType:
             raise ValueError(f"key {c} has two types: cast one side, equal keys must hash alike")
-    hot_left, many_absent = _hot_keys(left, on, share, least)
-    hot_right, _ = _hot_keys(right, on, share, least)
-    if not hot_left and not hot_right and not (many_absent and how == "left"):
+    hot_left, absent_parts = _hot_keys(left, on, task_rows)
+    hot_right, _ = _hot_keys(right, on, task_rows)
+    if not hot_left and not hot_right and (absent_parts == 1 or how == "inner"):
         return left.join(right, on, how)
+    hot = [(k, hot_left.get(k, 1), hot_right.get(k, 1)) for k in {**hot_left, **hot_right}]
+    table = F.broadcast(left.sparkSession.createDataFrame(hot, "_key bigint, _left int, _right int"))
 
-    def spread(df: DataFrame, own: set[int], other: set[int], own_part: str, other_part: str) -> DataFrame:
-        key = F.xxhash64(*on)
+    def spread(df: DataFrame, own: str, other: str, own_part: str, other_part: str, absent: int) -> DataFrame:
         # Copies of a row lie in different input partitions; maps cannot be hashed.
         hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-        row = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(SPLITS)).cast("int")
-        absent = F.coalesce(*[F.when(F.col(c).isNull(), True) for c in on], F.lit(False))
-        everywhere = F.sequence(F.lit(0), F.lit(SPLITS - 1))
-        parts = df.withColumn(own_part, F.when(absent | key.isin(list(own)), row).otherwise(0))
-        copies = F.when(~absent & key.isin(list(other)), everywhere).otherwise(F.array(F.lit(0)))
-        return parts.withColumn(other_part, F.explode(copies))
-
-    l = spread(left, hot_left, hot_right, "_lp", "_rp")
-    l = l.withColumn("_repeated", F.xxhash64(*on).isin(list(hot_right)))
-    r = spread(right, hot_right, hot_left, "_rp", "_lp").withColumn("_match", F.lit(True))
+        no_key = F.coalesce(*[F.when(F.col(c).isNull(), True) for c in on], F.lit(False))
+        row = F.xxhash64(*hashed, F.spark_partition_id())
+        marked = df.withColumns({"_row": row, "_key": F.when(~no_key, F.xxhash64(*on)), "_absent": no_key})
+        parts = F.when(F.col("_absent"), absent).otherwise(F.coalesce(own, F.lit(1)))
+        everywhere = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+        return (
+            marked.join(table, "_key", "left")
+            .withColumn(own_part, F.pmod("_row", parts).cast("int"))
+            .withColumn(other_part, everywhere)
+            .drop("_row", "_key", "_absent", own)
+            .withColumnRenamed(other, "_repeats")
+        )
+
+    l = spread(left, "_left", "_right", "_lp", "_rp", absent_parts)
+    r = spread(right, "_right", "_left", "_rp", "_lp", 1).drop("_repeats").withColumn("_match", F.lit(True))
     joined = l.join(r, on + ["_lp", "_rp"], how)
-    joined = joined.where(F.col("_match").isNotNull() | ~F.col("_repeated"))
-    return joined.drop("_lp", "_rp", "_match", "_repeated")
+    joined = joined.where(F.col("_match").isNotNull() | (F.coalesce("_repeats", F.lit(1)) == 1))
+    return joined.drop("_lp", "_rp", "_match", "_repeats")
 
 
 def attach_notes(

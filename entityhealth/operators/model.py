@@ -5,20 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityhealth.functions.levels import level_code
 from entityhealth.operators.aggregates import counts_by
 from entityhealth.operators.ranks import ordered_index
+from entityhealth.session import written
 
-MAX_CATEGORIES = 1000
-BROADCAST_CATEGORIES = 100_000
+#: Rows that a forest learns from, about.
+FIT_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -79,18 +78,20 @@ def category_index(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def with_category_indexes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def with_category_indexes(df: DataFrame, columns: Sequence[str], indexes: DataFrame | None = None) -> DataFrame:
     """Every row with its categories' indexes as double; unseen and NULL get the next free one.
 
-    The index table is broadcast only when its counted size allows it.
+    `indexes` is what `category_indexes` made of other rows, of `df` itself if
+    not given. It is written once and joined once per category; Spark picks the
+    join by the size of what is written, so there may be any number of categories.
     """
-    indexes = category_indexes(df, columns)
-    hint = F.broadcast if indexes.count() <= BROADCAST_CATEGORIES else lambda t: t
+    indexes = written(category_indexes(df, columns), "categories") if indexes is None else indexes
+    free = {r["column"]: r["n"] for r in indexes.groupBy("column").agg(F.count("*").alias("n")).collect()}
     for c in columns:
         name = f"{c}_index"
-        table = indexes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("index").alias(name))
-        unseen = table.agg(F.count("*").alias("n")).scalar()
-        df = df.join(hint(table), c, "left").withColumn(name, F.coalesce(F.col(name), unseen).cast("double"))
+        table = indexes.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("index").alias(name))
+        joined = df.join(table, F.col(c).cast("string") == F.col("_value"), "left").drop("_value")
+        df = joined.withColumn(name, F.coalesce(F.col(name), F.lit(free.get(c, 0))).cast("double"))
     return df
 
 
@@ -98,14 +99,25 @@ def with_label(df: DataFrame) -> DataFrame:
     return df.withColumn("label", level_code(F.col("health_alert_level"), 0.0))
 
 
-def feature_table(df: DataFrame, spec: FeatureSpec = FULL) -> DataFrame:
-    """The unassembled inputs as doubles, next to the label."""
-    indexed = with_category_indexes(df, spec.categories)
+def feature_table(df: DataFrame, spec: FeatureSpec = FULL, indexes: DataFrame | None = None) -> DataFrame:
+    """The inputs of the model as doubles, next to the label. Training and prediction read the same columns."""
+    indexed = with_category_indexes(df, spec.categories, indexes) if spec.categories else df
     known = with_label(indexed.fillna(0, subset=list(spec.metrics)))
     numbers = {c: F.col(c).cast("double") for c in (*spec.metrics, *spec.flags)}
     return known.withColumns(numbers)
 
 
+def assemble(features: DataFrame, spec: FeatureSpec = FULL) -> DataFrame:
+    """The inputs as one vector, in the order of the specification."""
+    return VectorAssembler(inputCols=spec.inputs, outputCol="features").transform(features)
+
+
+def _place(keys: Sequence[str], seed: int) -> Column:
+    """A number below 10,000 that follows from the key alone."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
+
+
 def hash_split(
     df: DataFrame, keys: Sequence[str], share: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
@@ -114,64 +126,44 @@ def hash_split(
     The same row always falls into the same part, whatever the plan or the
     number of partitions; rows of one key stay together.
     """
-    place = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(10_000))
-    marked = df.withColumn("_place", place)
     bound = round(share * 10_000)
-    return (
-        marked.where(F.col("_place") < bound).drop("_place"),
-        marked.where(F.col("_place") >= bound).drop("_place"),
-    )
+    return df.where(_place(keys, seed) < bound), df.where(_place(keys, seed) >= bound)
 
 
-def fit_indexers(df: DataFrame, categories: Sequence[str], limit: int = MAX_CATEGORIES) -> StringIndexerModel:
-    """Indexes by falling frequency for all categories in one pass; unseen values get an index of their own.
+@dataclass(frozen=True)
+class AlertModel:
+    """A forest, and the category indexes that its inputs are made with."""
 
-    The labels live on the driver, so the number of categories is checked first.
-    """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categories]).first()
-    for c in categories:
-        if sizes[c] > limit:
-            raise ValueError(f"{c} has about {sizes[c]} values, too many for a category")
-    indexer = StringIndexer(
-        inputCols=list(categories),
-        outputCols=[f"{c}_index" for c in categories],
-        handleInvalid="keep",
-        stringOrderType="frequencyDesc",
-    )
-    return indexer.fit(df)
+    spec: FeatureSpec
+    indexes: DataFrame | None
+    forest: RandomForestClassificationModel
 
+    def transform(self, scored: DataFrame) -> DataFrame:
+        return self.forest.transform(assemble(feature_table(scored, self.spec, self.indexes), self.spec))
 
-def train_alert_model(
-    train: DataFrame, spec: FeatureSpec = FULL, trees: int = 100, depth: int = 5, seed: int = 42
-) -> PipelineModel:
-    """Random forest over the assembled features.
 
-    Fitting reads the training rows many times. They are dealt out evenly over
-    `spark.sql.shuffle.partitions`, the input columns alone, and kept (spilling
-    to disk) while it runs.
+def train_alert_model(
+    train: DataFrame,
+    spec: FeatureSpec = FULL,
+    keys: Sequence[str] = ("pet_id", "date"),
+    trees: int = 100,
+    depth: int = 5,
+    seed: int = 42,
+    fit_rows: int = FIT_ROWS,
+) -> AlertModel:
+    """Random forest over the assembled features of about `fit_rows` rows.
+
+    The rows are drawn by a hash of their key, so the sample does not depend on
+    the run; fewer than `fit_rows` rows are all used. Categories are indexed over
+    all training rows. The assembled sample is written once; the forest reads it
+    from there, so scores and joins run once.
     """
-    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = train.select(*spec.metrics, *spec.flags, *spec.categories, "label")
-    rows = rows.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stages, bins = [], 32
-        if spec.categories:
-            indexer = fit_indexers(rows, spec.categories)
-            stages.append(indexer)
-            bins = max(bins, *[len(labels) + 1 for labels in indexer.labelsArray])
-        stages.append(VectorAssembler(inputCols=spec.inputs, outputCol="features"))
-        stages.append(
-            RandomForestClassifier(
-                labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, maxBins=bins, seed=seed
-            )
-        )
-        return Pipeline(stages=stages).fit(rows)
-    finally:
-        rows.unpersist()
-
-
-def prepare(scored: DataFrame, spec: FeatureSpec = FULL) -> DataFrame:
-    return with_label(scored.fillna(0, subset=list(spec.metrics)))
+    indexes = written(category_indexes(train, spec.categories), "categories") if spec.categories else None
+    share = min(10_000, -(-fit_rows * 10_000 // max(1, train.count())))
+    sample = train if share >= 10_000 else train.where(_place(keys, seed + 1) < share)
+    rows = assemble(feature_table(sample, spec, indexes), spec).select("features", "label")
+    forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
+    return AlertModel(spec, indexes, forest.fit(written(rows, "sample")))
 
 
 def fit_predict(
@@ -180,10 +172,11 @@ def fit_predict(
     spec: FeatureSpec = FULL,
     trees: int = 100,
     seed: int = 42,
-) -> tuple[PipelineModel, DataFrame]:
+    fit_rows: int = FIT_ROWS,
+) -> tuple[AlertModel, DataFrame]:
     """Train on 80 % of the keys, predict the rest."""
-    train, test = hash_split(prepare(scored, spec), keys, 0.8, seed)
-    model = train_alert_model(train, spec, trees, seed=seed)
+    train, test = hash_split(scored, keys, 0.8, seed)
+    model = train_alert_model(train, spec, keys, trees, seed=seed, fit_rows=fit_rows)
     return model, model.transform(test)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityhealth.operators.entities import keep_last
+from entityhealth.operators.ranks import ordered_index
 from entityhealth.operators.scoring import union_by_name
 
 
@@ -54,7 +55,10 @@ def carry_forward(
 def allocate_ids(
     existing: DataFrame, quota: int, target: int, entity: str = "pet_id", prefix: str = "pet", width: int = 3
 ) -> DataFrame:
-    """The lowest unused ids, up to `quota` and never beyond `target` entities."""
+    """The lowest unused ids, up to `quota` and never beyond `target` entities.
+
+    Unused numbers are placed by range partitions, so no quota meets in one task.
+    """
     spark = existing.sparkSession
     used = existing.select(entity).where(F.col(entity).isNotNull()).distinct()
     wanted = max(0, min(quota, target - used.count()))
@@ -62,7 +66,8 @@ def allocate_ids(
     numbers = spark.range(target).select(
         F.col("id").alias("number"), F.concat(F.lit(prefix), _pad(F.col("id"), width)).alias(entity)
     )
-    return numbers.join(used, entity, "left_anti").orderBy("number").limit(wanted).select("number", entity)
+    free = ordered_index(numbers.join(used, entity, "left_anti"), [F.col("number")], "_place")
+    return free.where(F.col("_place") < wanted).select("number", entity)
 
 
 def _pad(number: Column, width: int) -> Column:

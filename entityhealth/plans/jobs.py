@@ -21,7 +21,7 @@ from entityhealth.operators import (
     upkeep,
 )
 from entityhealth.rules import DEFAULT_RULES, LEVELS, RuleSet
-from entityhealth.session import fixed
+from entityhealth.session import written
 from entityhealth.sources import devicelog, notes, sinks, tables
 
 # Food is in grams; the report header keeps its traditional name.
@@ -46,9 +46,12 @@ def with_profiles(activity: DataFrame, profiles: DataFrame) -> DataFrame:
     return joins.attach_profile(activity, profiles.select("pet_id", *own), "pet_id", "left", replace=own)
 
 
-def score_readings(readings: DataFrame, note_table: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+def score_readings(
+    readings: DataFrame, note_table: DataFrame, rules: RuleSet = DEFAULT_RULES, missing: str = "zero"
+) -> DataFrame:
     """Readings with their profile, joined with notes and scored."""
-    return scoring.score(joins.attach_notes(readings, scoring.annotate_notes(note_table, rules)), rules)
+    noted = joins.attach_notes(readings, scoring.annotate_notes(note_table, rules))
+    return scoring.score(noted, rules, missing=missing)
 
 
 def health_report(
@@ -59,9 +62,16 @@ def health_report(
     out: str,
     rules: RuleSet = DEFAULT_RULES,
     trees: int = 100,
+    missing: str = "zero",
+    multi_line: bool = False,
 ) -> dict[str, str]:
     """Merge and score all readings; write both tables and the four reports.
 
+    Ids match whatever their case and surrounding blanks. A missing reading
+    counts as 0 (`missing='zero'`) or is left out of scores and trends
+    (`missing='ignore'`). `multi_line` is for readings with line ends inside
+    cells; each input file is then one task.
+
     The merged and the scored table are written once as Parquet and read back,
     so files are parsed once, the joins run once and a lost executor costs no
     more than its tasks. Trends come from the merged readings, before notes
@@ -75,11 +85,13 @@ def health_report(
         "monthly_trends": f"{out}/monthly_trends.csv",
         "predictions": f"{out}/ml_predictions.csv",
     }
-    activity = cleanse.fill_missing(tables.read_activity_csv(spark, activity_path), schemas.METRICS)
+    activity = cleanse.normalize_key(tables.read_activity_csv(spark, activity_path, multi_line=multi_line), "pet_id")
+    if missing == "zero":
+        activity = cleanse.fill_missing(activity, schemas.METRICS)
     merged = with_profiles(activity, tables.read_profiles(spark, profiles_path))
     merged.write.mode("overwrite").parquet(paths["readings"])
     readings = spark.read.parquet(paths["readings"])
-    score_readings(readings, read_notes(spark, notes_path), rules).write.mode("overwrite").parquet(paths["scored"])
+    score_readings(readings, read_notes(spark, notes_path), rules, missing).write.mode("overwrite").parquet(paths["scored"])
     scored = spark.read.parquet(paths["scored"])
     sinks.write_report(scoring.alert_report(scored, schemas.ALERT.fieldNames()), paths["alerts"])
 
@@ -95,6 +107,9 @@ def health_report(
 def read_reports(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """The written reports with their declared schemas.
 
+    Alerts hold free texts with line ends, so a part file is one task; the
+    scored table lies next to them as Parquet for anything that needs them again.
+
     Rows without a readable date or prediction are dropped, such as header
     lines repeated where part files were joined by hand.
     """
@@ -184,13 +199,19 @@ def daily_refresh(
     """Bring a table landed by day up to date, rewriting only the days that change.
 
     Every known entity gets a row for `day` and incoming readings replace what
-    was there for their entity and day. A second run changes nothing.
+    was there for their entity and day. A second run changes nothing. The
+    table's columns stay: those that `incoming` lacks are NULL in its rows, and
+    columns that the table does not have are refused. Rows without a date are a
+    day of their own, whose old rows stay like those of any other.
     """
-    existing = spark.read.parquet(path).select(*incoming.columns)
-    carried = upkeep.carry_forward(existing, day, attributes, entity, date)
-    days = incoming.select(date).unionByName(carried.select(date)).distinct()
-    touched = existing.join(days, date, "left_semi")
+    existing = spark.read.parquet(path)
+    if unknown := [c for c in incoming.columns if c not in existing.columns]:
+        raise ValueError(f"the table has no columns {unknown}")
+    incoming = cleanse.conform(incoming, existing.schema)
+    carried = written(upkeep.carry_forward(existing, day, attributes, entity, date), "carried")
+    days = incoming.select(date).unionByName(carried.select(date)).distinct().withColumnRenamed(date, "_day")
+    touched = existing.join(days, existing[date].eqNullSafe(days["_day"]), "left_semi")
     parts = [t.withColumn("_source", F.lit(i)) for i, t in enumerate((touched, carried, incoming))]
     merged = upkeep.dedupe_keep_last(scoring.union_by_name(*parts), [entity, date], ["_source", *arrival])
     # The rows are fixed before their old partitions are replaced.
-    sinks.land(fixed(merged.drop("_source")), path, date)
+    sinks.land(written(merged.drop("_source"), "refreshed"), path, date)

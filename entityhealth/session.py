@@ -55,6 +55,13 @@ def fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, whatever reads them next."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the scratch folder."""
     return f"{scratch_root(spark)}/entityhealth/{label}-{uuid.uuid4().hex}"

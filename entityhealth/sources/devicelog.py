@@ -15,6 +15,8 @@ LINE_NAME_OPTIONAL = r"\[(INFO|WARN)\] (\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) - (
 FOOD = r"Food Dispensed: (\d+)g"
 JAMMED = "Feeder Jammed"
 UNUSUAL = "Unusual behavior detected"
+#: The four groups of a line, one per line of text: no group holds a line end.
+GROUPS = "$1\n$2\n$3\n$4"
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -28,26 +30,21 @@ def parse_device_log(lines: DataFrame, entity_optional: bool = False) -> DataFra
     and NULL time. `entity_optional` keeps such lines as device-level events
     with an empty name.
     """
-    pattern = LINE_NAME_OPTIONAL if entity_optional else LINE
-    fields = lines.withColumns(
-        {
-            "log_time_text": F.regexp_extract("value", pattern, 2),
-            "log_level": F.regexp_extract("value", pattern, 1),
-            "pet_name_from_log": F.regexp_extract("value", pattern, 3),
-            "log_message": F.regexp_extract("value", pattern, 4),
-        }
-    )
-    keep = [c for c in lines.columns if c != "value"]
-    return fields.select(
-        *keep,
-        parse_timestamp(F.col("log_time_text")).alias("log_timestamp"),
-        "log_level",
-        "pet_name_from_log",
-        "log_message",
-        F.nullif(F.regexp_extract("log_message", FOOD, 1), F.lit("")).try_cast("int").alias("food_dispensed_g"),
-        F.contains("log_message", F.lit(JAMMED)).alias("feeder_jammed_event"),
-        F.contains("log_message", F.lit(UNUSUAL)).alias("unusual_behavior_detected"),
-    )
+    line = LINE_NAME_OPTIONAL if entity_optional else LINE
+    # The line is matched once: its groups are joined with a character that ends no group.
+    found = F.when(F.col("value").rlike(line), F.split(F.regexp_replace(F.regexp_substr("value", F.lit(line)), line, GROUPS), "\n", 4))
+    level, time, entity, message = (F.coalesce(F.get("_found", i), F.lit("")) for i in range(4))
+    event = {
+        "log_timestamp": parse_timestamp(time),
+        "log_level": level,
+        "pet_name_from_log": entity,
+        "log_message": message,
+        "food_dispensed_g": F.regexp_substr(F.regexp_substr(message, F.lit(FOOD)), F.lit(r"\d+")).try_cast("int"),
+        "feeder_jammed_event": F.contains(message, F.lit(JAMMED)),
+        "unusual_behavior_detected": F.contains(message, F.lit(UNUSUAL)),
+    }
+    other = [c for c in lines.columns if c != "value"]
+    return lines.withColumn("_found", found).select(*other, *[c.alias(name) for name, c in event.items()])
 
 
 def device_daily_summary(events: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from entityhealth.sources.tables import read_report
 
-SINGLE_FILE_ROWS = 1_000_000
 CSV_OPTIONS = {
     "header": True,
     "escape": '"',
@@ -27,18 +26,19 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def export_single_file(
-    spark: SparkSession, report: str, path: str, schema: T.StructType, max_rows: int = SINGLE_FILE_ROWS
+    spark: SparkSession, report: str, path: str, schema: T.StructType, multi_line: bool = False
 ) -> None:
-    """One CSV file from a written report directory.
+    """One CSV file from a written report directory, its rows in the report's order.
 
-    For trend tables, which have a row per group. The report is already
-    computed and only read back; a larger one is refused, not cut.
+    The report is already computed and only read back. Part files are packed
+    into read tasks by size, so the one writing task sorts by part file, place
+    in it and row; that sort spills to disk. One file is the caller's choice: it
+    is written by one task, however many rows it has.
     """
-    table = read_report(spark, report, schema)
-    rows = table.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows are too many for a single file; read the directory instead")
-    table.coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    table = read_report(spark, report, schema, multi_line)
+    place = {"_file": F.col("_metadata.file_name"), "_block": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id()}
+    placed = table.withColumns(place).coalesce(1).sortWithinPartitions(*place)
+    placed.drop(*place).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def land(df: DataFrame, path: str, by: str = "date") -> None:

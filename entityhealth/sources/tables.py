@@ -16,6 +16,10 @@ from entityhealth.functions.text import normalize_key
 from entityhealth.operators.cleanse import conform
 
 
+#: Only this ends a row, so that other line ends inside a quoted cell stay as they are.
+LINES = {"lineSep": "\n"}
+
+
 def _typed(df: DataFrame, schema: T.StructType, date_format: str) -> DataFrame:
     """Text columns to the declared types; what does not parse becomes NULL."""
     out = []
@@ -38,16 +42,21 @@ def read_activity_csv(
     columns: Sequence[str] | None = None,
     rename: Mapping[str, str] | None = None,
     date_format: str = "yyyy-MM-dd",
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header row, as typed readings.
 
+    A quote inside a quoted cell is doubled. Cells with line ends need
+    `multi_line`; a file is then one task, so large inputs come in many files.
+
     `columns` is the column order in the file (that of `schema` by default),
     `rename` maps file names to schema names. All cells are read as text, so no
     row gets lost over a bad cell; there is no inference pass.
     """
     names = list(columns or schema.fieldNames())
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    reader = spark.read.schema(text).options(header=True, enforceSchema=False, escape='"')
+    raw = reader.options(multiLine=multi_line, **LINES).csv(path)
     if rename:
         raw = raw.withColumnsRenamed(dict(rename))
     return _typed(raw, schema, date_format)
@@ -58,8 +67,8 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType, multi_line
 
     `multi_line` is for reports with free text; a part file is then one task.
     """
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    return reader.option("multiLine", multi_line).csv(path)
+    reader = spark.read.schema(schema).options(header=True, escape='"')
+    return reader.options(multiLine=multi_line, **(LINES if multi_line else {})).csv(path)
 
 
 def read_json_records(

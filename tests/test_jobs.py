@@ -65,6 +65,18 @@ def test_health_report(spark, reports):
     assert 0 < read["predictions"].count() < 200
 
 
+def test_report_with_ids_in_other_spellings_and_missing_readings(spark, tmp_path):
+    lines = [",".join(COLUMNS), " PET001,2025-01-01,,12,1,15,,,,,", "pet001,2025-01-02,250,12,1,15,,,,,"]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "p.json").write_text(json.dumps(dict(pet_id="Pet001 ", name="N", species="Dog", breed="b")))
+    for missing, alerts, mean in (("zero", 1, 125.0), ("ignore", 0, 250.0)):
+        out = f"{tmp_path}/{missing}"
+        paths = jobs.health_report(spark, f"{tmp_path}/a.csv", f"{tmp_path}/p.json", None, out, trees=1, missing=missing)
+        read = jobs.read_reports(spark, paths)
+        assert spark.read.parquet(paths["scored"]).count() == 2 and read["alerts"].count() == alerts
+        assert read["monthly_trends"].first().avg_food_amount_kg == mean
+
+
 def test_report_without_notes(spark, files, tmp_path):
     root, _ = files
     notes_table = jobs.read_notes(spark, f"{tmp_path}/none.md")

@@ -24,12 +24,12 @@ def sides(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("swap", [False, True])
-@pytest.mark.parametrize("share,least", [(0.05, 20), (0.3, 20), (0.0, 1), (0.9, 10**9)])
-def test_skew_join_equals_the_plain_join(spark, rows, how, swap, share, least):
+@pytest.mark.parametrize("task_rows", [20, 45, 1, 10**9])
+def test_skew_join_equals_the_plain_join(spark, rows, how, swap, task_rows):
     left, right = sides(spark)
     if swap:
         left, right = right, left
-    got = joins.skew_join(left, right, ["k", "g"], how, share, least)
+    got = joins.skew_join(left, right, ["k", "g"], how, task_rows)
     want = left.join(right, ["k", "g"], how)
     assert got.columns == want.columns
     assert rows(got) == rows(want)
@@ -40,9 +40,9 @@ def test_skew_join_splits_hot_keys(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
-        assert joins._hot_keys(left, ["k", "g"], 0.05, 20)[1] is True
-        assert len(joins._hot_keys(left, ["k", "g"], 0.05, 20)[0]) == 2
-        joined = joins.skew_join(left, right, ["k", "g"], "left", 0.05, 20)
+        parts, absent = joins._hot_keys(left, ["k", "g"], 20)
+        assert sorted(parts.values()) == [3, 15] and absent == 10
+        joined = joins.skew_join(left, right, ["k", "g"], "left", 20)
         parts = joined.where("k = 1").select(F.spark_partition_id().alias("p")).distinct().count()
         assert parts > 1
         plain = joins.skew_join(left, right, ["k", "g"], "left")
@@ -52,12 +52,24 @@ def test_skew_join_splits_hot_keys(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_many_hot_keys_are_all_split(spark):
+    """Ninety keys of the same share and one just above the limit; each is cut by its own size."""
+    keys = [k for k in range(90) for _ in range(110)] + [90] * 101 + [k for k in range(100, 300)] + [400] * 99
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, a int").repartition(4)
+    parts, absent = joins._hot_keys(left, ["k"], 100)
+    assert len(parts) == 91 and set(parts.values()) == {2} and absent == 1
+    assert set(joins._hot_keys(left, ["k"], 20)[0].values()) == {6, 5}
+    right = left.select("k", "a").withColumnRenamed("a", "b").where("k >= 89")
+    got, want = joins.skew_join(left, right, ["k"], "left", 100), left.join(right, ["k"], "left")
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
 def test_skew_join_with_vectors_and_maps(spark):
     left = spark.createDataFrame([(1, {"a": 1})] * 5 + [(2, None)], "k int, m map<string,int>")
     right = spark.createDataFrame([(1, Vectors.sparse(4, [1], [2.0]))] * 3 + [(3, None)], StructType(
         [StructField("k", IntegerType()), StructField("v", VectorUDT())]
     ))
-    got = joins.skew_join(left, right, ["k"], "left", 0.0, 2)
+    got = joins.skew_join(left, right, ["k"], "left", 2)
     assert got.count() == 16 and got.where("k = 2").first().v is None
 
 

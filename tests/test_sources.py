@@ -88,6 +88,7 @@ def test_note_blocks_survive_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+# The golden input of the log format.
 LOG = (
     "[INFO] 2025-06-25 08:03:21 - Pet Miu started eating.\n"
     "[INFO] 2025-06-25 08:04:45 - Pet Miu meowed continuously.\n"
@@ -166,14 +167,30 @@ def test_report_text_survives_csv(spark, tmp_path, rows):
     assert rows(tables.read_report(spark, f"{tmp_path}/r", schema, multi_line=True)) == sorted(data)
 
 
-def test_single_file_export_refuses_large_reports(spark, tmp_path):
-    schema = schemas.struct(k="bigint")
-    sinks.write_report(spark.range(100).withColumnRenamed("id", "k"), f"{tmp_path}/r")
+def test_single_file_export_keeps_the_order(spark, tmp_path):
+    """Part files of very different sizes are packed in another order than their own."""
+    schema = schemas.struct(k="bigint", t="string")
+    sizes = {0: 3, 1: 400, 2: 1, 3: 900, 4: 20, 5: 2000}
+    data = [(p * 10_000 + i, "x" * (i % 50)) for p, n in sizes.items() for i in range(n)]
+    for p in sizes:
+        part = spark.createDataFrame([r for r in data if r[0] // 10_000 == p], schema).coalesce(1)
+        sinks.write_report(part, f"{tmp_path}/p{p}")
+        (tmp_path / "r").mkdir(exist_ok=True)
+        source = next((tmp_path / f"p{p}").glob("part-*.csv"))
+        (tmp_path / "r" / f"part-{p:05d}.csv").write_bytes(source.read_bytes())
     sinks.export_single_file(spark, f"{tmp_path}/r", f"{tmp_path}/one", schema)
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    assert tables.read_report(spark, f"{tmp_path}/one", schema).count() == 100
-    with pytest.raises(ValueError):
-        sinks.export_single_file(spark, f"{tmp_path}/r", f"{tmp_path}/two", schema, max_rows=99)
+    files = list((tmp_path / "one").glob("part-*"))
+    assert len(files) == 1
+    keys = [int(line.split(",")[0]) for line in files[0].read_text().splitlines()[1:]]
+    assert keys == [k for k, _ in data]
+
+
+def test_readings_with_quotes_and_line_ends(spark, tmp_path):
+    data = [("a", 'Rex "Max", jr'), ("b", "two\nlines\r\nthree"), ("c", '"'), ("d", "back\\slash,"), ("e", None)]
+    schema = schemas.struct(pet_id="string", name="string")
+    sinks.write_report(spark.createDataFrame(data, schema), f"{tmp_path}/r")
+    back = tables.read_activity_csv(spark, f"{tmp_path}/r", schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == data
 
 
 def test_landing_replaces_only_its_days(spark, tmp_path, rows):

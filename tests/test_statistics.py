@@ -48,6 +48,32 @@ def test_ordered_index(spark):
     assert {r.i: r["index"] for r in got} == want
 
 
+@pytest.mark.parametrize(
+    "values,mean",
+    [
+        ((0.0049996, 0.0050003), 0.0),
+        ((1e12, 0.01, 0.02), 333333333333.34),
+        ((0.0000001, 0.0099999), 0.01),
+        ((-0.015,), -0.02),
+        ((-0.01, 0.0), -0.01),
+        ((0.005,), 0.01),
+        ((float("nan"), 2.0, None), 2.0),
+        ((None, float("nan")), None),
+        ((1e30, 3e30), 2e30),
+        ((float("inf"), 1.0), float("inf")),
+        ((1e17, 1e17), 1e17),
+    ],
+)
+def test_means_of_any_size(spark, values, mean):
+    df = spark.createDataFrame([("g", v) for v in values], "k string, v double")
+    assert aggregates.trend_by(df, ["k"], {"v": "m"}).first().m == mean
+
+
+def test_means_of_whole_numbers(spark):
+    df = spark.createDataFrame([("g", 1), ("g", 2), ("g", 2)], "k string, v int")
+    assert aggregates.trend_by(df, ["k"], {"v": "m"}).first().m == 1.67
+
+
 def test_trends_are_exact_and_half_up(spark):
     data = [("dog", "b", D(2025, 1, 3), 0.01), ("dog", "b", D(2025, 1, 31), 0.02)] + [
         ("cat", "b", D(2025, 2, 1), v) for v in (0.1, 0.2, 0.3, 0.1)

@@ -85,6 +85,7 @@ def test_forest_learns_the_levels(scored):
     assert model.evaluate(predictions) > 0.85
     majority = predictions.groupBy("label").count().agg(F.max("count") / F.sum("count")).first()[0]
     _, raw = model.fit_predict(scored, spec=model.RAW, trees=20)
+    assert fitted.forest.getNumTrees == 20
     assert model.evaluate(raw) > majority
     assert len(predictions.first().features) == 12 and len(model.SHORT.inputs) == 10
     assert sum(r.n for r in model.confusion_counts(predictions).collect()) == predictions.count()
@@ -97,9 +98,25 @@ def test_same_seed_same_model(scored, rows):
     assert rows(one, "pet_id", "date", "prediction") == rows(two, "pet_id", "date", "prediction")
 
 
-def test_wide_columns_are_no_categories(scored):
-    with pytest.raises(ValueError):
-        model.fit_indexers(scored.withColumn("breed", F.col("date").cast("string")), ["breed"], limit=100)
+def test_any_number_of_categories(scored):
+    wide = scored.withColumn("breed", F.concat(F.lit("b"), F.col("date").cast("string")))
+    assert wide.select("breed").distinct().count() > 1500
+    assert model.evaluate(model.fit_predict(wide, trees=5)[1]) > 0.5
+
+
+def test_training_rows_are_bounded_and_features_are_those_of_the_table(scored, monkeypatch):
+    sizes = []
+    kept = model.written
+    monkeypatch.setattr(model, "written", lambda df, label: [kept(df, label), sizes.append(label)][0])
+    fitted, predictions = model.fit_predict(scored, trees=5, fit_rows=500)
+    assert sizes == ["categories", "sample"]
+    drawn = model.hash_split(scored, ["pet_id", "date"])[0].where(model._place(["pet_id", "date"], 43) < 2100).count()
+    assert 350 < drawn < 700
+    rows = predictions.select("features", *model.FULL.inputs).collect()
+    assert all(list(r.features.toArray()) == [r[c] for c in model.FULL.inputs] for r in rows)
+    # Categories that only the other rows have get the next free index.
+    unseen = fitted.transform(scored.limit(3).withColumn("breed", F.lit("new"))).select("breed_index").distinct().collect()
+    assert [r.breed_index for r in unseen] == [2.0]
 
 
 def test_category_index_agrees_with_the_indexer(scored):

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from entityhealth.operators import upkeep
@@ -69,6 +70,26 @@ def test_refresh_rewrites_only_changed_days(spark, rows, tmp_path):
     assert {f.name for d in ("01", "02") for f in (tmp_path / "t" / f"date=2025-01-{d}").glob("*.parquet")} == old
 
 
+def test_refresh_keeps_rows_without_a_day_and_columns_it_does_not_get(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    old = [("a", None, 1.0, "A", 7), ("b", None, 2.0, "B", 8), ("a", D(2025, 1, 1), 3.0, "A", 9), ("c", TODAY, 4.0, "C", 10)]
+    sinks.land(spark.createDataFrame(old, SCHEMA + ", extra int"), path)
+    incoming = spark.createDataFrame([("b", None, 9.0), ("d", TODAY, 5.0)], "pet_id string, date date, v double")
+    jobs.daily_refresh(spark, path, incoming, TODAY, ["name"])
+    got = {(r.pet_id, r.date): (r.v, r.name, r.extra) for r in spark.read.parquet(path).collect()}
+    assert got == {
+        ("a", None): (1.0, "A", 7),
+        ("b", None): (9.0, None, None),
+        ("a", D(2025, 1, 1)): (3.0, "A", 9),
+        ("a", TODAY): (None, "A", None),
+        ("b", TODAY): (None, "B", None),
+        ("c", TODAY): (4.0, "C", 10),
+        ("d", TODAY): (5.0, None, None),
+    }
+    with pytest.raises(ValueError):
+        jobs.daily_refresh(spark, path, incoming.withColumn("other", F.lit(1)), TODAY, ["name"])
+
+
 def test_append_fills_missing_columns(spark):
     new = spark.createDataFrame([("z", TODAY)], "pet_id string, date date")
     out = upkeep.append(table(spark), new)
