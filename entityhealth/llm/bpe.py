@@ -8,6 +8,7 @@ apply theirs at once. What is left when no pair has a rank are the tokens.
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 from collections.abc import Iterator
 from pathlib import Path
@@ -23,6 +24,8 @@ LIMIT = 4096
 #: Characters of text whose words are merged together, and words whose counts a worker remembers.
 BLOCK_CHARS = 1 << 20
 KNOWN_WORDS = 1 << 19
+#: A word with more symbols is merged pair by pair where the order of equal ranks matters, as in long runs of blanks.
+LONG = 512
 _NONE = np.iinfo(np.int32).max
 
 
@@ -65,6 +68,7 @@ class PieceMerges:
                         if part in rank_of and rank <= rank_of[part]:
                             safe[rank_of[part]] = False
         self.safe = safe
+        self.pairs = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], np.int32)
         self.made = np.array([pairs[k][1] for k in self.keys.tolist()], np.int32)
@@ -84,6 +88,31 @@ class PieceMerges:
         known = (self.keys[at] == wanted) & (left >= 0) & (right >= 0)
         return np.where(known, self.ranks[at], _NONE), self.made[at]
 
+    def _in_order(self, symbol: list[int], cost: list[int]) -> int:
+        """What is left of a long word whose pairs of equal rank depend on their order: one merge after the other."""
+        n = len(symbol)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        heap: list[tuple[int, int, int, int, int]] = []
+
+        def offer(i: int, j: int) -> None:
+            if i >= 0 and j >= 0 and (found := self.pairs.get(symbol[i] * self.n + symbol[j])):
+                heapq.heappush(heap, (found[0], i, j, symbol[i], symbol[j]))
+
+        for i in range(n - 1):
+            offer(i, i + 1)
+        gone = [False] * n
+        while heap:
+            _, i, j, left, right = heapq.heappop(heap)
+            if gone[i] or gone[j] or symbol[i] != left or symbol[j] != right or after[i] != j:
+                continue
+            symbol[i], cost[i], gone[j] = self.pairs[left * self.n + right][1], 1, True
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            offer(before[i], i)
+            offer(i, after[i])
+        return sum(c for c, g in zip(cost, gone) if not g)
+
     def counts(self, words: list[str]) -> np.ndarray:
         """The number of tokens of every word."""
         total = np.zeros(len(words), np.int64)
@@ -109,6 +138,12 @@ class PieceMerges:
             low = np.minimum.reduceat(rank, starts)
             owner = np.cumsum(first) - 1
             open_ = (low < _NONE)[owner]
+            sizes = np.diff(np.append(starts, len(symbol)))
+            for k in np.flatnonzero((sizes > LONG) & (low < _NONE) & ~self.safe[np.minimum(low, len(self.safe) - 1)]):
+                at = slice(starts[k], starts[k] + sizes[k])
+                left = self._in_order(symbol[at].tolist(), cost[at].tolist())
+                cost[at], open_[at] = 0, False
+                cost[starts[k]] = left
             if not open_.all():
                 total += np.bincount(word[~open_], weights=cost[~open_], minlength=len(words)).astype(np.int64)
                 if not open_.any():

@@ -24,7 +24,8 @@ def model():
 ODD = ["", " ", "  ", "a", " a", "a ", "▁", "▁▁a", "<s>", "</s><unk>x", "<0x0A>", "\n\n\t", "漢字かな交じり文。", "ａｂｃ", "é"]
 ODD += ["​﻿", "😀👍🏽", "a" * 16, "ab" * 5, "0123456789" * 50, "=-" * 300, "\x00a\x00", "the" * 1000, " x", "ﬁ"]
 ODD += ["x" * 5000, "!" * 3000, "a b  c   d    e     f", "Привет мир", "한국어 텍스트", "\U0010ffff"]
-ODD += [" " * n for n in (7, 14, 15, 16, 17, 31, 100, 1000)]
+ODD += [" " * n for n in (7, 14, 15, 16, 17, 31, 100, 1000, 100_000)]
+ODD += ["a" + " " * 700 + "b  c" * 400 + "\n" * 900, " a" * 600 + "  " * 600]
 
 
 def test_odd_texts(library, model):
