@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import NOTES_D, READINGS_E, notes_d, query, readings_e, table
+from catalog.registry import NOTES_D, READINGS_E, notes_d, query, readings_e, readings_of, table
 from entityhealth.operators import aggregates, cleanse, entities, joins
 
 
@@ -63,7 +63,7 @@ def notes_left_split(spark, sf):
     f"WITH {READINGS_E} SELECT * FROM readings WHERE date = (SELECT max(date) FROM readings)",
 )
 def latest_date_rows(spark, sf):
-    return aggregates.latest_date_rows(readings_e(spark, sf))
+    return readings_of(aggregates.latest_date_rows(table(spark, sf, "events"), "ts"))
 
 
 @query(

@@ -135,7 +135,11 @@ RULES_E = RuleSet(
 
 
 def readings_e(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return readings_of(table(spark, sf, "events"))
+
+
+def readings_of(events: DataFrame) -> DataFrame:
+    return events.select(
         "event_id",
         F.col("user_id").alias("entity_id"),
         F.col("ts").cast("date").alias("date"),

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import READINGS_E, READINGS_L, query, readings_e, readings_l, table
-from entityhealth.operators import aggregates, cleanse, joins, ranks
+from catalog.registry import READINGS_E, READINGS_L, query, readings_e, readings_l, readings_of, table
+from entityhealth.operators import aggregates, cleanse, ranks
 
 MEANS = {"quantity": "avg_quantity", "price": "avg_price", "discount": "avg_discount"}
 
@@ -26,8 +26,7 @@ MEANS_SQL = ", ".join(_half_up(c, out) for c, out in MEANS.items())
 )
 def breed_trend(spark, sf):
     brands = table(spark, sf, "part").select(F.col("p_partkey").alias("part_id"), F.col("p_brand").alias("breed"))
-    rows = joins.attach_profile(readings_l(spark, sf), brands, "part_id")
-    return aggregates.trend_by(rows, ["category", "breed"], MEANS)
+    return aggregates.trend_by_profile(readings_l(spark, sf), brands, "part_id", ["category", "breed"], MEANS)
 
 
 @query(
@@ -115,7 +114,8 @@ def _rounded(box):
 )
 def box_stats(spark, sf):
     """Box plots of the last day's readings per category and metric."""
-    latest = aggregates.latest_date_rows(readings_e(spark, sf)).withColumn("half", F.col("value") / 2)
+    latest = readings_of(aggregates.latest_date_rows(table(spark, sf, "events"), "ts"))
+    latest = latest.withColumn("half", F.col("value") / 2)
     return _rounded(ranks.box_stats(cleanse.melt_metrics(latest, ["category"], ["value", "half"]), ["category", "metric"]))
 
 

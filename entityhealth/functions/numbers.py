@@ -35,22 +35,39 @@ def is_outlier(z: Column, limit: float) -> Column:
     return F.coalesce(F.abs(z) > F.lit(limit), F.lit(False))
 
 
-def mean_half_up(value: Column, places: int = 2) -> Column:
-    """The mean rounded half away from zero, from an exact sum; NULL and NaN are no values.
+def sums(value: Column) -> dict[str, Column]:
+    """What `half_up_mean` needs of a group, as aggregates that add up over parts of it.
+
+    NULL and NaN are no values. `exact` leaves out what 18 digits before and 10
+    after the point do not hold; `held` counts the others.
+    """
+    value = F.when(~F.isnan(value.cast("double")), value)
+    exact = value.try_cast("decimal(28,10)")
+    return {
+        "exact": F.sum(exact),
+        "rough": F.sum(value.cast("double")),
+        "n": F.count(value),
+        "held": F.count(exact),
+    }
+
+
+def half_up_mean(exact: Column, rough: Column, n: Column, held: Column, places: int = 2) -> Column:
+    """The mean of a group from its `sums`, rounded half away from zero; NULL without values.
 
     Sums of doubles depend in the last digits on the order in which rows
     arrive, so a retried task could change a rounded report. Decimals add up the
     same in any order, and the quotient is rounded once, as whole numbers.
-    Values and sums that 23 digits before and 10 after the point do not hold
-    (1e23 and beyond, infinities) fall back to the mean of doubles.
+    Groups with values or sums that do not fit have the mean of doubles.
     """
-    value = F.when(~F.isnan(value.cast("double")), value)
-    exact = F.sum(value.try_cast("decimal(28,10)")).try_cast("decimal(33,10)")
-    n, held = F.count(value), F.count(value.try_cast("decimal(28,10)"))
+    exact = exact.try_cast("decimal(33,10)")
     # 2 * 10^places * |sum| + n, divided by 2 n without a rest, is the rounded mean in units of the last place.
     doubled = F.abs(exact) * F.lit(2 * 10**places).cast(f"decimal({places + 1},0)") + n.cast("decimal(20,0)")
     units = F.floor(F.try_divide(doubled, (2 * n).cast("decimal(20,0)")))
     rounded = F.sign(exact.cast("double")) * units.cast("double") / 10.0**places
-    return F.when(held == n, F.coalesce(rounded, F.round(F.avg(value.cast("double")), places))).otherwise(
-        F.round(F.avg(value.cast("double")), places)
-    )
+    mean = F.round(F.try_divide(rough, n.cast("double")), places)
+    return F.when(held == n, F.coalesce(rounded, mean)).otherwise(mean)
+
+
+def mean_half_up(value: Column, places: int = 2) -> Column:
+    """The rounded mean of a group; see `half_up_mean`."""
+    return half_up_mean(**sums(value), places=places)

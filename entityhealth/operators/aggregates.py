@@ -27,6 +27,25 @@ def trend_by(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, str]) ->
     return df.groupBy(*keys).agg(*_means(metrics)).orderBy(*keys)
 
 
+def trend_by_profile(
+    df: DataFrame, profile: DataFrame, on: str, keys: Sequence[str], metrics: Mapping[str, str]
+) -> DataFrame:
+    """`trend_by` where some keys are the profile's: readings without a profile drop out.
+
+    Readings are summed per own keys and `on` first, so the join shuffles sums
+    instead of readings. Sums are exact, so the result is that of the plain join.
+    """
+    own = [k for k in keys if k in df.columns]
+    named = {f"_{i}_{part}": s for i, c in enumerate(metrics) for part, s in numbers.sums(F.col(c)).items()}
+    partial = df.groupBy(on, *own).agg(*[s.alias(name) for name, s in named.items()])
+    joined = partial.join(profile, on).groupBy(*keys).agg(*[F.sum(name).alias(name) for name in named])
+    means = [
+        numbers.half_up_mean(*[F.col(f"_{i}_{part}") for part in ("exact", "rough", "n", "held")]).alias(out)
+        for i, out in enumerate(metrics.values())
+    ]
+    return joined.select(*keys, *means).orderBy(*keys)
+
+
 def trend_by_month(
     df: DataFrame, category: str, day: str, metrics: Mapping[str, str], count: str = "total_records"
 ) -> DataFrame:
@@ -125,8 +144,14 @@ def daily_mean(df: DataFrame, metrics: Sequence[str], entity: str = "pet_id", da
 
 
 def _last_day(df: DataFrame, day: str, aggs: Sequence[Column]) -> DataFrame:
-    """Counts of the last day, from one pass that counts every day."""
-    return df.groupBy(day).agg(*aggs).orderBy(F.col(day).desc_nulls_last()).limit(1)
+    """Counts of the last day.
+
+    The day comes first, from a pass over the day column alone, so that the
+    other columns are read for that day only: partitions of other days are
+    pruned, and nothing else is computed for them.
+    """
+    last = latest_date(df, day).first()[0]
+    return df.where(F.col(day).eqNullSafe(F.lit(last))).groupBy(day).agg(*aggs)
 
 
 def latest_level_distribution(
@@ -160,9 +185,14 @@ def latest_date(df: DataFrame, day: str = "date") -> DataFrame:
 
 
 def latest_date_rows(df: DataFrame, day: str = "date") -> DataFrame:
-    """Rows of the table's last day.
+    """Rows of the last day in `day`, a date or a time.
 
-    A scalar subquery, so the day filters the scan (and prunes partitions
-    where the table is landed by day).
+    The last value comes from a pass over that column. Of a time, the rows from
+    the start of its day on are taken: a lower bound of the raw column, which
+    reaches the scan, prunes row groups by their statistics and, where the
+    table is landed by day, partitions.
     """
-    return df.where(F.col(day) == latest_date(df, day).scalar())
+    last = df.agg(F.max(day).cast("string")).first()[0]
+    if last is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(day) >= F.lit(last[:10]).cast(df.schema[day].dataType))

@@ -69,6 +69,28 @@ def test_means_of_any_size(spark, values, mean):
     assert aggregates.trend_by(df, ["k"], {"v": "m"}).first().m == mean
 
 
+def test_trend_through_a_profile_equals_the_join(spark):
+    rnd = random.Random(8)
+    data = [(rnd.randrange(20), rnd.choice("xy"), rnd.choice((None, float("nan"), rnd.random(), rnd.random() * 1e9))) for _ in range(900)]
+    df = spark.createDataFrame(data, "part int, category string, v double")
+    brands = spark.createDataFrame([(i, f"b{i % 3}") for i in range(15)], "part int, brand string")
+    got = aggregates.trend_by_profile(df, brands, "part", ["category", "brand"], {"v": "m"})
+    want = aggregates.trend_by(df.join(brands, "part"), ["category", "brand"], {"v": "m"})
+    assert got.columns == want.columns and got.collect() == want.collect()
+
+
+def test_last_day_reports_read_that_day_only(spark, tmp_path, plan, capsys):
+    days = [(i, D(2025, 1, 1 + i % 5), "x") for i in range(50)]
+    spark.createDataFrame(days, "i int, date date, l string").write.partitionBy("date").parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    out = aggregates.latest_level_distribution(df, ["x"], "l")
+    assert out.first().n == 10 and "PartitionFilters: [(date" in plan(out, capsys).replace("isnotnull(date#", "(date")
+    times = spark.createDataFrame([(i, dt.datetime(2025, 1, 1 + i, 23 * (i % 2), 5)) for i in range(9)], "i int, ts timestamp_ntz")
+    times.write.parquet(f"{tmp_path}/ts")
+    late = aggregates.latest_date_rows(spark.read.parquet(f"{tmp_path}/ts"), "ts")
+    assert [r.i for r in late.collect()] == [8] and "GreaterThanOrEqual(ts,2025-01-09" in plan(late, capsys)
+
+
 def test_means_of_whole_numbers(spark):
     df = spark.createDataFrame([("g", 1), ("g", 2), ("g", 2)], "k string, v int")
     assert aggregates.trend_by(df, ["k"], {"v": "m"}).first().m == 1.67
