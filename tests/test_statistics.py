@@ -34,11 +34,27 @@ def test_box_stats_against_numpy(spark):
 @given(st.lists(st.integers(-20, 20), min_size=1, max_size=60), st.floats(0, 1))
 def test_quantiles_property(spark, values, p):
     df = spark.createDataFrame([("g", float(v)) for v in values], "g string, value double")
-    counts = ranks.value_counts(df, ["g"], "value")
-    got = ranks.quantiles_of_counts(counts, ["g"], "value", [p], ["q"]).first()
+    got = ranks.quantiles(df, ["g"], "value", [p], ["q"]).first()
     assert got.q == pytest.approx(np.quantile(values, p), abs=1e-9)
 
 
+def test_quantiles_of_large_groups_keep_few_values(spark, monkeypatch):
+    """Ties, a long tail and a hot group; only values near the ranks are written."""
+    rnd = np.random.default_rng(6)
+    parts = {"even": np.arange(50_000.0), "ties": rnd.integers(0, 7, 20_000).astype(float), "tail": np.exp(rnd.normal(0, 4, 9_000)), "few": np.array([3.0, 1.0])}
+    frame = pd.DataFrame({"g": np.concatenate([[g] * len(v) for g, v in parts.items()]), "value": np.concatenate(list(parts.values()))})
+    df = spark.createDataFrame(frame.sample(frac=1, random_state=1)).repartition(6)
+    written = {}
+    kept = ranks.written
+    monkeypatch.setattr(ranks, "written", lambda t, label: written.setdefault(label, kept(t, label)))
+    probs = [0.0, 0.1, 0.5, 0.999, 1.0]
+    got = {r.g: r for r in ranks.quantiles(df, ["g"], "value", probs, list("abcde")).collect()}
+    for g, values in parts.items():
+        assert [got[g][c] for c in "abcde"] == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
+        assert got[g].total == len(values)
+    assert written["brackets"].count() < 0.1 * len(frame)
+
+
 def test_ordered_index(spark):
     rnd = random.Random(5)
     data = [(i, rnd.randrange(100)) for i in range(5000)]
