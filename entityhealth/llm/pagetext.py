@@ -51,14 +51,16 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 _QUALIFIED = re.compile(r"\b(?:with|has|no|without|is)[-_][a-z0-9]+")
 _HALF_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 
 
-def _no_article(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is a part of the page that is not its article."""
+def _no_article(name: str, attributes: str, in_article: bool, in_form: bool = False) -> bool:
+    """Whether an element is a part of the page that is not its article; `in_form` if that can lie in a form."""
+    if name == "form" and in_form:
+        return False
     if name in NO_TEXT or (name == "header" and not in_article):
         return True
     if not attributes or name in ("html", "body", "main"):
@@ -123,7 +125,7 @@ class _Lines:
         self.rows.extend([("", 0, self.regions)] * n)
 
 
-def _lines(page: str) -> list[tuple[str, int, tuple[Region, ...]]]:
+def _lines(page: str, in_form: bool = False) -> list[tuple[str, int, tuple[Region, ...]]]:
     lines = _Lines()
     # Open containers: name, whether a reader sees only its headings, the regions around it.
     stack: list[tuple[str, bool, tuple[Region, ...]]] = []
@@ -189,7 +191,7 @@ def _lines(page: str) -> list[tuple[str, int, tuple[Region, ...]]]:
         if closing:
             close(name)
         elif name not in VOID and not attributes.endswith("/"):
-            out = left_out is None and _no_article(name, attributes, bool(lines.regions))
+            out = left_out is None and _no_article(name, attributes, bool(lines.regions), in_form)
             if out or name in CONTAINERS:
                 stack.append((name, name == "header", lines.regions))
                 if out:
@@ -207,6 +209,9 @@ def _lines(page: str) -> list[tuple[str, int, tuple[Region, ...]]]:
 def main_text(page: str | None) -> str:
     """The main text of a page, its blocks in order, one per line; empty if there is none."""
     rows = _lines(page or "")
+    if not any(r[0] for r in rows) and "<form" in (page or "").lower():
+        # Some pages are one form altogether.
+        rows = _lines(page, True)
     inside: dict[Region, int] = {}
     for _, n, regions in rows:
         for region in regions:

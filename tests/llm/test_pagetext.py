@@ -39,6 +39,8 @@ def test_pages_against_their_articles(spark):
         ("<div hidden><p>no</p></div><p style='display: none'>k</p><p>y</p>", "y"),
         ("<table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table>", "a b\nc"),
         ("<ul><li>a</li><li>b</ul>", "a\nb"),
+        ("<body><form id='page'><div>all in one form</div></form></body>", "all in one form"),
+        ("<p data-hidden='x' width=3>shown</p><p class='a' hidden>not</p>", "shown"),
     ],
 )
 def test_small_pages(page, text):
