@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entityhealth.llm.common import settled
+
 #: Features of a text: hashes, and their values.
 Features = Callable[[str, int | None], dict[int, float]]
 
@@ -73,23 +75,6 @@ def _sums(model: Model, starts: np.ndarray, at: np.ndarray, values: np.ndarray)
     return model.bias + linear + 0.5 * ((both * both).sum(axis=1) - squares), both
 
 
-def select_features(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
-    """The hashes that tell the classes apart best by a test of proportions, in order."""
-    if not texts:
-        return np.zeros(0, np.int64)
-    hashes = np.concatenate([t[0] for t in texts])
-    positive = np.repeat(labels, [len(t[0]) for t in texts]) > 0
-    keys, at = np.unique(hashes, return_inverse=True)
-    n = np.bincount(at, minlength=len(keys))
-    n1 = np.bincount(at[positive], minlength=len(keys))
-    all1, all0 = max(1, int((labels > 0).sum())), max(1, int((labels <= 0).sum()))
-    p = n / len(labels)
-    gap = np.abs(n1 / all1 - (n - n1) / all0) / np.sqrt(np.maximum(p * (1 - p), 1e-6) * (1 / all1 + 1 / all0))
-    gap[n < MIN_TEXTS] = -1
-    best = np.argsort(-gap, kind="stable")[:MAX_FEATURES]
-    return np.sort(keys[best[gap[best] > 0]])
-
-
 def train(
     texts: list[tuple[np.ndarray, np.ndarray]],
     labels: np.ndarray,
@@ -99,9 +84,15 @@ def train(
     rate: float = 0.02,
     decay: float = 2e-4,
     seed: int = 7,
+    keys: np.ndarray | None = None,
 ) -> Model:
-    """A model of texts given as hashes and values. Without texts, or of one class only, it knows the share of the class."""
-    keys, rnd = select_features(texts, labels), np.random.default_rng(seed)
+    """A model of texts given as hashes and values. Without texts, or of one class only, it knows the share of the class.
+
+    `keys` are the hashes to learn weights for, in order; all that occur if not given.
+    """
+    if keys is None:
+        keys = np.unique(np.concatenate([t[0] for t in texts])) if texts else np.zeros(0, np.int64)
+    rnd = np.random.default_rng(seed)
     share = min(0.999, max(0.001, float(labels.mean()))) if len(labels) else 0.5
     m = len(keys)
     model = Model(keys, float(np.log(share / (1 - share))), np.zeros(m + 1), rnd.normal(0, 0.01, (m + 1, factors)))
@@ -159,7 +150,8 @@ def fit(
     """A model of at most `rows` labelled documents whose id `learn` allows, chosen by a hash of the id.
 
     The chosen ids are at most `rows`, so they are broadcast; the features of
-    their texts are made where the texts lie, and only they reach the driver.
+    their texts are made where the texts lie. The features that tell the classes
+    apart are chosen there too, and one task trains on what is left of the sample.
     An id with several labels has the largest one. Rows without id or label are
     not learnt from; of rows with the same id one is.
     """
@@ -180,9 +172,56 @@ def fit(
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, label int, hashes array<bigint>, vals array<float>"
     got = texts.join(F.broadcast(chosen), "id").mapInPandas(extract, schema).dropDuplicates(["id"])
-    sample = got.toPandas().sort_values("id")
-    held = [(np.asarray(h, np.int64), np.asarray(v, np.float64)) for h, v in zip(sample["hashes"], sample["vals"])]
-    return train(held, (sample["label"].to_numpy() > 0).astype(np.float64))
+    sample = settled(got.withColumn("label", (F.col("label") > 0).cast("int")), "sample")
+    keys = _telling_features(sample)
+    return _train_in_task(sample, np.sort([r["hash"] for r in keys.collect()]).astype(np.int64))
+
+
+def _train_in_task(sample: DataFrame, keys: np.ndarray) -> Model:
+    """The model of a bounded sample, trained in one task; only its weights reach the driver."""
+
+    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            kept = [np.isin(h, keys) for h in batch["hashes"]]
+            pairs = {c: [np.asarray(x)[k] for x, k in zip(batch[c], kept)] for c in ("hashes", "vals")}
+            yield batch.assign(**pairs)
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, labels = [], []
+        for batch in batches:
+            held += [(np.asarray(h, np.int64), np.asarray(v, np.float64)) for h, v in zip(batch["hashes"], batch["vals"])]
+            labels += batch["label"].tolist()
+        model = train(held, np.array(labels, np.float64), keys=keys)
+        yield pd.DataFrame(
+            {
+                "hash": [None, *keys.tolist()],
+                "weight": [model.bias, *model.weights[: len(keys)]],
+                "factors": [[], *model.factors[: len(keys)].tolist()],
+            }
+        ).astype({"hash": "Int64"})
+
+    small = sample.mapInPandas(narrow, sample.schema).repartition(1).sortWithinPartitions("id")
+    rows = small.mapInPandas(learn, "hash bigint, weight double, factors array<double>").collect()
+    if not rows:
+        return train([], np.zeros(0), keys=keys)
+    bias = next(r["weight"] for r in rows if r["hash"] is None)
+    known = {r["hash"]: r for r in rows if r["hash"] is not None}
+    width = len(next(iter(known.values()))["factors"]) if known else 1
+    weights = [known[k]["weight"] for k in keys.tolist()] + [0.0]
+    factors = [known[k]["factors"] for k in keys.tolist()] + [[0.0] * width]
+    return Model(keys, bias, np.array(weights), np.array(factors))
+
+
+def _telling_features(sample: DataFrame) -> DataFrame:
+    """The MAX_FEATURES hashes that tell the classes of the sample apart best by a test of proportions."""
+    n, n1 = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    texts = sample.select("label", F.explode("hashes").alias("hash"))
+    counts = texts.groupBy("hash").agg(F.count("*").alias("n"), F.sum("label").alias("n1"))
+    share = F.col("n") / max(1, n)
+    spread = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-6)) * (1 / max(1, n1) + 1 / max(1, n - n1)))
+    gap = F.abs(F.col("n1") / max(1, n1) - (F.col("n") - F.col("n1")) / max(1, n - n1)) / spread
+    best = counts.where(F.col("n") >= MIN_TEXTS).select("hash", gap.alias("gap")).where("gap > 0")
+    return settled(best.orderBy(F.desc("gap"), "hash").limit(MAX_FEATURES).select("hash"), "features")
 
 
 def _arrays(found: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
