@@ -8,6 +8,7 @@ from catalog.registry import RULES_L, SCORED_E, SCORED_L, query, scored_e, score
 from entityhealth.functions import levels, text
 from entityhealth.operators import aggregates, entities, joins, scoring
 from entityhealth.rules import LEVELS, rule_table
+from entityhealth.session import written
 
 ALERT_COLUMNS = [
     "entity_id", "name", "category", "breed", "date", "risk_score", "health_alert_level", "value",
@@ -150,7 +151,7 @@ def species_union(spark, sf):
 )
 def level_distribution(spark, sf):
     """Alerts of the last day per level, zeros kept, in order of severity."""
-    alerts = scoring.alerts(scored_e(spark, sf)).select("date", "health_alert_level")
+    alerts = written(scoring.alerts(scored_e(spark, sf)).select("date", "health_alert_level"), "alerts")
     counts = aggregates.latest_level_distribution(alerts, LEVELS)
     return counts.withColumn("colour", levels.level_colour(F.col("health_alert_level")))
 
@@ -179,6 +180,7 @@ def count_by_domain(spark, sf):
 def flag_counts(spark, sf):
     """Alerts of the last day with and without each note signal."""
     alerts = scoring.alerts(scored_e(spark, sf)).select("date", "note_is_stressful", "note_is_illness_related")
+    alerts = written(alerts, "alerts")
     return aggregates.latest_flag_counts(
         alerts, {"note_is_stressful": "Stress", "note_is_illness_related": "Bệnh tật"}
     )
