@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityhealth.llm.common import WORD_BREAKS, let, settled, words
+from entityhealth.llm.common import let, settled, words
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -171,9 +171,12 @@ def keep_good(
     The first pass over the texts rates the hosts, the second decides, so no text is shuffled.
     """
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    of = [row, docs[host_col].alias("host"), *measures(docs[text_col])]
-    rated = docs.select(*of[1:]).select("host", any_failed().alias("failed"))
+    of = [docs[host_col].alias("host"), *measures(docs[text_col])]
+    rated = docs.select(*of).select("host", any_failed().alias("failed"))
     verdicts = host_verdicts(rated, limit).where("bad_host").select(F.col("host").alias("judged"), "bad_host")
-    seen = docs.select(*of).where(~base_failed()).select("row", "host", any_failed().alias("failed"))
+    # 0: the base rules fail, 1: another rule does, 2: none. The test needs both sides of the join, so it
+    # cannot move below it, where the measures would be taken once for the test and once for the row.
+    grade = F.when(base_failed(), 0).when(any_failed(), 1).otherwise(2)
+    seen = docs.select(row, *of).select("row", "host", grade.alias("grade"))
     joined = seen.join(verdicts, seen["host"].eqNullSafe(verdicts["judged"]), "left")
-    return joined.where("bad_host IS NULL OR NOT failed").select("row.*")
+    return joined.where(F.col("grade") > F.when(F.col("bad_host"), 1).otherwise(0)).select("row.*")
