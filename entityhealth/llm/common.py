@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entityhealth.session import scratch_path
+from entityhealth.session import written
+
+#: Rows written to the shared folder: what made them runs once, and lost executors do not lose them.
+settled = written
 
 # A word is a run of characters other than these six.
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
@@ -42,13 +45,3 @@ def hash_key(doc_id: Column, text: Column, seed: str = "") -> Column:
 def key_range(key: Column, digits: int = 3) -> Column:
     """The range of equal width that a hexadecimal key falls into: 16 ** digits of them, of like size."""
     return F.conv(F.substring(key, 1, digits), 16, 10).cast("int")
-
-
-def settled(df: DataFrame, label: str) -> DataFrame:
-    """The rows, written to the shared folder and read from there.
-
-    What made them runs once, whatever reads them next, and lost executors do not lose them.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
