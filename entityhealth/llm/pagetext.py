@@ -2,7 +2,8 @@
 
 Markup is stripped and every block of a page becomes a line. Borders of
 containers become blank lines, and what is no part of an article by its tag,
-class or role becomes a gap of them. The lengths of the lines, link texts not
+class or role becomes a gap of them, unless it is around the article, holds most
+of the page's text or, where the name is not sure, is written in sentences. The lengths of the lines, link texts not
 counted, are summed over a sliding window: where the sum surges a text begins,
 where it dives to nothing the text ends, and the lines between are kept.
 """
@@ -13,6 +14,7 @@ import functools
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,21 +33,33 @@ CONTAINERS = frozenset(
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr pre hr address figcaption caption summary center".split())
 BORDERS = CONTAINERS - frozenset("html body ul ol dl table".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NO_TEXT = frozenset("nav footer aside form dialog menu button select label".split())
-NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar toolbar form".split())
+INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var".split())
+NO_TEXT = frozenset("nav footer aside".split())
+CONTROLS = frozenset("dialog menu button select label".split())
+NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar toolbar".split())
 # Words in classes and ids that name parts of a page other than its article.
 OTHER_PARTS = frozenset(
-    """ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion sidebar sidebars rail nav navbar
-    navigation menu menus breadcrumb breadcrumbs masthead footer footnav cookie cookies consent gdpr notice notices popup
-    modal overlay newsletter subscribe subscription signup comment comments commentlist disqus reply replies respond related
-    recommended recommendations share sharing social widget widgets toolbar pagination pager login copyright banner
-    skyscraper outbrain taboola form forms""".split()
+    """ad ads adv advert adverts advertisement advertising sponsored promo promotion sidebar sidebars masthead footer footnav
+    cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup comment comments commentlist disqus
+    reply replies respond copyright login skyscraper outbrain taboola""".split()
+)
+# Words that name parts of an article as well; what is written in sentences there is text.
+MAYBE_PARTS = frozenset(
+    """sponsor rail nav navbar navigation menu menus breadcrumb breadcrumbs notice notices related recommended recommendations
+    share sharing social widget widgets toolbar pagination pager banner form forms""".split()
 )
 HEADER_PARTS = frozenset("header topbar head".split())
 ARTICLE_PARTS = frozenset("article post entry story content title".split())
 # Those that an article element itself can be, and names of containers that hold an article.
 OTHER_ARTICLES = frozenset("comment comments reply replies respond related recommended ad ads advert teaser promo".split())
 ARTICLE_NAMES = frozenset("article articlebody post entry story content maincontent main".split())
+# What a sentence ends with.
+ENDS = (".", "!", "?", "…", ":", ";", "。", "！", "？", "।", "؟")
+#: What a letter counts in a part of another name, beside one outside such parts.
+IN_PART = 0.25
+
+# Kinds of parts: never seen as text, by element or role, by a surer or a less sure name, forms.
+UNSEEN, ELEMENT, NAMED, MAYBE, FORM = 1, 2, 3, 4, 5
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
@@ -57,24 +71,34 @@ _QUALIFIED = re.compile(r"\b(?:with|has|no|without|is)[-_][a-z0-9]+")
 _HALF_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 
 
-def _no_article(name: str, attributes: str, in_article: bool, in_form: bool = False) -> bool:
-    """Whether an element is a part of the page that is not its article; `in_form` if that can lie in a form."""
-    if name == "form" and in_form:
-        return False
-    if name in NO_TEXT or (name == "header" and not in_article):
-        return True
+def _part(name: str, attributes: str, in_article: bool) -> int:
+    """What kind of part of the page other than its article an element is; 0 if none."""
+    if name in CONTROLS:
+        return UNSEEN
+    if name == "form":
+        kind = FORM
+    else:
+        kind = ELEMENT if name in NO_TEXT or (name == "header" and not in_article) else 0
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return kind
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
-        if (key == "role" and value in NO_TEXT_ROLES) or (key == "aria-hidden" and value == "true"):
-            return True
-        if (key == "hidden" and value != "until-found") or (key == "style" and "display:none" in value.replace(" ", "")):
-            return True
+        if (key == "aria-hidden" and value == "true") or (key == "hidden" and value != "until-found"):
+            return UNSEEN
+        if key == "style" and "display:none" in value.replace(" ", ""):
+            return UNSEEN
+        if key == "role" and value == "form":
+            kind = kind or FORM
+        elif key == "role" and value in NO_TEXT_ROLES:
+            kind = ELEMENT
+    if kind or _holds_article(name, attributes) == 2:
+        return kind
     named = _named(attributes)
     if name == "article":
-        return bool(named & OTHER_ARTICLES)
-    return bool(named & OTHER_PARTS) or (bool(named & HEADER_PARTS) and not in_article and not named & ARTICLE_PARTS)
+        return NAMED if named & OTHER_ARTICLES else 0
+    if named & OTHER_PARTS or (named & HEADER_PARTS and not in_article and not named & ARTICLE_PARTS):
+        return NAMED
+    return MAYBE if named & MAYBE_PARTS else 0
 
 
 def _named(attributes: str) -> set[str]:
@@ -99,64 +123,77 @@ def _holds_article(name: str, attributes: str) -> int:
 Region = tuple[int, int]
 
 
+class Line(NamedTuple):
+    """A line of a page: text, letters outside links, the elements around it that may hold the article, the parts around it."""
+
+    said: str
+    n: int
+    regions: tuple[Region, ...]
+    parts: tuple[int, ...]
+
+
 @functools.cache
 def _raw_end(name: str) -> re.Pattern[str]:
     return re.compile(rf"</{name}\s*>", re.I)
 
 
 class _Lines:
-    """The lines of a page: text, letters outside links, and the elements around it that may hold the article."""
+    """The lines of a page, the kinds of its parts by their numbers, and the parts around each region."""
 
     def __init__(self) -> None:
-        self.rows: list[tuple[str, int, tuple[Region, ...]]] = []
+        self.rows: list[Line] = []
+        self.kinds: list[int] = []
+        self.around: dict[Region, tuple[int, ...]] = {}
         self.text: list[str] = []
         self.linked: list[str] = []
         self.regions: tuple[Region, ...] = ()
+        self.parts: tuple[int, ...] = ()
 
     def end(self) -> None:
         said = " ".join("".join(self.text).split())
         if said:
             of_links = len(" ".join("".join(self.linked).split()))
-            self.rows.append((said, max(0, len(said) - of_links), self.regions))
+            self.rows.append(Line(said, max(0, len(said) - of_links), self.regions, self.parts))
         self.text, self.linked = [], []
 
-    def blank(self, n: int = 1) -> None:
+    def blank(self) -> None:
         self.end()
-        self.rows.extend([("", 0, self.regions)] * n)
+        self.rows.append(Line("", 0, self.regions, self.parts))
 
 
-def _lines(page: str, in_form: bool = False) -> list[tuple[str, int, tuple[Region, ...]]]:
+def _lines(page: str) -> _Lines:
     lines = _Lines()
-    # Open containers: name, whether a reader sees only its headings, the regions around it.
-    stack: list[tuple[str, bool, tuple[Region, ...]]] = []
-    left_out: int | None = None  # where in the stack the element lies that is left out
-    links = regions = at = 0
+    # Open containers: name, whether a reader sees only its headings, the regions and the parts around it.
+    stack: list[tuple[str, bool, tuple[Region, ...], tuple[int, ...]]] = []
+    unseen: int | None = None  # where in the stack the element lies that is left out
+    links = at = 0
     heading = False
 
     def gap() -> None:
-        outer = all(name in ("html", "body") for name, _, _ in stack)
-        lines.blank(WINDOW if outer else 1)
+        outer = all(opened[0] in ("html", "body") for opened in stack)
+        for _ in range(WINDOW if outer else 1):
+            lines.blank()
 
     def close(name: str) -> None:
-        nonlocal left_out
+        nonlocal unseen
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == name:
-                outer = left_out is None or left_out >= k
-                breaks = outer and (left_out is None or name in BLOCKS or stack[left_out][0] in BLOCKS)
-                regions_before = stack[k][2]
+                outer = unseen is None or unseen >= k
+                breaks = outer and (unseen is None or name in BLOCKS or stack[unseen][0] in BLOCKS)
+                _, _, regions, parts = stack[k]
                 del stack[k:]
                 if breaks:
                     lines.end()
                 if outer:
-                    lines.regions = regions_before
-                    if left_out is not None:
-                        left_out = None
-                        if breaks:
-                            gap()
+                    left = lines.parts != parts
+                    lines.regions, lines.parts = regions, parts
+                    if (unseen is not None and breaks) or left:
+                        gap()
+                    unseen = None
                 return
 
     def add(raw: str) -> None:
-        if left_out is None and raw and (heading or not any(only for _, only, _ in stack)):
+        if unseen is None and raw and (heading or not any(opened[1] for opened in stack)):
             said = html.unescape(raw) if "&" in raw else raw
             lines.text.append(said)
             if links:
@@ -177,7 +214,7 @@ def _lines(page: str, in_form: bool = False) -> list[tuple[str, int, tuple[Regio
             # A block ends the paragraph before it.
             if stack and stack[-1][0] == "p" and not closing:
                 close("p")
-            if left_out is None:
+            if unseen is None:
                 lines.end()
                 if name in BORDERS:
                     lines.blank()
@@ -191,33 +228,73 @@ def _lines(page: str, in_form: bool = False) -> list[tuple[str, int, tuple[Regio
         if closing:
             close(name)
         elif name not in VOID and not attributes.endswith("/"):
-            out = left_out is None and _no_article(name, attributes, bool(lines.regions), in_form)
-            if out or name in CONTAINERS:
-                stack.append((name, name == "header", lines.regions))
-                if out:
-                    left_out = len(stack) - 1
+            kind = _part(name, attributes, bool(lines.regions)) if unseen is None else 0
+            if name in INLINE and kind:
+                # A part of a line, not of the page.
+                kind = 0 if kind == MAYBE else UNSEEN
+            if kind or name in CONTAINERS:
+                only = name == "header" and not kind
+                stack.append((name, only, lines.regions, lines.parts))
+                if kind == UNSEEN:
+                    unseen = len(stack) - 1
                     if name in BLOCKS:
                         gap()
-                elif left_out is None and (sure := _holds_article(name, attributes)):
-                    regions += 1
-                    lines.regions = (*lines.regions, (sure, -regions))
+                elif kind:
+                    gap()
+                    lines.parts = (*lines.parts, len(lines.kinds))
+                    lines.kinds.append(kind)
+                elif unseen is None and (sure := _holds_article(name, attributes)):
+                    region = (sure, -len(lines.around))
+                    lines.around[region] = lines.parts
+                    lines.regions = (*lines.regions, region)
     add(_HALF_TAG.sub("", page[at:]))
     lines.end()
-    return lines.rows
+    return lines
+
+
+def _weights(lines: _Lines) -> list[float]:
+    """What the letters outside links of every line count: less in parts that are named like no article."""
+    return [r.n * IN_PART ** sum(lines.kinds[p] != FORM for p in r.parts) for r in lines.rows]
+
+
+def _region(lines: _Lines, weights: list[float]) -> Region | None:
+    """Where to look: the fullest article element, else main, else what is named like one."""
+    inside: dict[Region, float] = {}
+    for r, weight in zip(lines.rows, weights):
+        for region in r.regions:
+            inside[region] = inside.get(region, 0) + weight
+    return max((r for r in inside if inside[r]), key=lambda r: (r[0], inside[r], r[1]), default=None)
+
+
+def _spared(lines: _Lines, weights: list[float], chosen: Region | None) -> set[int]:
+    """The parts that are no others than the article: around it, with most of the page's text, or written in sentences."""
+    held, texts, links, says = ([0.0] * len(lines.kinds) for _ in range(4))
+    for r, weight in zip(lines.rows, weights):
+        for p in r.parts:
+            held[p] += weight
+            texts[p] += r.n
+            links[p] += len(r.said) - r.n
+            says[p] += r.n > 0 and r.said.rstrip("\"'”’»)]").endswith(ENDS)
+    spared = set(lines.around[chosen]) if chosen else set()
+    whole = sum(weights)
+    for p, kind in enumerate(lines.kinds):
+        if kind != ELEMENT and 2 * held[p] > whole:
+            spared.add(p)
+        elif kind == MAYBE and says[p] and texts[p] > links[p]:
+            spared.add(p)
+    if not any(r.said and spared.issuperset(r.parts) for r in lines.rows):
+        # Nothing has another name, so names tell nothing.
+        spared.update(p for p, kind in enumerate(lines.kinds) if kind in (NAMED, FORM))
+    return spared
 
 
 def main_text(page: str | None) -> str:
     """The main text of a page, its blocks in order, one per line; empty if there is none."""
-    rows = _lines(page or "")
-    if not any(r[0] for r in rows) and "<form" in (page or "").lower():
-        # Some pages are one form altogether.
-        rows = _lines(page, True)
-    inside: dict[Region, int] = {}
-    for _, n, regions in rows:
-        for region in regions:
-            inside[region] = inside.get(region, 0) + n
-    # Where to look: the fullest article element, else main, else what is named like one.
-    chosen = max((r for r in inside if inside[r]), key=lambda r: (r[0], inside[r], r[1]), default=None)
+    lines = _lines(page or "")
+    weights = _weights(lines)
+    chosen = _region(lines, weights)
+    spared = _spared(lines, weights, chosen)
+    rows = [(r.said if spared.issuperset(r.parts) else "", r.n if spared.issuperset(r.parts) else 0, r.regions) for r in lines.rows]
     if chosen:
         # All of it is text, link or not.
         rows = [(r[0], len(r[0]), ()) if chosen in r[2] else ("", 0, ()) for r in rows]

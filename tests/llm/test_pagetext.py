@@ -81,3 +81,35 @@ def test_odd_rows(spark):
     got = sorted((r.page_id or 0, r.url or "", r.n_chars) for r in pagetext.extract(pages).collect())
     assert got == [(0, "u", 1), (1, "", 0), (2, "u", 1), (2, "u", 1), (3, "u", 1_499_999)]
     assert pagetext.extract(pages.limit(0)).collect() == []
+
+
+WORDS = "Many words of the article that is told here at length. " * 8
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<a href='#m'>Skip</a><div class='content-sidebar-wrap'><main><article><p>{0}</p></article></main><div id='sidebar'><p>Side.</p></div></div>",
+        "<p>Skip to it.</p><div class='container right-sidebar'><article><p>{0}</p></article></div>",
+        "<p>Skip to it.</p><form id='aspnet'><div class='page'><article><p>{0}</p></article></div></form>",
+        "<form id='aspnet'><div class='page'><p>{0}</p></div></form>",
+        "<div class='page-with-sidebar sidebar'><p>{0}</p></div><div class='comments'><p>Nice.</p></div>",
+        "<div class='elementor-widget'><p>{0}</p></div><div class='widget'><a href='/'>Home</a></div>",
+    ],
+)
+def test_wrappers_named_like_another_part_keep_the_article(body):
+    assert pagetext.main_text(f"<body>{NAV}{body.format(WORDS)}{FOOT}</body>") == WORDS.strip()
+
+
+def test_a_form_beside_a_line_keeps_its_text():
+    page = f"<body><p>Skip.</p><form><p>{WORDS}</p><p>{WORDS}</p></form></body>"
+    assert pagetext.main_text(page).endswith(f"{WORDS.strip()}\n{WORDS.strip()}")
+
+
+def test_parts_of_an_article_that_are_written_in_sentences_stay():
+    page = (
+        f"<article><p>{WORDS}</p><p class='notice'>Closed on Mondays.</p><div class='related-work'><p>Others did it before.</p></div>"
+        "<div class='related'><ul><li><a href='/a'>Another story.</a></li></ul></div><div class='share'>Share this</div><p>End.</p></article>"
+    )
+    want = [WORDS.strip(), "Closed on Mondays.", "Others did it before.", "End."]
+    assert pagetext.main_text(page).split("\n") == want
