@@ -55,6 +55,8 @@ OTHER_ARTICLES = frozenset("comment comments reply replies respond related recom
 ARTICLE_NAMES = frozenset("article articlebody post entry story content maincontent main".split())
 # What a sentence ends with.
 ENDS = (".", "!", "?", "…", ":", ";", "。", "！", "？", "।", "؟")
+#: Elements that may hold the article are about as full if they hold this part of what the fullest holds.
+ALIKE = 2 / 3
 #: What a letter counts in a part of another name, beside one outside such parts.
 IN_PART = 0.25
 
@@ -258,12 +260,30 @@ def _weights(lines: _Lines) -> list[float]:
 
 
 def _region(lines: _Lines, weights: list[float]) -> Region | None:
-    """Where to look: the fullest article element, else main, else what is named like one."""
+    """Where to look: the fullest element that may hold the article; of those about as full the surest, then the fullest.
+
+    None if long lines outside it hold more than twice as much.
+    """
     inside: dict[Region, float] = {}
     for r, weight in zip(lines.rows, weights):
         for region in r.regions:
             inside[region] = inside.get(region, 0) + weight
-    return max((r for r in inside if inside[r]), key=lambda r: (r[0], inside[r], r[1]), default=None)
+    most = max(inside.values(), default=0)
+    alike = [r for r in inside if inside[r] and inside[r] >= ALIKE * most]
+    chosen = max(alike, key=lambda r: (r[0], inside[r], r[1]), default=None)
+    beside = sum(weight for r, weight in zip(lines.rows, weights) if r.n >= SURGE and chosen not in r.regions)
+    return chosen if chosen and beside <= 2 * inside[chosen] else None
+
+
+def _neighbours(rows: list[tuple[str, int, tuple[Region, ...]]], chosen: Region) -> set[Region]:
+    """The chosen element and those beside it of the same kind whose windows surge too."""
+    own = next(regions[: regions.index(chosen)] for _, _, regions in rows if chosen in regions)
+    sizes: dict[Region, list[int]] = {}
+    for _, n, regions in rows:
+        k = len(own)
+        if len(regions) > k and regions[:k] == own and regions[k][0] == chosen[0]:
+            sizes.setdefault(regions[k], []).append(n)
+    return {chosen} | {r for r, held in sizes.items() if any(sum(held[i : i + WINDOW]) >= SURGE for i in range(len(held)))}
 
 
 def _spared(lines: _Lines, weights: list[float], chosen: Region | None) -> set[int]:
@@ -297,7 +317,8 @@ def main_text(page: str | None) -> str:
     rows = [(r.said if spared.issuperset(r.parts) else "", r.n if spared.issuperset(r.parts) else 0, r.regions) for r in lines.rows]
     if chosen:
         # All of it is text, link or not.
-        rows = [(r[0], len(r[0]), ()) if chosen in r[2] else ("", 0, ()) for r in rows]
+        near = _neighbours(rows, chosen)
+        rows = [(r[0], len(r[0]), ()) if not near.isdisjoint(r[2]) else ("", 0, ()) for r in rows]
     sizes = [n for _, n, _ in rows]
     windows = [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
     texts: list[tuple[int, int, int]] = []  # first line, line after the last, fullest window

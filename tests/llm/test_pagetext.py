@@ -113,3 +113,18 @@ def test_parts_of_an_article_that_are_written_in_sentences_stay():
     )
     want = [WORDS.strip(), "Closed on Mondays.", "Others did it before.", "End."]
     assert pagetext.main_text(page).split("\n") == want
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        ("<main><p>{0}</p><p>{0}</p><article class='card'><p>A teaser of some words</p></article></main>", 2),
+        ("<div class='content'><p>{0}</p><p>{0}</p></div><article class='card'><p>A teaser of some words</p></article>", 2),
+        ("<section class='story'><p>{0}</p><p>{0}</p></section><section class='story'><p>{0}</p></section>", 3),
+        ("<div><p>{0}</p><p>{0}</p><p>{0}</p></div><div><article><p>A teaser of some words</p></article></div>", 3),
+        ("<main><article><p>{0}</p><p>{0}</p></article><article><p>{0}</p></article></main>", 3),
+    ],
+)
+def test_the_fullest_element_is_chosen_and_its_like_neighbours(body, want):
+    got = pagetext.main_text(f"<body>{NAV}{body.format(WORDS)}{FOOT}</body>").split("\n")
+    assert got.count(WORDS.strip()) == want
