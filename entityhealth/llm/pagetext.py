@@ -2,16 +2,20 @@
 
 Markup is stripped and every block of a page becomes a line. Borders of
 containers become blank lines, and what is no part of an article by its tag,
-class or role becomes a gap of them, unless it is around the article, holds most
-of the page's text or, where the name is not sure, is written in sentences. The lengths of the lines, link texts not
-counted, are summed over a sliding window: where the sum surges a text begins,
-where it dives to nothing the text ends, and the lines between are kept.
+class or role is left out with its borders, unless it is around the article,
+holds most of the page's text or, where the name is not sure, is written in
+sentences. The lengths of the lines, link texts not counted, are summed over a
+sliding window: where the sum surges a text begins, where it dives to nothing
+the text ends, and the lines between are kept. On a page with an element that
+holds most of the text by its tag or name, letters outside that element count
+less; the sums decide inside it as on any page.
 """
 
 from __future__ import annotations
 
 import functools
 import html
+import itertools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -57,6 +61,8 @@ ARTICLE_NAMES = frozenset("article articlebody post entry story content maincont
 ENDS = (".", "!", "?", "…", ":", ";", "。", "！", "？", "।", "؟")
 #: Elements that may hold the article are about as full if they hold this part of what the fullest holds.
 ALIKE = 2 / 3
+#: What a letter counts outside the element that holds the article, beside one inside it.
+OUTSIDE = 0.125
 #: What a letter counts in a part of another name, beside one outside such parts.
 IN_PART = 0.25
 
@@ -132,6 +138,7 @@ class Line(NamedTuple):
     n: int
     regions: tuple[Region, ...]
     parts: tuple[int, ...]
+    level: int  # of a heading; 0 of other lines
 
 
 @functools.cache
@@ -150,17 +157,18 @@ class _Lines:
         self.linked: list[str] = []
         self.regions: tuple[Region, ...] = ()
         self.parts: tuple[int, ...] = ()
+        self.level = 0
 
     def end(self) -> None:
         said = " ".join("".join(self.text).split())
         if said:
             of_links = len(" ".join("".join(self.linked).split()))
-            self.rows.append(Line(said, max(0, len(said) - of_links), self.regions, self.parts))
+            self.rows.append(Line(said, max(0, len(said) - of_links), self.regions, self.parts, self.level))
         self.text, self.linked = [], []
 
     def blank(self) -> None:
         self.end()
-        self.rows.append(Line("", 0, self.regions, self.parts))
+        self.rows.append(Line("", 0, self.regions, self.parts, 0))
 
 
 def _lines(page: str) -> _Lines:
@@ -171,11 +179,6 @@ def _lines(page: str) -> _Lines:
     links = at = 0
     heading = False
 
-    def gap() -> None:
-        outer = all(opened[0] in ("html", "body") for opened in stack)
-        for _ in range(WINDOW if outer else 1):
-            lines.blank()
-
     def close(name: str) -> None:
         nonlocal unseen
         for k in range(len(stack) - 1, -1, -1):
@@ -187,11 +190,9 @@ def _lines(page: str) -> _Lines:
                 if breaks:
                     lines.end()
                 if outer:
-                    left = lines.parts != parts
-                    lines.regions, lines.parts = regions, parts
-                    if (unseen is not None and breaks) or left:
-                        gap()
-                    unseen = None
+                    if lines.parts != parts:
+                        lines.end()
+                    lines.regions, lines.parts, unseen = regions, parts, None
                 return
 
     def add(raw: str) -> None:
@@ -218,9 +219,11 @@ def _lines(page: str) -> _Lines:
                 close("p")
             if unseen is None:
                 lines.end()
+                lines.level = int(name[1]) if name in HEADINGS and not closing else 0
                 if name in BORDERS:
-                    lines.blank()
                     links = 0
+                    if closing:
+                        lines.blank()
         elif name in ("br", "td", "th"):
             add(" ")
         if name in HEADINGS:
@@ -239,16 +242,16 @@ def _lines(page: str) -> _Lines:
                 stack.append((name, only, lines.regions, lines.parts))
                 if kind == UNSEEN:
                     unseen = len(stack) - 1
-                    if name in BLOCKS:
-                        gap()
                 elif kind:
-                    gap()
+                    lines.end()
                     lines.parts = (*lines.parts, len(lines.kinds))
                     lines.kinds.append(kind)
                 elif unseen is None and (sure := _holds_article(name, attributes)):
                     region = (sure, -len(lines.around))
                     lines.around[region] = lines.parts
                     lines.regions = (*lines.regions, region)
+                if name in BORDERS and unseen is None:
+                    lines.blank()
     add(_HALF_TAG.sub("", page[at:]))
     lines.end()
     return lines
@@ -275,14 +278,14 @@ def _region(lines: _Lines, weights: list[float]) -> Region | None:
     return chosen if chosen and beside <= 2 * inside[chosen] else None
 
 
-def _neighbours(rows: list[tuple[str, int, tuple[Region, ...]]], chosen: Region) -> set[Region]:
+def _neighbours(rows: list[Line], chosen: Region) -> set[Region]:
     """The chosen element and those beside it of the same kind whose windows surge too."""
-    own = next(regions[: regions.index(chosen)] for _, _, regions in rows if chosen in regions)
+    own = next((r.regions[: r.regions.index(chosen)] for r in rows if chosen in r.regions), ())
     sizes: dict[Region, list[int]] = {}
-    for _, n, regions in rows:
+    for r in rows:
         k = len(own)
-        if len(regions) > k and regions[:k] == own and regions[k][0] == chosen[0]:
-            sizes.setdefault(regions[k], []).append(n)
+        if len(r.regions) > k and r.regions[:k] == own and r.regions[k][0] == chosen[0]:
+            sizes.setdefault(r.regions[k], []).append(r.n)
     return {chosen} | {r for r, held in sizes.items() if any(sum(held[i : i + WINDOW]) >= SURGE for i in range(len(held)))}
 
 
@@ -308,30 +311,78 @@ def _spared(lines: _Lines, weights: list[float], chosen: Region | None) -> set[i
     return spared
 
 
+#: First line, line after the last, fullest window.
+Run = tuple[int, int, int]
+
+
+def _runs(rows: list[Line]) -> list[Run]:
+    """The runs of lines from where the window sums surge from nothing to where they dive to nothing."""
+    windows = [sum(r.n for r in rows[i : i + WINDOW]) for i in range(len(rows))]
+    runs: list[Run] = []
+    start = None
+    for i, size in enumerate([*windows, 0]):
+        if start is None and size and rows[i].n:
+            start = i
+        elif start is not None and not size:
+            runs.append((start, i, max(windows[start:i])))
+            start = None
+    return runs
+
+
+def _edges(rows: list[Line], run: Run) -> tuple[int, int]:
+    """A run with the lines of links at its edges, where they are too few for a dive."""
+    first, end = run[:2]
+    before, after = first, end
+    while before and rows[before - 1].said and not rows[before - 1].n:
+        before -= 1
+    while after < len(rows) and rows[after].said and not rows[after].n:
+        after += 1
+    return (before if first - before < WINDOW else first), (after if after - end < WINDOW else end)
+
+
+def _headings(rows: list[Line], first: int, lowest: int = 6) -> list[int]:
+    """The headings right before a line."""
+    found = []
+    for i in range(first - 1, -1, -1):
+        if rows[i].said:
+            if not 0 < rows[i].level <= lowest:
+                break
+            found.append(i)
+    return found
+
+
+def _kept(rows: list[Line]) -> tuple[set[int], int]:
+    """The lines of the runs that are text, and the fullest window."""
+    runs = _runs(rows)
+    fullest = max((r[2] for r in runs), default=0)
+    kept: set[int] = set()
+    for run in runs:
+        if run[2] >= SURGE or run[2] == fullest:
+            first, end = _edges(rows, run)
+            kept.update(range(first, end), _headings(rows, first))
+    return kept, fullest
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page, its blocks in order, one per line; empty if there is none."""
     lines = _lines(page or "")
     weights = _weights(lines)
     chosen = _region(lines, weights)
     spared = _spared(lines, weights, chosen)
-    rows = [(r.said if spared.issuperset(r.parts) else "", r.n if spared.issuperset(r.parts) else 0, r.regions) for r in lines.rows]
-    if chosen:
-        # All of it is text, link or not.
-        near = _neighbours(rows, chosen)
-        rows = [(r[0], len(r[0]), ()) if not near.isdisjoint(r[2]) else ("", 0, ()) for r in rows]
-    sizes = [n for _, n, _ in rows]
-    windows = [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
-    texts: list[tuple[int, int, int]] = []  # first line, line after the last, fullest window
-    start = None
-    for i, size in enumerate([*windows, 0]):
-        if start is None and size and sizes[i]:
-            start = i
-        elif start is not None and not size:
-            texts.append((start, i, max(windows[start:i])))
-            start = None
-    fullest = max((t[2] for t in texts), default=0)
-    kept = [t for t in texts if chosen or t[2] >= SURGE or t[2] == fullest]
-    return "\n".join(rows[i][0] for first, end, _ in kept for i in range(first, end) if rows[i][0])
+    rows = [r for r in lines.rows if spared.issuperset(r.parts)]
+    near = _neighbours(rows, chosen) if chosen else set()
+    inside = [i for i, r in enumerate(rows) if not near or not near.isdisjoint(r.regions)]
+    found, fullest = _kept([rows[i] for i in inside])
+    kept = {inside[i] for i in found}
+    if near:
+        kept.update(_headings(rows, min(kept, default=0), 1))
+        # Elsewhere a letter counts less.
+        for outside, some in itertools.groupby(range(len(rows)), lambda i: near.isdisjoint(rows[i].regions)):
+            at = list(some)
+            for first, end, window in _runs([rows[i] for i in at]) if outside else ():
+                if window * OUTSIDE >= fullest:
+                    kept.update(at[first:end])
+    return "\n".join(rows[i].said for i in sorted(kept) if rows[i].said)
 
 
 def text_column(page: Column) -> Column:

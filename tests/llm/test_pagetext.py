@@ -128,3 +128,19 @@ def test_parts_of_an_article_that_are_written_in_sentences_stay():
 def test_the_fullest_element_is_chosen_and_its_like_neighbours(body, want):
     got = pagetext.main_text(f"<body>{NAV}{body.format(WORDS)}{FOOT}</body>").split("\n")
     assert got.count(WORDS.strip()) == want
+
+
+def test_sums_decide_inside_an_element_too():
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>Another story to read {i}</a></li>" for i in range(8)) + "</ul>"
+    body = f"<h1><a href='/'>Head</a></h1><p>{WORDS}</p><p><a href='/b'>One link.</a></p><p>{WORDS}</p>{links}"
+    want = ["Head", WORDS.strip(), "One link.", WORDS.strip()]
+    for element in ("article", "main", "section class='story'"):
+        page = f"<body><{element}>{body}</{element.split()[0]}></body>"
+        assert pagetext.main_text(page).split("\n") == want
+
+
+def test_text_outside_an_element_stays_where_it_is_far_fuller():
+    teasers = f"<main><article><p>{WORDS}</p></article></main>"
+    assert pagetext.main_text(f"<body><h1>Head</h1>{teasers}<div><p>Some other line.</p></div></body>") == f"Head\n{WORDS.strip()}"
+    short = "<main>" + "<div></div><div><p>A line of a few words.</p></div>" * 20 + "</main>"
+    assert WORDS.strip() in pagetext.main_text(f"<body>{short}<div><p>{WORDS}</p></div></body>")
