@@ -25,8 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-#: A text whose fullest window has fewer characters is no article, unless it is the fullest of the page.
+#: A sum surges from so many characters on, or from this part of the window in which the median letter of the page lies.
 SURGE = 80
+SURGE_PART = 0.25
+#: Blank lines between a text and a short run that belongs to it, at most, on pages without an element for the article.
+NEARBY = 6
 
 # Names of elements and attributes in HTML.
 RAW = frozenset("script style title textarea noscript iframe noembed noframes template svg math canvas object".split())
@@ -278,7 +281,18 @@ def _region(lines: _Lines, weights: list[float]) -> Region | None:
     return chosen if chosen and beside <= 2 * inside[chosen] else None
 
 
-def _neighbours(rows: list[Line], chosen: Region) -> set[Region]:
+def _surge(rows: list[Line]) -> float:
+    """The sum from which a window surges on this page; SURGE at most, less on pages of short lines."""
+    windows = sorted(sum(r.n for r in rows[i : i + WINDOW]) for i in range(len(rows)))
+    whole, seen = sum(windows), 0
+    for size in windows:
+        seen += size
+        if 2 * seen >= whole:
+            return min(SURGE, SURGE_PART * size)
+    return SURGE
+
+
+def _neighbours(rows: list[Line], chosen: Region, surge: float) -> set[Region]:
     """The chosen element and those beside it of the same kind whose windows surge too."""
     own = next((r.regions[: r.regions.index(chosen)] for r in rows if chosen in r.regions), ())
     sizes: dict[Region, list[int]] = {}
@@ -286,7 +300,7 @@ def _neighbours(rows: list[Line], chosen: Region) -> set[Region]:
         k = len(own)
         if len(r.regions) > k and r.regions[:k] == own and r.regions[k][0] == chosen[0]:
             sizes.setdefault(r.regions[k], []).append(r.n)
-    return {chosen} | {r for r, held in sizes.items() if any(sum(held[i : i + WINDOW]) >= SURGE for i in range(len(held)))}
+    return {chosen} | {r for r, held in sizes.items() if any(sum(held[i : i + WINDOW]) >= surge for i in range(len(held)))}
 
 
 def _spared(lines: _Lines, weights: list[float], chosen: Region | None) -> set[int]:
@@ -307,7 +321,7 @@ def _spared(lines: _Lines, weights: list[float], chosen: Region | None) -> set[i
             spared.add(p)
     if not any(r.said and spared.issuperset(r.parts) for r in lines.rows):
         # Nothing has another name, so names tell nothing.
-        spared.update(p for p, kind in enumerate(lines.kinds) if kind in (NAMED, FORM))
+        spared.update(p for p, kind in enumerate(lines.kinds) if kind in (NAMED, MAYBE, FORM))
     return spared
 
 
@@ -351,15 +365,28 @@ def _headings(rows: list[Line], first: int, lowest: int = 6) -> list[int]:
     return found
 
 
-def _kept(rows: list[Line]) -> tuple[set[int], int]:
-    """The lines of the runs that are text, and the fullest window."""
+def _beside(rows: list[Line], runs: list[Run], texts: set[int], inside: bool) -> set[int]:
+    """The runs with no line of links between them and a text: all inside an element, else the next one nearby."""
+    found = set(texts)
+    for order in (range(1, len(runs)), range(len(runs) - 2, -1, -1)):
+        for k in order:
+            other = k - 1 if order.step > 0 else k + 1
+            if other in (found if inside else texts):
+                lo, hi = (runs[other][1], runs[k][0]) if other < k else (runs[k][1], runs[other][0])
+                if not any(r.said for r in rows[lo:hi]) and (inside or hi - lo <= NEARBY):
+                    found.add(k)
+    return found
+
+
+def _kept(rows: list[Line], surge: float, inside: bool) -> tuple[set[int], int]:
+    """The lines of the runs that are text, with the short ones beside them, and the fullest window."""
     runs = _runs(rows)
     fullest = max((r[2] for r in runs), default=0)
+    texts = {k for k, run in enumerate(runs) if run[2] >= surge or run[2] == fullest}
     kept: set[int] = set()
-    for run in runs:
-        if run[2] >= SURGE or run[2] == fullest:
-            first, end = _edges(rows, run)
-            kept.update(range(first, end), _headings(rows, first))
+    for k in _beside(rows, runs, texts, inside):
+        first, end = _edges(rows, runs[k])
+        kept.update(range(first, end), _headings(rows, first))
     return kept, fullest
 
 
@@ -370,9 +397,10 @@ def main_text(page: str | None) -> str:
     chosen = _region(lines, weights)
     spared = _spared(lines, weights, chosen)
     rows = [r for r in lines.rows if spared.issuperset(r.parts)]
-    near = _neighbours(rows, chosen) if chosen else set()
+    surge = _surge(rows)
+    near = _neighbours(rows, chosen, surge) if chosen else set()
     inside = [i for i, r in enumerate(rows) if not near or not near.isdisjoint(r.regions)]
-    found, fullest = _kept([rows[i] for i in inside])
+    found, fullest = _kept([rows[i] for i in inside], surge, bool(near))
     kept = {inside[i] for i in found}
     if near:
         kept.update(_headings(rows, min(kept, default=0), 1))

@@ -144,3 +144,20 @@ def test_text_outside_an_element_stays_where_it_is_far_fuller():
     assert pagetext.main_text(f"<body><h1>Head</h1>{teasers}<div><p>Some other line.</p></div></body>") == f"Head\n{WORDS.strip()}"
     short = "<main>" + "<div></div><div><p>A line of a few words.</p></div>" * 20 + "</main>"
     assert WORDS.strip() in pagetext.main_text(f"<body>{short}<div><p>{WORDS}</p></div></body>")
+
+
+APART = "<div></div><div></div>"
+
+
+@pytest.mark.parametrize(
+    "body,text",
+    [
+        (f"<h1>Title</h1><div class='ad'>x</div><p>{WORDS}</p><p>More.</p><div class='ad'>y</div><p>Short end.</p>", f"Title\n{WORDS.strip()}\nMore.\nShort end."),
+        (f"<div><h1>Title</h1></div>{APART}<div><p>{WORDS}</p></div>{APART}<p>Short end.</p>", f"Title\n{WORDS.strip()}\nShort end."),
+        (APART.join(f"<p>A verse of number {i}.</p>" for i in range(5)), "\n".join(f"A verse of number {i}." for i in range(5))),
+        (f"<article><p>{WORDS}</p>{APART * 2}<p>One.</p>{APART * 2}<p>Two.</p></article>", f"{WORDS.strip()}\nOne.\nTwo."),
+        (f"<div><p>{WORDS}</p></div>{APART * 3}<p>Far away.</p>", WORDS.strip()),
+    ],
+)
+def test_short_lines_beside_a_text_stay(body, text):
+    assert pagetext.main_text(f"<body>{body}</body>") == text
