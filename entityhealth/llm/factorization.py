@@ -25,9 +25,18 @@ Features = Callable[[str, int | None], dict[int, float]]
 
 #: Labelled rows that a model learns from, at most. Rows beyond it add little to a model of this size.
 FIT_ROWS = 12_000
-#: Features that a model has, at most, and texts of the sample that one must be in.
-MAX_FEATURES = 2_500
-MIN_TEXTS = 4
+#: Hashes are taken modulo this; every feature of a text has a weight, however rare it is.
+SPACE = 1 << 20
+FACTORS = 8
+#: A weight is not zero once its gradients add up to so many standard deviations of what chance gives, which
+#: grows with the passes to this power; its pace from then on.
+EVIDENCE = 3.0
+GROWTH = 0.5
+PACE = 2.0
+#: Pairs are learnt where the weights leave more than this part of the mean error of a constant; gradients well
+#: below `STILL` do not move a factor.
+LEFT = 0.15
+STILL = 1e-4
 #: Texts scored together.
 BLOCK = 512
 
@@ -41,23 +50,10 @@ class Model:
     weights: np.ndarray
     factors: np.ndarray
 
-    def __post_init__(self) -> None:
-        self.index = {int(k): i for i, k in enumerate(self.keys)}
-
     def rows(self, texts: list[dict[int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, feature numbers and values; every text has a first feature of no weight, so none is empty."""
-        starts, at, values = [], [], []
-        none = len(self.keys)
-        for text in texts:
-            starts.append(len(at))
-            at.append(none)
-            values.append(0.0)
-            for key, value in text.items():
-                i = self.index.get(key)
-                if i is not None:
-                    at.append(i)
-                    values.append(value)
-        return np.array(starts, np.int64), np.array(at, np.int64), np.array(values, np.float64)
+        held = [_known(self.keys, *_arrays(text)) for text in texts]
+        return _joined(held)
 
     def score(self, texts: list[dict[int, float]]) -> np.ndarray:
         if not texts:
@@ -75,67 +71,109 @@ def _sums(model: Model, starts: np.ndarray, at: np.ndarray, values: np.ndarray)
     return model.bias + linear + 0.5 * ((both * both).sum(axis=1) - squares), both
 
 
+def _known(keys: np.ndarray, hashes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and values of the features that have weights, after one that has none."""
+    at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
+    known = keys[at] == hashes if len(keys) else np.zeros(len(hashes), bool)
+    return np.concatenate([[len(keys)], at[known]]).astype(np.int64), np.concatenate([[0.0], values[known]])
+
+
+def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes = [len(h[0]) for h in held]
+    at, values = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+    return np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64), at, values
+
+
 def train(
     texts: list[tuple[np.ndarray, np.ndarray]],
     labels: np.ndarray,
-    factors: int = 8,
+    factors: int = FACTORS,
     epochs: int = 25,
     batch: int = 128,
     rate: float = 0.02,
     decay: float = 2e-4,
     seed: int = 7,
-    keys: np.ndarray | None = None,
 ) -> Model:
     """A model of texts given as hashes and values. Without texts, or of one class only, it knows the share of the class.
 
-    `keys` are the hashes to learn weights for, in order; all that occur if not given.
+    All features that occur are learnt. First the weights, by the gradients
+    summed over all texts ("follow the regularised leader"): chance moves many
+    rare weights a little, so a weight is zero until its sum is larger than
+    chance makes it. Then the factors of all features, on what the weights leave.
     """
-    if keys is None:
-        keys = np.unique(np.concatenate([t[0] for t in texts])) if texts else np.zeros(0, np.int64)
+    keys = np.unique(np.concatenate([t[0] for t in texts])) if texts else np.zeros(0, np.int64)
     rnd = np.random.default_rng(seed)
     share = min(0.999, max(0.001, float(labels.mean()))) if len(labels) else 0.5
     m = len(keys)
-    model = Model(keys, float(np.log(share / (1 - share))), np.zeros(m + 1), rnd.normal(0, 0.01, (m + 1, factors)))
-    model.factors[m] = 0
+    model = Model(keys, float(np.log(share / (1 - share))), np.zeros(m + 1), np.zeros((m + 1, factors)))
     if not m or labels.min() == labels.max():
         return model
-    held = []
-    for hashes, values in texts:
-        at = np.minimum(np.searchsorted(keys, hashes), m - 1)
-        known = keys[at] == hashes
-        held.append((np.concatenate([[m], at[known]]), np.concatenate([[0.0], values[known]])))
-    state = [np.zeros_like(x) for x in (model.weights, model.weights, model.factors, model.factors)]
+    held = [_known(keys, *t) for t in texts]
+    sums, squares, chance = (np.zeros(m + 1) for _ in range(3))
+    for at, values in held:
+        chance[at] += values * values
+    chance = EVIDENCE * np.sqrt(chance * share * (1 - share))
     bias, step = [0.0, 0.0], 0
+
+    def errors(rows: np.ndarray, said: np.ndarray, speed: float) -> np.ndarray:
+        """By how much the scores are off; the bias learns from it."""
+        nonlocal step
+        off = 1 / (1 + np.exp(-np.clip(said, -30, 30))) - labels[rows]
+        step += 1
+        g = float(off.mean())
+        bias[:] = 0.9 * bias[0] + 0.1 * g, 0.999 * bias[1] + 0.001 * g * g
+        fix = np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        model.bias -= speed * fix * bias[0] / (bias[1] ** 0.5 + 1e-8)
+        return off
+
+    left = 0.0
+    for epoch in range(epochs):
+        left = 0.0
+        for rows in _batches(rnd, len(held), batch):
+            starts, at, values = _joined([held[r] for r in rows])
+            said = model.bias + np.add.reduceat(model.weights[at] * values, starts)
+            off = errors(rows, said, rate * (1 - epoch / epochs))
+            left += float(np.abs(off).sum()) / len(held)
+            used, place = np.unique(at, return_inverse=True)
+            g = np.bincount(place, weights=np.repeat(off, np.diff([*starts, len(at)])) * values)
+            grown = squares[used] + g * g
+            sums[used] += g - (np.sqrt(grown) - np.sqrt(squares[used])) / PACE * model.weights[used]
+            squares[used] = grown
+            over = np.maximum(0, np.abs(sums[used]) - chance[used] * (epoch + 1) ** GROWTH)
+            model.weights[used] = -np.sign(sums[used]) * over * PACE / (1 + np.sqrt(grown))
+            model.weights[m] = 0
+    if left <= LEFT * 2 * share * (1 - share):
+        return model
+    model.factors = rnd.normal(0, 0.01, (m + 1, factors))
+    model.factors[m] = 0
+    means, spreads = np.zeros_like(model.factors), np.zeros_like(model.factors)
+    first_step = step
     for epoch in range(epochs):
         speed = rate * (1 - epoch / epochs)
-        order = rnd.permutation(len(held))
-        for lo in range(0, len(order), batch):
-            rows = order[lo : lo + batch]
-            sizes = np.array([len(held[r][0]) for r in rows])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            at, values = (np.concatenate([held[r][k] for r in rows]) for k in (0, 1))
+        for rows in _batches(rnd, len(held), batch):
+            starts, at, values = _joined([held[r] for r in rows])
+            sizes = np.diff([*starts, len(at)])
             said, both = _sums(model, starts, at, values)
-            error = (1 / (1 + np.exp(-np.clip(said, -30, 30))) - labels[rows]) / len(rows)
-            mine = np.repeat(error, sizes) * values
+            mine = np.repeat(errors(rows, said, speed) / len(rows), sizes) * values
             grad = (np.repeat(both, sizes, axis=0) - model.factors[at] * values[:, None]) * mine[:, None]
             by = np.argsort(at, kind="stable")
             used, first = np.unique(at[by], return_index=True)
-            step += 1
-            fix = np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-            sums = (np.add.reduceat(mine[by], first), np.add.reduceat(grad[by], first, axis=0))
-            for k, (target, g) in enumerate(zip((model.weights, model.factors), sums)):
-                g = g + decay * target[used]
-                mean, square = state[2 * k], state[2 * k + 1]
-                mean[used] = 0.9 * mean[used] + 0.1 * g
-                square[used] = 0.999 * square[used] + 0.001 * g * g
-                target[used] -= speed * fix * mean[used] / (np.sqrt(square[used]) + 1e-8)
-            g = float(error.sum())
-            bias = [0.9 * bias[0] + 0.1 * g, 0.999 * bias[1] + 0.001 * g * g]
-            model.bias -= speed * fix * bias[0] / (bias[1] ** 0.5 + 1e-8)
-            model.weights[m], model.factors[m] = 0, 0
+            g = np.add.reduceat(grad[by], first, axis=0) + decay * model.factors[used]
+            means[used] = 0.9 * means[used] + 0.1 * g
+            spreads[used] = 0.999 * spreads[used] + 0.001 * g * g
+            n = step - first_step
+            fix = np.sqrt(1 - 0.999**n) / (1 - 0.9**n)
+            model.factors[used] -= speed * fix * means[used] / (np.sqrt(spreads[used]) + STILL)
+            model.factors[m] = 0
     return model
 
 
+def _batches(rnd: np.random.Generator, n: int, batch: int) -> Iterator[np.ndarray]:
+    order = rnd.permutation(n)
+    for lo in range(0, n, batch):
+        yield order[lo : lo + batch]
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -150,8 +188,7 @@ def fit(
     """A model of at most `rows` labelled documents whose id `learn` allows, chosen by a hash of the id.
 
     The chosen ids are at most `rows`, so they are broadcast; the features of
-    their texts are made where the texts lie. The features that tell the classes
-    apart are chosen there too, and one task trains on what is left of the sample.
+    their texts are made where the texts lie, and one task trains on all of them.
     An id with several labels has the largest one. Rows without id or label are
     not learnt from; of rows with the same id one is.
     """
@@ -166,72 +203,55 @@ def fit(
         for batch in batches:
             found = [_arrays(features(t, None if pd.isna(n) else int(n))) for t, n in zip(batch["text"], batch["length"])]
             yield pd.DataFrame(
-                {"id": batch["id"], "label": batch["label"], "hashes": [f[0] for f in found], "vals": [f[1] for f in found]}
+                {
+                    "id": batch["id"],
+                    "label": batch["label"],
+                    "hashes": [f[0].astype(np.int32) for f in found],
+                    "vals": [f[1].astype(np.float32) for f in found],
+                }
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, label int, hashes array<bigint>, vals array<float>"
+    schema = f"id {kind}, label int, hashes array<int>, vals array<float>"
     got = texts.join(F.broadcast(chosen), "id").mapInPandas(extract, schema).dropDuplicates(["id"])
     sample = settled(got.withColumn("label", (F.col("label") > 0).cast("int")), "sample")
-    keys = _telling_features(sample)
-    return _train_in_task(sample, np.sort([r["hash"] for r in keys.collect()]).astype(np.int64))
-
+    return _train_in_task(sample)
 
-def _train_in_task(sample: DataFrame, keys: np.ndarray) -> Model:
-    """The model of a bounded sample, trained in one task; only its weights reach the driver."""
 
-    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            kept = [np.isin(h, keys) for h in batch["hashes"]]
-            pairs = {c: [np.asarray(x)[k] for x, k in zip(batch[c], kept)] for c in ("hashes", "vals")}
-            yield batch.assign(**pairs)
+def _train_in_task(sample: DataFrame) -> Model:
+    """The model of a bounded sample, trained in one task; only its weights reach the driver, SPACE of them at most."""
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, labels = [], []
         for batch in batches:
-            held += [(np.asarray(h, np.int64), np.asarray(v, np.float64)) for h, v in zip(batch["hashes"], batch["vals"])]
+            held += [(np.array(h, np.int32), np.array(v, np.float32)) for h, v in zip(batch["hashes"], batch["vals"])]
             labels += batch["label"].tolist()
-        model = train(held, np.array(labels, np.float64), keys=keys)
-        yield pd.DataFrame(
-            {
-                "hash": [None, *keys.tolist()],
-                "weight": [model.bias, *model.weights[: len(keys)]],
-                "factors": [[], *model.factors[: len(keys)].tolist()],
-            }
-        ).astype({"hash": "Int64"})
-
-    small = sample.mapInPandas(narrow, sample.schema).repartition(1).sortWithinPartitions("id")
-    rows = small.mapInPandas(learn, "hash bigint, weight double, factors array<double>").collect()
-    if not rows:
-        return train([], np.zeros(0), keys=keys)
-    bias = next(r["weight"] for r in rows if r["hash"] is None)
-    known = {r["hash"]: r for r in rows if r["hash"] is not None}
-    width = len(next(iter(known.values()))["factors"]) if known else 1
-    weights = [known[k]["weight"] for k in keys.tolist()] + [0.0]
-    factors = [known[k]["factors"] for k in keys.tolist()] + [[0.0] * width]
-    return Model(keys, bias, np.array(weights), np.array(factors))
-
-
-def _telling_features(sample: DataFrame) -> DataFrame:
-    """The MAX_FEATURES hashes that tell the classes of the sample apart best by a test of proportions."""
-    n, n1 = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    texts = sample.select("label", F.explode("hashes").alias("hash"))
-    counts = texts.groupBy("hash").agg(F.count("*").alias("n"), F.sum("label").alias("n1"))
-    share = F.col("n") / max(1, n)
-    spread = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-6)) * (1 / max(1, n1) + 1 / max(1, n - n1)))
-    gap = F.abs(F.col("n1") / max(1, n1) - (F.col("n") - F.col("n1")) / max(1, n - n1)) / spread
-    best = counts.where(F.col("n") >= MIN_TEXTS).select("hash", gap.alias("gap")).where("gap > 0")
-    return settled(best.orderBy(F.desc("gap"), "hash").limit(MAX_FEATURES).select("hash"), "features")
+        model = train(held, np.array(labels, np.float64))
+        weights, factors = model.weights.astype(np.float32), model.factors.astype(np.float32)
+        parts = {"hashes": model.keys.astype(np.int32), "weights": weights, "factors": factors}
+        yield pd.DataFrame({"bias": [model.bias], **{k: [v.tobytes()] for k, v in parts.items()}})
+
+    rows = sample.repartition(1).sortWithinPartitions("id").mapInPandas(
+        learn, "bias double, hashes binary, weights binary, factors binary"
+    )
+    got = rows.collect()
+    if not got:
+        return train([], np.zeros(0))
+    keys, weights, factors = (
+        np.frombuffer(got[0][k], t) for k, t in (("hashes", np.int32), ("weights", np.float32), ("factors", np.float32))
+    )
+    return Model(keys, got[0]["bias"], weights, factors.reshape(len(weights), -1))
 
 
 def _arrays(found: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.fromiter(found, np.int64, len(found))
-    order = np.argsort(keys)
-    return keys[order], np.fromiter(found.values(), np.float32, len(found))[order]
+    """Hashes in the space of the model, in order, and their values; features that meet in one are added."""
+    keys = np.fromiter(found, np.int64, len(found)) & (SPACE - 1)
+    hashes, place = np.unique(keys, return_inverse=True)
+    return hashes, np.bincount(place, np.fromiter(found.values(), np.float64, len(found)), len(hashes))
 
 
 def score_column(model: Model, features: Features, text: Column, length: Column) -> Column:
-    """The score of every text. The model goes out with the function; its size is bounded by MAX_FEATURES."""
+    """The score of every text. The model goes out with the function; its size is bounded by SPACE."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
