@@ -10,6 +10,7 @@ factors, so it takes time linear in the number of features.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -50,6 +51,15 @@ class Model:
     weights: np.ndarray
     factors: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.paired = bool(self.factors.any())
+        told = np.flatnonzero(self.weights[: len(self.keys)])
+        self.told = dict(zip(self.keys[told].tolist(), self.weights[told].tolist()))
+
+    def _linear(self, text: dict[int, float]) -> float:
+        """The weighted sum of a text's features; without factors it is all, and most weights are zero."""
+        return math.fsum(self.told[k & (SPACE - 1)] * v for k, v in text.items() if k & (SPACE - 1) in self.told)
+
     def rows(self, texts: list[dict[int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, feature numbers and values; every text has a first feature of no weight, so none is empty."""
         held = [_known(self.keys, *_arrays(text)) for text in texts]
@@ -58,6 +68,8 @@ class Model:
     def score(self, texts: list[dict[int, float]]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
+        if not self.paired:
+            return 1 / (1 + np.exp(-np.clip(self.bias + np.array([self._linear(t) for t in texts]), -30, 30)))
         starts, at, values = self.rows(texts)
         return 1 / (1 + np.exp(-np.clip(_sums(self, starts, at, values)[0], -30, 30)))
 
@@ -143,7 +155,7 @@ def train(
             model.weights[used] = -np.sign(sums[used]) * over * PACE / (1 + np.sqrt(grown))
             model.weights[m] = 0
     if left <= LEFT * 2 * share * (1 - share):
-        return model
+        return Model(keys, model.bias, model.weights, model.factors)
     model.factors = rnd.normal(0, 0.01, (m + 1, factors))
     model.factors[m] = 0
     means, spreads = np.zeros_like(model.factors), np.zeros_like(model.factors)
@@ -165,7 +177,7 @@ def train(
             fix = np.sqrt(1 - 0.999**n) / (1 - 0.9**n)
             model.factors[used] -= speed * fix * means[used] / (np.sqrt(spreads[used]) + STILL)
             model.factors[m] = 0
-    return model
+    return Model(keys, model.bias, model.weights, model.factors)
 
 
 def _batches(rnd: np.random.Generator, n: int, batch: int) -> Iterator[np.ndarray]:
