@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from entityhealth.llm import bpe, hostrules, mixing, multiindex, packing, pagetext, quality, secrets, simhash, toxicity
+from entityhealth.llm import bpe, hostrules, mixing, multiindex, packing, pagetext, quality, secrets, simhash, stripes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -189,3 +189,44 @@ def op7_nearest(spark, sf):
     """The nearest vectors of every fiftieth one."""
     rows = table(spark, sf, "embeddings")
     return multiindex.search(rows, rows["vec_id"] % 50 == 0)
+
+
+_SHARE = "1 + CAST(1000000000 AS HUGEINT) * ({0} + 5) // ({1} + 5 * v)"
+
+
+@query(
+    "op11_divergence",
+    rf"""WITH texts AS (
+      SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+    ), tokens AS (
+      SELECT d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts
+    ), kept AS (SELECT lang, term FROM tokens GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+    totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+    groups AS (SELECT DISTINCT lang, source FROM texts),
+    grid AS (
+      SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {_SHARE.format("coalesce(n, 0)", "coalesce(total, 0)")} AS p
+      FROM groups g JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN counts c USING (lang, source, term)
+      LEFT JOIN totals t USING (lang, source)
+    ), whole AS (
+      SELECT lang, term, {_SHARE.format("sum(n)", "sum(sum(n)) OVER (PARTITION BY lang)")} AS q
+      FROM counts JOIN sizes USING (lang) GROUP BY lang, term, v
+    ), pairs AS (
+      SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+        FROM grid x JOIN grid y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+      ) s ON a.lang = s.lang AND a.source = s.source AND b.source = s.item
+    ), terms AS (
+      SELECT lang, source, term AS item, p - q AS value FROM grid JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM (
+        SELECT *, 'pair' AS part FROM pairs UNION ALL BY NAME SELECT *, 'term' AS part FROM terms)
+    ) SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+      FROM ranked WHERE part = 'pair' OR rank <= 50""",
+)
+def op11_divergence(spark, sf):
+    """How far the sources of every language differ, and by which terms."""
+    return stripes.audit(table(spark, sf, "documents"))
