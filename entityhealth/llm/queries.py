@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from entityhealth.llm import bpe, hostrules, mixing, multiindex, packing, pagetext, quality, secrets, simhash, stripes, toxicity
+from entityhealth.llm import bpe, codes, hostrules, mixing, multiindex, packing, pagetext, quality, secrets, simhash, stripes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,3 +230,43 @@ _SHARE = "1 + CAST(1000000000 AS HUGEINT) * ({0} + 5) // ({1} + 5 * v)"
 def op11_divergence(spark, sf):
     """How far the sources of every language differ, and by which terms."""
     return stripes.audit(table(spark, sf, "documents"))
+
+
+def _cut_sql(books: str, rows: str) -> str:
+    """The nearest entry of every part of `rows`, lower index on ties, and the distance."""
+    gaps = " + ".join(f"(r.x[{i}] - b.x[{i}]) * (r.x[{i}] - b.x[{i}])" for i in range(1, 5))
+    return f"""SELECT id, part, label, x, entry, far FROM (
+      SELECT r.id, r.part, r.label, r.x, b.entry, {gaps} AS far,
+        row_number() OVER (PARTITION BY r.id, r.part ORDER BY {gaps}, b.entry) AS place
+      FROM {rows} r JOIN {books} b USING (part)) WHERE place = 1"""
+
+
+def _move_sql(books: str, assigned: str) -> str:
+    """The entries at the floor of the mean of their parts, unused ones where they were."""
+    mean = ", ".join(f"CAST(floor(sum(x[{i}]) / count(*)) AS BIGINT)" for i in range(1, 5))
+    return f"""SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM {books} b LEFT JOIN (
+      SELECT part, entry, [{mean}] AS x FROM {assigned} GROUP BY part, entry) m USING (part, entry)"""
+
+
+@query(
+    "op12_codes",
+    f"""WITH rows AS MATERIALIZED (
+      SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS id,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), parts AS MATERIALIZED (
+      SELECT id, label, p AS part, v[4 * p + 1:4 * p + 4] AS x FROM rows, range(16) t(p)
+    ), books0 AS MATERIALIZED (SELECT part, id - 1 AS entry, x FROM parts WHERE id <= 64),
+    first AS MATERIALIZED ({_cut_sql("books0", "parts")}), books1 AS MATERIALIZED ({_move_sql("books0", "first")}),
+    second AS MATERIALIZED ({_cut_sql("books1", "parts")}), books2 AS MATERIALIZED ({_move_sql("books1", "second")}),
+    last AS MATERIALIZED ({_cut_sql("books2", "parts")}),
+    print AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM books2),
+    coded AS (
+      SELECT id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error, any_value(label) AS label
+      FROM last GROUP BY id
+    ) SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY c.label) AS BIGINT) AS label_error, codebooks_sha256
+      FROM coded c JOIN rows USING (id), print""",
+)
+def op12_codes(spark, sf):
+    """The code of every vector, and how far its entries are."""
+    return codes.compress(table(spark, sf, "embeddings"))
