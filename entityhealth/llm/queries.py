@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from entityhealth.llm import bpe, codes, hostrules, mixing, multiindex, packing, pagetext, quality, secrets, simhash, stripes, toxicity
+from entityhealth.llm import bpe, codes, hostrules, mixing, multiindex, packing, pagetext, quality, secrets, simhash, stripes, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -270,3 +270,20 @@ def _move_sql(books: str, assigned: str) -> str:
 def op12_codes(spark, sf):
     """The code of every vector, and how far its entries are."""
     return codes.compress(table(spark, sf, "embeddings"))
+
+
+@query(
+    "op13_inner_products",
+    """WITH rows AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+      FROM rows q JOIN rows c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    ) SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+      FROM scored QUALIFY rank <= 5""",
+)
+def op13_inner_products(spark, sf):
+    """The largest inner products of every fiftieth vector."""
+    rows = table(spark, sf, "embeddings")
+    return topk.search(rows, rows["vec_id"] % 50 == 0)
