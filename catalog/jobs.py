@@ -8,7 +8,7 @@ from catalog.registry import query, table
 from entityhealth import schemas
 from entityhealth.plans import jobs
 from entityhealth.session import scratch_path
-from entityhealth.sources import sinks, tables
+from entityhealth.sources import published, sinks, tables
 
 # --- daily refresh -------------------------------------------------------------
 
@@ -40,6 +40,12 @@ from entityhealth.sources import sinks, tables
 def refresh_job(spark, sf):
     """Events landed by day, refreshed by rows without a value column, some of them without a day."""
     path = scratch_path(spark, "refresh")
+    land_for_refresh(spark, sf, path)
+    refresh(spark, sf, path)
+    return published.read(spark, path)
+
+
+def land_for_refresh(spark, sf, path: str) -> None:
     events = table(spark, sf, "events").select(
         "event_id",
         F.col("user_id").alias("entity_id"),
@@ -48,7 +54,10 @@ def refresh_job(spark, sf):
         F.when(F.col("event_id") % 97 != 0, F.col("ts").cast("date")).alias("date"),
     )
     sinks.land(events, path)
-    day = events.agg(F.max("date")).first()[0]
+
+
+def refresh(spark, sf, path: str) -> None:
+    day = spark.read.parquet(path).agg(F.max("date")).first()[0]
     signups = table(spark, sf, "events").where("event_type = 'signup'")
     incoming = signups.select(
         "event_id",
@@ -57,7 +66,6 @@ def refresh_job(spark, sf):
         F.when(F.col("event_id") % 50 != 0, F.lit(day)).alias("date"),
     )
     jobs.daily_refresh(spark, path, incoming, day, ["category"], ["event_id"], "entity_id")
-    return spark.read.parquet(path)
 
 
 # --- health report -------------------------------------------------------------

@@ -22,7 +22,7 @@ from entityhealth.operators import (
 )
 from entityhealth.rules import DEFAULT_RULES, LEVELS, RuleSet
 from entityhealth.session import written
-from entityhealth.sources import devicelog, notes, sinks, tables
+from entityhealth.sources import devicelog, notes, published, sinks, tables
 
 # Food is in grams; the report header keeps its traditional name.
 TREND_MEANS = {
@@ -203,8 +203,12 @@ def daily_refresh(
     table's columns stay: those that `incoming` lacks are NULL in its rows, and
     columns that the table does not have are refused. Rows without a date are a
     day of their own, whose old rows stay like those of any other.
+
+    All changed days are published in one step; `published.read` gives the
+    table. A run that fails in between leaves the table as it was.
     """
-    existing = spark.read.parquet(path)
+    now = published.snapshot(spark, path, date)
+    existing = published.read(spark, path, date, at=now)
     if unknown := [c for c in incoming.columns if c not in existing.columns]:
         raise ValueError(f"the table has no columns {unknown}")
     incoming = cleanse.conform(incoming, existing.schema)
@@ -213,5 +217,4 @@ def daily_refresh(
     touched = existing.join(days, existing[date].eqNullSafe(days["_day"]), "left_semi")
     parts = [t.withColumn("_source", F.lit(i)) for i, t in enumerate((touched, carried, incoming))]
     merged = upkeep.dedupe_keep_last(scoring.union_by_name(*parts), [entity, date], ["_source", *arrival])
-    # The rows are fixed before their old partitions are replaced.
-    sinks.land(written(merged.drop("_source"), "refreshed"), path, date)
+    published.publish(merged.drop("_source"), path, date, base=now)

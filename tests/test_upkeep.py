@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from entityhealth.operators import upkeep
 from entityhealth.plans import jobs
-from entityhealth.sources import sinks
+from entityhealth.sources import published, sinks
 
 D = dt.date
 TODAY = D(2025, 1, 3)
@@ -66,7 +66,7 @@ def test_refresh_rewrites_only_changed_days(spark, rows, tmp_path):
     want = rows(upkeep.daily_upsert(table(spark), incoming, TODAY, ["name"]))
     for _ in range(2):
         jobs.daily_refresh(spark, path, incoming, TODAY, ["name"])
-        assert rows(spark.read.parquet(path), "pet_id", "date", "v", "name") == want
+        assert rows(published.read(spark, path), "pet_id", "date", "v", "name") == want
     assert {f.name for d in ("01", "02") for f in (tmp_path / "t" / f"date=2025-01-{d}").glob("*.parquet")} == old
 
 
@@ -76,7 +76,7 @@ def test_refresh_keeps_rows_without_a_day_and_columns_it_does_not_get(spark, tmp
     sinks.land(spark.createDataFrame(old, SCHEMA + ", extra int"), path)
     incoming = spark.createDataFrame([("b", None, 9.0), ("d", TODAY, 5.0)], "pet_id string, date date, v double")
     jobs.daily_refresh(spark, path, incoming, TODAY, ["name"])
-    got = {(r.pet_id, r.date): (r.v, r.name, r.extra) for r in spark.read.parquet(path).collect()}
+    got = {(r.pet_id, r.date): (r.v, r.name, r.extra) for r in published.read(spark, path).collect()}
     assert got == {
         ("a", None): (1.0, "A", 7),
         ("b", None): (9.0, None, None),
@@ -90,6 +90,26 @@ def test_refresh_keeps_rows_without_a_day_and_columns_it_does_not_get(spark, tmp
         jobs.daily_refresh(spark, path, incoming.withColumn("other", F.lit(1)), TODAY, ["name"])
 
 
+def test_refresh_that_fails_changes_nothing(spark, rows, tmp_path, monkeypatch):
+    """Changed days are written, then the run dies before they are published; the next run does the whole refresh."""
+    path = f"{tmp_path}/t"
+    sinks.land(table(spark), path)
+    incoming = spark.createDataFrame([("b", TODAY, 9.0, "B"), ("c", D(2025, 1, 1), 5.0, "C")], SCHEMA)
+    before = rows(published.read(spark, path))
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(published, "_log", lambda spark, path, log=published._log, calls=[]: log(spark, path) if not calls.append(1) and len(calls) == 1 else dies())
+        with pytest.raises(OSError):
+            jobs.daily_refresh(spark, path, incoming, TODAY, ["name"])
+    assert list((tmp_path / "t" / "_days").iterdir()) and rows(published.read(spark, path)) == before
+    jobs.daily_refresh(spark, path, incoming, TODAY, ["name"])
+    want = upkeep.daily_upsert(spark.createDataFrame(table(spark).collect(), SCHEMA), incoming, TODAY, ["name"])
+    assert rows(published.read(spark, path), "pet_id", "date", "v", "name") == rows(want)
+
+
 def test_append_fills_missing_columns(spark):
     new = spark.createDataFrame([("z", TODAY)], "pet_id string, date date")
     out = upkeep.append(table(spark), new)
