@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entityhealth.functions.text import without, word_text, words
+from entityhealth.session import written
 
 # Vietnamese stop words.
 STOP_WORDS = ("là", "và", "của", "có", "không", "những", "một", "rất", "này", "mà", "để", "ở", "với")
@@ -40,11 +42,34 @@ def tfidf(
     buckets: int = NUM_FEATURES,
     out: str = "text_features",
 ) -> DataFrame:
-    """Words, filtered words, hashed counts and their TF-IDF weights."""
-    counted = hash_tf(remove_stop_words(tokens(df, text), stop_words), buckets=buckets)
+    """Words, filtered words, hashed counts and their TF-IDF weights.
+
+    Weights need the counts of all texts first, so counted rows are written once:
+    texts are split and hashed once.
+    """
+    counted = written(hash_tf(remove_stop_words(tokens(df, text), stop_words), buckets=buckets), "counted")
     return IDF(inputCol="raw_features", outputCol=out).fit(counted).transform(counted)
 
 
+def hashed_entries(
+    df: DataFrame,
+    ids: Sequence[str],
+    text: str = "note_text",
+    stop_words: Sequence[str] = STOP_WORDS,
+    buckets: int = NUM_FEATURES,
+) -> DataFrame:
+    """`ids`, `bucket`, `count`, `weight`: the non-empty buckets of every text, with their TF-IDF weights.
+
+    Only ids and hashed counts are written in between, no texts and no words.
+    """
+    words = remove_stop_words(tokens(df.select(*ids, text), text), stop_words)
+    counted = written(hash_tf(words, buckets=buckets).select(*ids, "raw_features"), "counted")
+    weighed = IDF(inputCol="raw_features", outputCol="_weights").fit(counted).transform(counted)
+    pairs = F.arrays_zip(vector_to_array("raw_features").alias("count"), vector_to_array("_weights").alias("weight"))
+    placed = weighed.select(*ids, F.posexplode(pairs).alias("bucket", "_entry")).where(F.col("_entry.count") > 0)
+    return placed.select(*ids, "bucket", F.col("_entry.count").cast("bigint").alias("count"), F.col("_entry.weight").alias("weight"))
+
+
 def document_frequencies(
     df: DataFrame, text: str = "note_text", stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:

@@ -1,8 +1,11 @@
 import math
 import random
+import re
+from collections import Counter
 
+import catalog
 import pytest
-from pyspark.ml.feature import StopWordsRemover, StringIndexer, Tokenizer
+from pyspark.ml.feature import HashingTF, StopWordsRemover, StringIndexer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -47,6 +50,44 @@ def test_hashed_weights_follow_the_formula(notes):
     assert sum(got[3].v) == pytest.approx(3 * math.log(4 / 3))
 
 
+def test_hashed_entries_equal_counting_by_hand(spark, notes):
+    """Every bucket, count and weight, words of one bucket added up; also of the registered query."""
+
+    def by_hand(texts, stop_words, buckets):
+        place = HashingTF(numFeatures=buckets).indexOf
+        counts = {i: Counter(place(w) for w in re.split(r"\s", t.lower()) if w not in stop_words) for i, t in texts.items() if t is not None}
+        held = Counter(b for c in counts.values() for b in c)
+        return {(i, b): (n, math.log((len(counts) + 1) / (held[b] + 1))) for i, c in counts.items() for b, n in c.items()}
+
+    def check(df, want):
+        got = {(r[0], r.bucket): (r["count"], r.weight) for r in df.collect()}
+        assert set(got) == set(want)
+        assert all(got[k] == (n, pytest.approx(n * idf)) for k, (n, idf) in want.items())
+
+    texts = {r.id: r.note_text for r in notes.collect()}
+    check(textfeatures.hashed_entries(notes, ["id"], buckets=3), by_hand(texts, textfeatures.STOP_WORDS, 3))
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    want = by_hand(docs, set(catalog.text.STOP_WORDS), 1000)
+    check(catalog.QUERIES["tfidf_hashed"](spark, sf), want)
+
+
+def test_registered_forests_predict_every_row_of_the_other_part(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = catalog.models._scored_with_breed(spark, sf)
+    _, test = model.hash_split(rows, ("order_id", "line"))
+    labels = {r.label: r["count"] for r in model.with_label(test).groupBy("label").count().collect()}
+    predicted = catalog.QUERIES["alert_predictions"](spark, sf)
+    assert predicted.count() == sum(labels.values()) == predicted.select("order_id", "line").join(test.select("order_id", "line").distinct(), ["order_id", "line"]).count()
+    hits = predicted.where("prediction = label").count()
+    assert hits > max(labels.values()) and hits > 0.9 * predicted.count()
+    matrix = catalog.QUERIES["confusion_counts"](spark, sf).collect()
+    by_label = Counter()
+    for r in matrix:
+        by_label[r.label] += r.n
+    assert by_label == labels and sum(r.n for r in matrix if r.label == r.prediction) > max(labels.values())
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     rnd = random.Random(11)
