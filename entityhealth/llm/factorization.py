@@ -34,10 +34,12 @@ FACTORS = 8
 EVIDENCE = 3.0
 GROWTH = 0.5
 PACE = 2.0
-#: Pairs are learnt where the weights leave more than this part of the mean error of a constant; gradients well
-#: below `STILL` do not move a factor.
-LEFT = 0.15
-STILL = 1e-4
+#: Errors on the rarer class weigh this much.
+RARER = 2.0
+#: The factors of a term in so many texts move at half their rate, those of rarer terms the less the rarer they are.
+TRUST = 1_000
+#: Factors shorter than this part of the longest are zero in the last third of the passes.
+KEPT = 0.2
 #: Texts scored together.
 BLOCK = 512
 
@@ -52,26 +54,28 @@ class Model:
     factors: np.ndarray
 
     def __post_init__(self) -> None:
-        self.paired = bool(self.factors.any())
-        told = np.flatnonzero(self.weights[: len(self.keys)])
-        self.told = dict(zip(self.keys[told].tolist(), self.weights[told].tolist()))
-
-    def _linear(self, text: dict[int, float]) -> float:
-        """The weighted sum of a text's features; without factors it is all, and most weights are zero."""
-        return math.fsum(self.told[k & (SPACE - 1)] * v for k, v in text.items() if k & (SPACE - 1) in self.told)
+        told = np.flatnonzero((self.weights != 0) | self.factors.any(axis=1))
+        self.told = dict(zip(self.keys[told].tolist(), told.tolist()))
 
     def rows(self, texts: list[dict[int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, feature numbers and values; every text has a first feature of no weight, so none is empty."""
-        held = [_known(self.keys, *_arrays(text)) for text in texts]
-        return _joined(held)
+        starts, at, values = [], [], []
+        for text in texts:
+            # Features that meet in one place of the space are one feature.
+            held: dict[int, float] = {len(self.keys): 0.0}
+            for k, v in text.items():
+                i = self.told.get(k & (SPACE - 1))
+                if i is not None:
+                    held[i] = held.get(i, 0.0) + v
+            starts.append(len(at))
+            at += held
+            values += held.values()
+        return np.array(starts, np.int64), np.array(at, np.int64), np.array(values)
 
     def score(self, texts: list[dict[int, float]]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
-        if not self.paired:
-            return 1 / (1 + np.exp(-np.clip(self.bias + np.array([self._linear(t) for t in texts]), -30, 30)))
-        starts, at, values = self.rows(texts)
-        return 1 / (1 + np.exp(-np.clip(_sums(self, starts, at, values)[0], -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(_sums(self, *self.rows(texts))[0], -30, 30)))
 
 
 def _sums(model: Model, starts: np.ndarray, at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,18 +104,23 @@ def train(
     texts: list[tuple[np.ndarray, np.ndarray]],
     labels: np.ndarray,
     factors: int = FACTORS,
-    epochs: int = 25,
+    epochs: int = 12,
     batch: int = 128,
     rate: float = 0.02,
-    decay: float = 2e-4,
+    factor_rate: float = 0.05,
+    decay: float = 1e-3,
     seed: int = 7,
 ) -> Model:
     """A model of texts given as hashes and values. Without texts, or of one class only, it knows the share of the class.
 
-    All features that occur are learnt. First the weights, by the gradients
-    summed over all texts ("follow the regularised leader"): chance moves many
-    rare weights a little, so a weight is zero until its sum is larger than
-    chance makes it. Then the factors of all features, on what the weights leave.
+    Weights and factors of all features learn together, from the error of the
+    whole sum, so neither has to make up for the other afterwards. Weights follow
+    the gradients summed over all texts ("follow the regularised leader"): chance
+    moves many rare weights a little, so a weight is zero until its sum is larger
+    than chance makes it. Factors have a step of their own for every entry and
+    move the less the fewer texts have the term. Short factors, which differ from
+    their random start by chance, become zero before the last passes, in which
+    all others and the bias settle without them.
     """
     keys = np.unique(np.concatenate([t[0] for t in texts])) if texts else np.zeros(0, np.int64)
     rnd = np.random.default_rng(seed)
@@ -121,62 +130,52 @@ def train(
     if not m or labels.min() == labels.max():
         return model
     held = [_known(keys, *t) for t in texts]
-    sums, squares, chance = (np.zeros(m + 1) for _ in range(3))
+    sums, squares, chance, n_texts = (np.zeros(m + 1) for _ in range(4))
     for at, values in held:
         chance[at] += values * values
+        n_texts[at] += 1
     chance = EVIDENCE * np.sqrt(chance * share * (1 - share))
+    trust = n_texts / (n_texts + TRUST)
+    # The feature that stands for unknown ones keeps weight and factors of zero.
+    trust[m] = 0
+    model.factors = rnd.normal(0, 0.02, (m + 1, factors)) * trust[:, None]
+    moved = np.full_like(model.factors, 1e-8)
+    importance = np.where((labels > 0) == (share < 0.5), RARER, 1.0)
     bias, step = [0.0, 0.0], 0
-
-    def errors(rows: np.ndarray, said: np.ndarray, speed: float) -> np.ndarray:
-        """By how much the scores are off; the bias learns from it."""
-        nonlocal step
-        off = 1 / (1 + np.exp(-np.clip(said, -30, 30))) - labels[rows]
-        step += 1
-        g = float(off.mean())
-        bias[:] = 0.9 * bias[0] + 0.1 * g, 0.999 * bias[1] + 0.001 * g * g
-        fix = np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        model.bias -= speed * fix * bias[0] / (bias[1] ** 0.5 + 1e-8)
-        return off
-
-    left = 0.0
     for epoch in range(epochs):
-        left = 0.0
+        if epoch == epochs * 2 // 3:
+            length = np.sqrt((model.factors**2).sum(axis=1))
+            trust[length < KEPT * length.max()] = 0
+            model.factors[trust == 0] = 0
+        speed = 1 - epoch / epochs
         for rows in _batches(rnd, len(held), batch):
             starts, at, values = _joined([held[r] for r in rows])
-            said = model.bias + np.add.reduceat(model.weights[at] * values, starts)
-            off = errors(rows, said, rate * (1 - epoch / epochs))
-            left += float(np.abs(off).sum()) / len(held)
+            sizes = np.diff([*starts, len(at)])
+            said, both = _sums(model, starts, at, values)
+            off = (1 / (1 + np.exp(-np.clip(said, -30, 30))) - labels[rows]) * importance[rows]
+            step, g = step + 1, float(off.mean())
+            bias[:] = 0.9 * bias[0] + 0.1 * g, 0.999 * bias[1] + 0.001 * g * g
+            fix = np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+            model.bias -= rate * speed * fix * bias[0] / (bias[1] ** 0.5 + 1e-8)
+
             used, place = np.unique(at, return_inverse=True)
-            g = np.bincount(place, weights=np.repeat(off, np.diff([*starts, len(at)])) * values)
+            mine = np.repeat(off, sizes) * values
+            g = np.bincount(place, weights=mine)
             grown = squares[used] + g * g
             sums[used] += g - (np.sqrt(grown) - np.sqrt(squares[used])) / PACE * model.weights[used]
             squares[used] = grown
             over = np.maximum(0, np.abs(sums[used]) - chance[used] * (epoch + 1) ** GROWTH)
-            model.weights[used] = -np.sign(sums[used]) * over * PACE / (1 + np.sqrt(grown))
+            weights = -np.sign(sums[used]) * over * PACE / (1 + np.sqrt(grown))
+
+            live = trust[used] > 0
+            turn = np.repeat(both, sizes, axis=0) - model.factors[at] * values[:, None]
+            grad = np.stack([np.bincount(place, weights=turn[:, f] * mine) for f in range(factors)], axis=1)[live]
+            learnt = used[live]
+            grad += decay * len(rows) * model.factors[learnt]
+            moved[learnt] += grad * grad
+            model.factors[learnt] -= factor_rate * speed * trust[learnt, None] * grad / np.sqrt(moved[learnt])
+            model.weights[used] = weights
             model.weights[m] = 0
-    if left <= LEFT * 2 * share * (1 - share):
-        return Model(keys, model.bias, model.weights, model.factors)
-    model.factors = rnd.normal(0, 0.01, (m + 1, factors))
-    model.factors[m] = 0
-    means, spreads = np.zeros_like(model.factors), np.zeros_like(model.factors)
-    first_step = step
-    for epoch in range(epochs):
-        speed = rate * (1 - epoch / epochs)
-        for rows in _batches(rnd, len(held), batch):
-            starts, at, values = _joined([held[r] for r in rows])
-            sizes = np.diff([*starts, len(at)])
-            said, both = _sums(model, starts, at, values)
-            mine = np.repeat(errors(rows, said, speed) / len(rows), sizes) * values
-            grad = (np.repeat(both, sizes, axis=0) - model.factors[at] * values[:, None]) * mine[:, None]
-            by = np.argsort(at, kind="stable")
-            used, first = np.unique(at[by], return_index=True)
-            g = np.add.reduceat(grad[by], first, axis=0) + decay * model.factors[used]
-            means[used] = 0.9 * means[used] + 0.1 * g
-            spreads[used] = 0.999 * spreads[used] + 0.001 * g * g
-            n = step - first_step
-            fix = np.sqrt(1 - 0.999**n) / (1 - 0.9**n)
-            model.factors[used] -= speed * fix * means[used] / (np.sqrt(spreads[used]) + STILL)
-            model.factors[m] = 0
     return Model(keys, model.bias, model.weights, model.factors)
 
 
@@ -239,8 +238,10 @@ def _train_in_task(sample: DataFrame) -> Model:
             held += [(np.array(h, np.int32), np.array(v, np.float32)) for h, v in zip(batch["hashes"], batch["vals"])]
             labels += batch["label"].tolist()
         model = train(held, np.array(labels, np.float64))
-        weights, factors = model.weights.astype(np.float32), model.factors.astype(np.float32)
-        parts = {"hashes": model.keys.astype(np.int32), "weights": weights, "factors": factors}
+        # Features without weight and factors change no score.
+        told = np.array([*model.told.values(), len(model.keys)], np.int64)
+        weights, factors = model.weights[told].astype(np.float32), model.factors[told].astype(np.float32)
+        parts = {"hashes": model.keys[told[:-1]].astype(np.int32), "weights": weights, "factors": factors}
         yield pd.DataFrame({"bias": [model.bias], **{k: [v.tobytes()] for k, v in parts.items()}})
 
     rows = sample.repartition(1).sortWithinPartitions("id").mapInPandas(

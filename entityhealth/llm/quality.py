@@ -69,7 +69,9 @@ def features(text: str, n_chars: int | None) -> dict[int, float]:
     found = {_hash(s): 1.0 for s in said}
     norm = sqrt(sum((1 + log(c)) ** 2 for c in counts.values())) or 1.0
     for word, c in counts.items():
-        found[_hash(word.lower())] = WORD_WEIGHT * (1 + log(c)) / norm
+        # Spellings of one word add up.
+        place = _hash(word.lower())
+        found[place] = found.get(place, 0.0) + WORD_WEIGHT * (1 + log(c)) / norm
     return found
 
 

@@ -121,6 +121,51 @@ def test_pairs_of_a_large_vocabulary_are_learnt_through_fit(spark):
     assert np.mean([r.predicted == toxic[r.doc_id] for r in got]) > 0.9
 
 
+def test_insult_with_group_on_top_of_strong_single_terms(spark):
+    """Some words are toxic alone; a mild insult is toxic only with a group, and both are mostly clean. Through score()."""
+    rnd = random.Random(5)
+    vocabulary = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(3000)]
+    rows = []
+    for i in range(5000):
+        said = rnd.choices(vocabulary, k=30)
+        strong, mild, group = rnd.random() < 0.1, rnd.random() < 0.3, rnd.random() < 0.3
+        said += [rnd.choice(["qqstrongo", "qqvilex"])] * strong + [rnd.choice(["zzmildo", "zzmeek"])] * mild
+        said += [rnd.choice(["wwgroupo", "wwfolk"])] * group
+        rows.append((i, " ".join(said), int(strong or (mild and group)), mild and group and not strong, strong))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, labels).where("held_out").collect()}
+    both, alone = ([got[r[0]] for r in rows if r[k] and r[0] in got] for k in (3, 4))
+    clean = [got[r[0]] for r in rows if not r[2] and r[0] in got]
+    assert np.mean(both) > 0.9 and np.mean(alone) > 0.95 and np.mean(clean) < 0.03 and len(both) > 50
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_factors_take_part_in_the_score(spark, sf):
+    """On the given tables: factors are not zero, and without them scores change and fewer toxic texts are found."""
+    root = f"/root/testdata/{sf}"
+    docs, labels = (spark.read.parquet(f"{root}/{t}.parquet") for t in ("documents", "labels"))
+
+    def learn(doc_id):
+        return factorization.fold(doc_id, toxicity.FOLDS) != toxicity.HELD_OUT
+
+    model = factorization.fit(docs, labels, "toxic", toxicity.features, learn)
+    assert (model.factors.any(axis=1)).sum() > 50
+    plain = factorization.Model(model.keys, model.bias, model.weights, np.zeros_like(model.factors))
+    rows = docs.join(labels, "doc_id").where(~learn(F.col("doc_id"))).select("text", "toxic").collect()
+    texts, toxic = [toxicity.features(r.text or "") for r in rows], np.array([r.toxic for r in rows])
+    whole, without = model.score(texts), plain.score(texts)
+    assert np.abs(whole - without).max() > 0.05
+    found, fewer = ((s[toxic == 1] >= 0.5).mean() for s in (whole, without))
+    print(f"{sf}: {len(toxic)} held out, {int(toxic.sum())} toxic, found {found:.3f}, without factors {fewer:.3f}, clean flagged {(whole[toxic == 0] >= 0.5).sum()}")
+    assert found >= fewer and (sf != "sf0.1" or found >= 0.87) and (whole[toxic == 0] >= 0.5).mean() < 0.01
+
+
+def test_spellings_of_a_word_add_up():
+    one, two, three = (quality.features(t, None)[quality._hash("the")] for t in ("the cat", "The cat the", "The THE the cat"))
+    assert one == pytest.approx(3 / 2**0.5) and two == pytest.approx(6 / 3**0.5) and three == pytest.approx(9 / 4**0.5)
+
+
 def test_rare_terms_and_all_that_occur_have_weights():
     texts = [arrays({k: 1.0 for k in (10 + i % 5, 1000 + i, 5000 + 3 * i)}) for i in range(3000)]
     model = factorization.train(texts, np.array([float(i % 5 == 0) for i in range(3000)]))
