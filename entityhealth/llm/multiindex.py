@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,10 @@ TRIALS = 256
 #: Vectors that meet queries in one unit of work, and queries in it.
 UNIT_ROWS = 4_096
 UNIT_QUERIES = 4_096
+#: Queries that one task walks for.
+WALK_QUERIES = 128
+#: Lengths of vectors that have an index.
+INDEXED = 8
 #: Pairs compared at once.
 UNIT_PAIRS = 1 << 18
 
@@ -220,8 +225,10 @@ def search(
     All rows are indexed and `is_query` says which are queries. A row is never
     its own neighbour; rows are told apart by id, and a vector that an id has
     twice counts once. Vectors that are NULL, empty, zero or of non-finite or
-    NULL components take no part, neither do rows without id nor vectors of
-    another length than the first of the sample. How far a query walks is fitted to
+    NULL components take no part, neither do rows without id. A cosine needs two
+    vectors of one length, so candidates of a query are those of its length: the
+    INDEXED commonest lengths have an index each, vectors of rarer lengths are
+    compared with all of theirs. How far a query walks is fitted to
     the sample, so that about `recall` of the neighbours are found: little for
     vectors in clusters, much for vectors without any. A table with fewer vectors
     than `candidates` is walked whole. Other columns are not read.
@@ -231,25 +238,87 @@ def search(
     on shelves of UNIT_ROWS vectors, and a query goes to each shelf that it walks
     once, with the cells it walks there. The table of
     cells has MAX_CENTROIDS ** 2 rows at most; it and the centroids are all that
-    reaches the driver besides the bounded sample.
+    reaches the driver besides the bounded sample and INDEXED lengths.
     """
-    spark = table.sparkSession
     rows = table.select(
         table[id_col].cast("bigint").alias("id"), table[vector_col].cast("array<double>").alias("vector"), is_query.alias("asks")
     ).where(F.col("id").isNotNull() & usable(F.col("vector")))
-    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    sample = rows.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("vector").toPandas()["vector"]
-    if not len(sample):
-        return empty
-    size = len(sample[0])
-    rows = rows.where(F.size("vector") == size)
-
+    length = F.size("vector")
+    lengths = rows.groupBy(length.alias("length")).agg(F.count("*").alias("n"))
+    common = [r["length"] for r in lengths.orderBy(F.desc("n"), "length").limit(INDEXED + 1).collect()]
+    found = [_search_indexed(rows.where(length == n), neighbours, candidates, recall) for n in common[:INDEXED]]
+    if len(common) > INDEXED:
+        found.append(_search_whole(rows.where(~length.isin(common[:INDEXED])), neighbours))
+    if not found:
+        return table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _members(rows: DataFrame, neighbours: int) -> DataFrame:
+    """Distinct ids of each vector in order, no more than can be neighbours."""
     # -0.0 and 0.0 are one value to the grouping, and to a cosine.
     firsts = Window.partitionBy("vector").orderBy("id")
     members = rows.select("id", "vector").dropDuplicates(["id", "vector"]).withColumn("place", F.row_number().over(firsts))
     # A query can be in its own class, so one more id than neighbours.
-    members = settled(members.where(F.col("place") <= neighbours + 1), "members")
-    fitted = _units(pd.Series([v for v in sample if len(v) == size]))
+    return settled(members.where(F.col("place") <= neighbours + 1), "members")
+
+
+def _queries(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that ask, and their distinct vectors, dealt evenly over the tasks of what follows."""
+    asking = rows.where(F.coalesce("asks", F.lit(False))).select("id", "vector")
+    return asking, settled(asking.groupBy("vector").agg(F.min("id").alias("class")), "queries")
+
+
+def _ranked(found: DataFrame, members: DataFrame, entries: DataFrame, asking: DataFrame, queries: DataFrame, neighbours: int) -> DataFrame:
+    """The best classes of each class of queries, then their ids for each query."""
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    top = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= neighbours + 1).drop("place")
+    ids = members.select("id", "vector").join(entries.select("class", "vector"), "vector").select(F.col("class").alias("entry"), "id")
+    of_query = asking.join(queries, "vector").select(F.col("id").alias("query_id"), F.col("class").alias("query")).distinct()
+    pairs = of_query.join(top, "query").join(ids, "entry").where("id <> query_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    return (
+        pairs.withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= neighbours)
+        .select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+    )
+
+
+def _every(n: str | Column) -> Column:
+    """A row for each number below n."""
+    return F.explode(F.sequence(F.lit(0), (F.col(n) if isinstance(n, str) else n) - 1))
+
+
+_FOUND = "query bigint, entry bigint, score double"
+
+
+def _search_whole(rows: DataFrame, neighbours: int) -> DataFrame:
+    """The nearest of all vectors of the same length, for lengths that are too rare for an index."""
+    members, (asking, queries) = _members(rows, neighbours), _queries(rows)
+    entries = members.where("place = 1").select(F.col("id").alias("class"), F.col("id").alias("first_id"), "vector")
+
+    def units(df: DataFrame, size: int, name: str) -> DataFrame:
+        return df.groupBy(F.size("vector").alias("length")).agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+
+    # A row per length; Spark picks the join by its size.
+    sizes = settled(units(entries, UNIT_ROWS, "parts").join(units(queries, UNIT_QUERIES, "groups"), "length"), "lengths")
+    spread, all_of_it = F.xxhash64("class"), F.lit(0).alias("cell")
+    part, group = (F.pmod(spread, n).cast("int").alias(n[:-1]) for n in ("parts", "groups"))
+    left = queries.withColumn("length", F.size("vector")).join(sizes, "length")
+    left = left.select("class", "vector", "length", F.array(F.lit(0)).alias("cells"), group, _every("parts").alias("part"))
+    right = entries.withColumn("length", F.size("vector")).join(sizes, "length")
+    right = right.select("class", "first_id", "vector", "length", all_of_it, part, _every("groups").alias("group"))
+    unit = ["length", "part", "group"]
+    found = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInPandas(_nearest(neighbours), _FOUND)
+    return _ranked(found, members, entries, asking, queries, neighbours)
+
+
+def _search_indexed(rows: DataFrame, neighbours: int, candidates: int, recall: float) -> DataFrame:
+    """The nearest vectors by an index of rows of one length."""
+    spark = rows.sparkSession
+    sample = rows.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("vector").toPandas()["vector"]
+    members = _members(rows, neighbours)
+    fitted = _units(sample)
     n = members.where("place = 1").count()
     index = Index(fitted, n)
     entries = members.where("place = 1").select(
@@ -260,11 +329,13 @@ def search(
     held = {r["cell"]: r["n"] for r in cells.collect()}
     wanted = max(candidates, math.ceil(index.share(fitted, neighbours, recall) * n))
 
-    asking = rows.where(F.coalesce("asks", F.lit(False))).select("id", "vector")
-    queries = settled(asking.groupBy("vector").agg(F.min("id").alias("class")), "queries")
-    groups = max(1, math.ceil(queries.count() / UNIT_QUERIES))
+    asking, queries = _queries(rows)
+    n_queries = queries.count()
+    groups = max(1, math.ceil(n_queries / UNIT_QUERIES))
     shelves, parts = shelve(held)
-    walked = queries.mapInPandas(
+    # Queries are few and lie in few files; walking takes long, so they are dealt out first.
+    walkers = max(1, math.ceil(n_queries / WALK_QUERIES))
+    walked = queries.repartition(walkers, "class").mapInPandas(
         _walks(index, held, shelves, wanted), "class bigint, vector array<double>, shelf int, cells array<int>"
     )
     # A row per cell, so both may be broadcast.
@@ -272,29 +343,12 @@ def search(
     of_shelf = spark.createDataFrame(list(enumerate(parts)), "shelf int, parts int")
     spread = F.xxhash64("class")
     part, group = (F.pmod(spread, n).cast("int") for n in (F.col("parts"), F.lit(groups)))
-    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     left = walked.join(F.broadcast(of_shelf), "shelf").select(
-        "class", "vector", "cells", "shelf", group.alias("group"), every_part.alias("part")
+        "class", "vector", "cells", "shelf", group.alias("group"), _every("parts").alias("part")
     )
     right = entries.join(F.broadcast(of_cell), "cell").select(
-        "class", "first_id", "vector", "cell", "shelf", part.alias("part"), every_group.alias("group")
+        "class", "first_id", "vector", "cell", "shelf", part.alias("part"), _every(F.lit(groups)).alias("group")
     )
     unit = ["shelf", "part", "group"]
-    found = (
-        left.groupBy(*unit)
-        .cogroup(right.groupBy(*unit))
-        .applyInPandas(_nearest(neighbours), "query bigint, entry bigint, score double")
-    )
-    # The best classes of each class of queries, then their ids for each query.
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
-    top = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= neighbours + 1).drop("place")
-    ids = members.select("id", "vector").join(entries.select("class", "vector"), "vector").select(F.col("class").alias("entry"), "id")
-    of_query = asking.join(queries, "vector").select(F.col("id").alias("query_id"), F.col("class").alias("query")).distinct()
-    pairs = of_query.join(top, "query").join(ids, "entry").where("id <> query_id")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (
-        pairs.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= neighbours)
-        .select("query_id", "rank", F.col("id").alias("vec_id"), "score")
-    )
+    found = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInPandas(_nearest(neighbours), _FOUND)
+    return _ranked(found, members, entries, asking, queries, neighbours)

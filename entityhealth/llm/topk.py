@@ -248,8 +248,10 @@ def search(
             out = F.when(F.col("length") == r["length"], F.lit(value)).otherwise(out)
         return out
 
-    # A length that is not among the counted has no more rows than the last of these.
-    counts = [(r["n"], r["queries"]) for r in counted] + [(counted[-1]["n"], counted[-1]["n"])]
+    counts = [(r["n"], r["queries"]) for r in counted]
+    if len(counted) == LENGTHS:
+        # A length that is not among the counted has no more rows than the last of these.
+        counts.append((counted[-1]["n"], counted[-1]["n"]))
     n_groups = [max(1, -(-q // GROUP_QUERIES)) for _, q in counts]
     n_ranges = [-(-n // min(MOST_ROWS, max(LEAST_ROWS, n // RANGES))) for n, _ in counts]
     first = [sum(g * r for g, r in zip(n_groups[:i], n_ranges)) for i in range(len(counts))]

@@ -119,3 +119,35 @@ def test_units_cut_a_large_cell(spark, monkeypatch):
     got = answers(multiindex.search(table, table["vec_id"] % 50 == 0))
     want = brute(rows, {i for i, _ in rows if i % 50 == 0})
     assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def by_length(rows, queries):
+    out = {}
+    for n in {len(v) for _, v in rows}:
+        out |= brute([r for r in rows if len(r[1]) == n], queries)
+    return {q: w for q, w in out.items() if w}
+
+
+def test_a_stray_length_does_not_drop_the_others(spark):
+    """Whatever id hashes first: every vector has the neighbours of its length."""
+    rnd = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rnd.normal(size=8)]) for i in range(200)]
+    queries = {i for i in range(1000) if i % 50 == 0}
+    for stray in ([(777, [1.0, 2.0])], [(750, [1.0, 2.0]), (777, [2.0, 1.0]), (800, [3.0, 1.0])]):
+        df = spark.createDataFrame(rows + stray, "vec_id bigint, embedding array<double>")
+        got, want = answers(multiindex.search(df, df["vec_id"] % 50 == 0)), by_length(rows + stray, queries)
+        assert {q: [i for i, _ in f] for q, f in got.items()} == {q: [i for i, _ in w] for q, w in want.items()}
+        assert len([q for q in got if q < 200]) == 4
+
+
+def test_rare_lengths_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(multiindex, "INDEXED", 1)
+    monkeypatch.setattr(multiindex, "UNIT_QUERIES", 2)
+    monkeypatch.setattr(multiindex, "UNIT_ROWS", 16)
+    rnd = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rnd.normal(size=(6, 3, 4)[i % 5 % 3])]) for i in range(300)]
+    rows += [(400 + i, [1.0, 1.0, 1.0]) for i in range(60)] + [(1000, [2.0] * 9)]
+    df = spark.createDataFrame(rows + rows[:7], "vec_id bigint, embedding array<double>")
+    got = answers(multiindex.search(df, df["vec_id"] % 20 == 0))
+    want = by_length(rows, {i for i, _ in rows if i % 20 == 0})
+    assert {q: [i for i, _ in f] for q, f in got.items()} == {q: [i for i, _ in w] for q, w in want.items()}
