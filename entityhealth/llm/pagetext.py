@@ -3,8 +3,8 @@
 Markup is stripped and every block of a page becomes a line. Borders of
 containers become blank lines, and what is no part of an article by its tag,
 class or role is left out with its borders, unless it is around the article,
-holds most of the page's text or, where the name is not sure, is written in
-sentences. The lengths of the lines, link texts not counted, are summed over a
+holds most of the page's text or, where the name is not sure, has a window that
+surges although its letters count less. The lengths of the lines, link texts not counted, are summed over a
 sliding window: where the sum surges a text begins, where it dives to nothing
 the text ends, and the lines between are kept. On a page with an element that
 holds most of the text by its tag or name, letters outside that element count
@@ -17,6 +17,7 @@ import functools
 import html
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,6 +29,8 @@ WINDOW = 3
 #: A sum surges from so many characters on, or from this part of the window in which the median letter of the page lies.
 SURGE = 80
 SURGE_PART = 0.25
+#: A legal line at the end of a page has no more letters.
+LEGAL_LINE = 400
 #: Blank lines between a text and a short run that belongs to it, at most, on pages without an element for the article.
 NEARBY = 6
 
@@ -48,12 +51,16 @@ NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search al
 OTHER_PARTS = frozenset(
     """ad ads adv advert adverts advertisement advertising sponsored promo promotion sidebar sidebars masthead footer footnav
     cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup comment comments commentlist disqus
-    reply replies respond copyright login skyscraper outbrain taboola""".split()
+    reply replies respond copyright login skyscraper outbrain taboola notice notices banner share sharing recommended
+    recommendations breadcrumb breadcrumbs pagination pager""".split()
 )
-# Words that name parts of an article as well; what is written in sentences there is text.
-MAYBE_PARTS = frozenset(
-    """sponsor rail nav navbar navigation menu menus breadcrumb breadcrumbs notice notices related recommended recommendations
-    share sharing social widget widgets toolbar pagination pager banner form forms""".split()
+# Words that name parts of an article as well; a long text there is text.
+MAYBE_PARTS = frozenset("sponsor rail nav navbar navigation menu menus related social widget widgets toolbar form forms".split())
+# Words of the legal lines at the end of a page.
+LEGAL = re.compile(
+    r"©|\(c\) ?\d|\bcopyright\b|rights reserved|terms (?:of|and)|privacy|cookies|imprint|impressum|datenschutz|rechte vorbehalten"
+    r"|nutzungsbedingungen|droits réservés|mentions légales|confidentialité|derechos reservados|aviso legal|privacidad",
+    re.I,
 )
 HEADER_PARTS = frozenset("header topbar head".split())
 ARTICLE_PARTS = frozenset("article post entry story content title".split())
@@ -79,6 +86,9 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 _QUALIFIED = re.compile(r"\b(?:with|has|no|without|is)[-_][a-z0-9]+")
+# References to characters by numbers: zeros before them, and numbers that no character has.
+_ZEROS = re.compile(r"&#([xX]?)0+(?=[0-9a-fA-F])")
+_TOO_LARGE = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{7,});?")
 _HALF_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 
 
@@ -130,84 +140,134 @@ def _holds_article(name: str, attributes: str) -> int:
     return int(name in ("div", "section") and bool(attributes) and bool(_named(attributes) & ARTICLE_NAMES))
 
 
-#: How surely it holds the article, and minus its number on the page.
-Region = tuple[int, int]
-
-
 class Line(NamedTuple):
-    """A line of a page: text, letters outside links, the elements around it that may hold the article, the parts around it."""
+    """A line of a page: text, letters outside links, the innermost region and part around it."""
 
     said: str
     n: int
-    regions: tuple[Region, ...]
-    parts: tuple[int, ...]
+    region: int  # of the elements that may hold the article; NONE if none does
+    part: int
     level: int  # of a heading; 0 of other lines
 
 
+NONE = -1
+
+
 @functools.cache
 def _raw_end(name: str) -> re.Pattern[str]:
     return re.compile(rf"</{name}\s*>", re.I)
 
 
 class _Lines:
-    """The lines of a page, the kinds of its parts by their numbers, and the parts around each region."""
+    """The lines of a page, its parts and its regions.
+
+    Both are numbered in page order and know the number of the next one around
+    them, so what holds for a whole nest is told in one pass over the numbers.
+    """
 
     def __init__(self) -> None:
         self.rows: list[Line] = []
         self.kinds: list[int] = []
-        self.around: dict[Region, tuple[int, ...]] = {}
+        self.outer_part: list[int] = []
+        self.sure: list[int] = []
+        self.outer_region: list[int] = []
+        self.part_of_region: list[int] = []
         self.text: list[str] = []
         self.linked: list[str] = []
-        self.regions: tuple[Region, ...] = ()
-        self.parts: tuple[int, ...] = ()
+        self.region = self.part = NONE
         self.level = 0
 
     def end(self) -> None:
         said = " ".join("".join(self.text).split())
         if said:
             of_links = len(" ".join("".join(self.linked).split()))
-            self.rows.append(Line(said, max(0, len(said) - of_links), self.regions, self.parts, self.level))
+            self.rows.append(Line(said, max(0, len(said) - of_links), self.region, self.part, self.level))
         self.text, self.linked = [], []
 
     def blank(self) -> None:
         self.end()
-        self.rows.append(Line("", 0, self.regions, self.parts, 0))
+        self.rows.append(Line("", 0, self.region, self.part, 0))
+
+    def open_part(self, kind: int) -> None:
+        self.end()
+        self.kinds.append(kind)
+        self.outer_part.append(self.part)
+        self.part = len(self.kinds) - 1
+
+    def open_region(self, sure: int) -> None:
+        self.sure.append(sure)
+        self.outer_region.append(self.region)
+        self.part_of_region.append(self.part)
+        self.region = len(self.sure) - 1
+
+
+def _within(outer: list[int], chosen: set[int]) -> list[bool]:
+    """Whether each of nested numbers is one of the chosen or inside one; the last answer is that of NONE."""
+    found: list[bool] = []
+    for i, around in enumerate(outer):
+        found.append(i in chosen or (around != NONE and found[around]))
+    return [*found, False]
+
+
+def _added_up(outer: list[int], own: list[float]) -> list[float]:
+    """What nested numbers hold together with all inside them."""
+    whole = list(own)
+    for i in range(len(outer) - 1, -1, -1):
+        if outer[i] != NONE:
+            whole[outer[i]] += whole[i]
+    return whole
+
+
+def _unescape(text: str) -> str:
+    """Character references decoded; numbers beyond all characters have none."""
+    text = _ZEROS.sub(r"&#\1", text)
+    return html.unescape(_TOO_LARGE.sub("\ufffd", text))
 
 
 def _lines(page: str) -> _Lines:
     lines = _Lines()
-    # Open containers: name, whether a reader sees only its headings, the regions and the parts around it.
-    stack: list[tuple[str, bool, tuple[Region, ...], tuple[int, ...]]] = []
+    # Open containers: name, whether a reader sees only its headings, the region and the part around it.
+    stack: list[tuple[str, bool, int, int]] = []
+    opened: Counter[str] = Counter()
+    only_headings = 0
     unseen: int | None = None  # where in the stack the element lies that is left out
     links = at = 0
     heading = False
+    # No tag ends behind the last of these, so nothing is searched there.
+    last = page.rfind(">") + 1
 
     def close(name: str) -> None:
-        nonlocal unseen
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == name:
-                outer = unseen is None or unseen >= k
-                breaks = outer and (unseen is None or name in BLOCKS or stack[unseen][0] in BLOCKS)
-                _, _, regions, parts = stack[k]
-                del stack[k:]
-                if breaks:
-                    lines.end()
-                if outer:
-                    if lines.parts != parts:
-                        lines.end()
-                    lines.regions, lines.parts, unseen = regions, parts, None
-                return
+        nonlocal unseen, only_headings
+        if not opened[name]:
+            return
+        k = len(stack) - 1
+        while stack[k][0] != name:
+            k -= 1
+        outer = unseen is None or unseen >= k
+        breaks = outer and (unseen is None or name in BLOCKS or stack[unseen][0] in BLOCKS)
+        _, _, region, part = stack[k]
+        for inner, only, _, _ in stack[k:]:
+            opened[inner] -= 1
+            only_headings -= only
+        del stack[k:]
+        if breaks:
+            lines.end()
+        if outer:
+            if lines.part != part:
+                lines.end()
+            lines.region, lines.part, unseen = region, part, None
 
     def add(raw: str) -> None:
-        if unseen is None and raw and (heading or not any(opened[1] for opened in stack)):
-            said = html.unescape(raw) if "&" in raw else raw
+        if unseen is None and raw and (heading or not only_headings):
+            said = _unescape(raw) if "&" in raw else raw
             lines.text.append(said)
             if links:
                 lines.linked.append(said)
 
-    while m := _TOKEN.search(page, at):
+    while m := _TOKEN.search(page, at, last):
         add(page[at : m.start()])
-        at = m.end()
+        open_comment = m[0].startswith("<!--") and not m[0].endswith("-->")
+        at = len(page) if open_comment else m.end()
         name, closing, attributes = (m[2] or m[5] or "").lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
         if not name:
             continue
@@ -236,23 +296,21 @@ def _lines(page: str) -> _Lines:
         if closing:
             close(name)
         elif name not in VOID and not attributes.endswith("/"):
-            kind = _part(name, attributes, bool(lines.regions)) if unseen is None else 0
+            kind = _part(name, attributes, lines.region != NONE) if unseen is None else 0
             if name in INLINE and kind:
                 # A part of a line, not of the page.
                 kind = 0 if kind == MAYBE else UNSEEN
             if kind or name in CONTAINERS:
                 only = name == "header" and not kind
-                stack.append((name, only, lines.regions, lines.parts))
+                stack.append((name, only, lines.region, lines.part))
+                opened[name] += 1
+                only_headings += only
                 if kind == UNSEEN:
                     unseen = len(stack) - 1
                 elif kind:
-                    lines.end()
-                    lines.parts = (*lines.parts, len(lines.kinds))
-                    lines.kinds.append(kind)
+                    lines.open_part(kind)
                 elif unseen is None and (sure := _holds_article(name, attributes)):
-                    region = (sure, -len(lines.around))
-                    lines.around[region] = lines.parts
-                    lines.regions = (*lines.regions, region)
+                    lines.open_region(sure)
                 if name in BORDERS and unseen is None:
                     lines.blank()
     add(_HALF_TAG.sub("", page[at:]))
@@ -262,23 +320,30 @@ def _lines(page: str) -> _Lines:
 
 def _weights(lines: _Lines) -> list[float]:
     """What the letters outside links of every line count: less in parts that are named like no article."""
-    return [r.n * IN_PART ** sum(lines.kinds[p] != FORM for p in r.parts) for r in lines.rows]
+    share = []
+    for kind, around in zip(lines.kinds, lines.outer_part):
+        share.append((share[around] if around != NONE else 1.0) * (1.0 if kind == FORM else IN_PART))
+    return [r.n * share[r.part] if r.part != NONE else float(r.n) for r in lines.rows]
 
 
-def _region(lines: _Lines, weights: list[float]) -> Region | None:
+def _region(lines: _Lines, weights: list[float]) -> int:
     """Where to look: the fullest element that may hold the article; of those about as full the surest, then the fullest.
 
-    None if long lines outside it hold more than twice as much.
+    NONE if long lines outside it hold more than twice as much.
     """
-    inside: dict[Region, float] = {}
+    own = [0.0] * len(lines.sure)
     for r, weight in zip(lines.rows, weights):
-        for region in r.regions:
-            inside[region] = inside.get(region, 0) + weight
-    most = max(inside.values(), default=0)
-    alike = [r for r in inside if inside[r] and inside[r] >= ALIKE * most]
-    chosen = max(alike, key=lambda r: (r[0], inside[r], r[1]), default=None)
-    beside = sum(weight for r, weight in zip(lines.rows, weights) if r.n >= SURGE and chosen not in r.regions)
-    return chosen if chosen and beside <= 2 * inside[chosen] else None
+        if r.region != NONE:
+            own[r.region] += weight
+    inside = _added_up(lines.outer_region, own)
+    most = max(inside, default=0)
+    alike = [i for i, held in enumerate(inside) if held and held >= ALIKE * most]
+    if not alike:
+        return NONE
+    chosen = max(alike, key=lambda i: (lines.sure[i], inside[i], -i))
+    within = _within(lines.outer_region, {chosen})
+    beside = sum(weight for r, weight in zip(lines.rows, weights) if r.n >= SURGE and not within[r.region])
+    return chosen if beside <= 2 * inside[chosen] else NONE
 
 
 def _surge(rows: list[Line]) -> float:
@@ -292,37 +357,63 @@ def _surge(rows: list[Line]) -> float:
     return SURGE
 
 
-def _neighbours(rows: list[Line], chosen: Region, surge: float) -> set[Region]:
+def _neighbours(lines: _Lines, rows: list[Line], chosen: int, surge: float) -> set[int]:
     """The chosen element and those beside it of the same kind whose windows surge too."""
-    own = next((r.regions[: r.regions.index(chosen)] for r in rows if chosen in r.regions), ())
-    sizes: dict[Region, list[int]] = {}
+    outer = lines.outer_region
+    # Of every region the one around it, or itself, that lies beside the chosen one.
+    beside: list[int] = []
+    for i, around in enumerate(outer):
+        beside.append(i if around == outer[chosen] else beside[around] if around != NONE else NONE)
+    sizes: dict[int, list[int]] = {}
     for r in rows:
-        k = len(own)
-        if len(r.regions) > k and r.regions[:k] == own and r.regions[k][0] == chosen[0]:
-            sizes.setdefault(r.regions[k], []).append(r.n)
+        at = beside[r.region] if r.region != NONE else NONE
+        if at != NONE and lines.sure[at] == lines.sure[chosen]:
+            sizes.setdefault(at, []).append(r.n)
     return {chosen} | {r for r, held in sizes.items() if any(sum(held[i : i + WINDOW]) >= surge for i in range(len(held)))}
 
 
-def _spared(lines: _Lines, weights: list[float], chosen: Region | None) -> set[int]:
-    """The parts that are no others than the article: around it, with most of the page's text, or written in sentences."""
-    held, texts, links, says = ([0.0] * len(lines.kinds) for _ in range(4))
-    for r, weight in zip(lines.rows, weights):
-        for p in r.parts:
-            held[p] += weight
-            texts[p] += r.n
-            links[p] += len(r.said) - r.n
-            says[p] += r.n > 0 and r.said.rstrip("\"'”’»)]").endswith(ENDS)
-    spared = set(lines.around[chosen]) if chosen else set()
-    whole = sum(weights)
+def _spared(lines: _Lines, weights: list[float], chosen: int) -> list[bool]:
+    """Of every part whether it is no other than the article with all around it; the last answer is that of no part.
+
+    No other is what is around the article, has most of the page's text or, where
+    the name is not sure, a window that surges among letters that count less.
+    """
+    n = len(lines.kinds)
+    own, texts, links, fullest = ([0.0] * n for _ in range(4))
+    for i, (r, weight) in enumerate(zip(lines.rows, weights)):
+        if r.part != NONE:
+            own[r.part] += weight
+            texts[r.part] += r.n
+            links[r.part] += len(r.said) - r.n
+            window = sum(x.n for x in lines.rows[i : i + WINDOW] if x.part == r.part)
+            fullest[r.part] = max(fullest[r.part], IN_PART * window)
+    held, texts, links = (_added_up(lines.outer_part, x) for x in (own, texts, links))
+    for p in range(n - 1, -1, -1):
+        if lines.outer_part[p] != NONE:
+            fullest[lines.outer_part[p]] = max(fullest[lines.outer_part[p]], fullest[p])
+    spared, whole = set(), sum(weights)
+    part = lines.part_of_region[chosen] if chosen != NONE else NONE
+    while part != NONE:
+        spared.add(part)
+        part = lines.outer_part[part]
     for p, kind in enumerate(lines.kinds):
         if kind != ELEMENT and 2 * held[p] > whole:
             spared.add(p)
-        elif kind == MAYBE and says[p] and texts[p] > links[p]:
+        elif kind == MAYBE and fullest[p] >= SURGE and texts[p] > links[p]:
             spared.add(p)
-    if not any(r.said and spared.issuperset(r.parts) for r in lines.rows):
+
+    def fine() -> list[bool]:
+        found: list[bool] = []
+        for p, around in enumerate(lines.outer_part):
+            found.append(p in spared and (around == NONE or found[around]))
+        return [*found, True]
+
+    kept = fine()
+    if not any(r.said and kept[r.part] for r in lines.rows):
         # Nothing has another name, so names tell nothing.
         spared.update(p for p, kind in enumerate(lines.kinds) if kind in (NAMED, MAYBE, FORM))
-    return spared
+        kept = fine()
+    return kept
 
 
 #: First line, line after the last, fullest window.
@@ -354,10 +445,12 @@ def _edges(rows: list[Line], run: Run) -> tuple[int, int]:
     return (before if first - before < WINDOW else first), (after if after - end < WINDOW else end)
 
 
-def _headings(rows: list[Line], first: int, lowest: int = 6) -> list[int]:
-    """The headings right before a line."""
+def _headings(rows: list[Line], first: int, lowest: int = 6, known: set[int] = frozenset()) -> list[int]:
+    """The headings right before a line, up to one that is known."""
     found = []
     for i in range(first - 1, -1, -1):
+        if i in known:
+            break
         if rows[i].said:
             if not 0 < rows[i].level <= lowest:
                 break
@@ -384,32 +477,47 @@ def _kept(rows: list[Line], surge: float, inside: bool) -> tuple[set[int], int]:
     fullest = max((r[2] for r in runs), default=0)
     texts = {k for k, run in enumerate(runs) if run[2] >= surge or run[2] == fullest}
     kept: set[int] = set()
-    for k in _beside(rows, runs, texts, inside):
+    for k in sorted(_beside(rows, runs, texts, inside)):
         first, end = _edges(rows, runs[k])
-        kept.update(range(first, end), _headings(rows, first))
+        kept.update(_headings(rows, first, known=kept))
+        kept.update(range(first, end))
     return kept, fullest
 
 
+def _without_legal_end(rows: list[Line], kept: set[int]) -> set[int]:
+    """The kept lines without the legal ones that end a page, where other lines remain."""
+    order = sorted(i for i in kept if rows[i].said)
+    while len(order) > 1 and len(rows[order[-1]].said) <= LEGAL_LINE and LEGAL.search(rows[order[-1]].said):
+        # Its own paragraph in another container, not the end of the text itself.
+        if not any(not rows[i].said for i in range(order[-2] + 1, order[-1])):
+            break
+        order.pop()
+    return set(order)
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page, its blocks in order, one per line; empty if there is none."""
     lines = _lines(page or "")
     weights = _weights(lines)
     chosen = _region(lines, weights)
     spared = _spared(lines, weights, chosen)
-    rows = [r for r in lines.rows if spared.issuperset(r.parts)]
+    rows = [r for r in lines.rows if spared[r.part]]
     surge = _surge(rows)
-    near = _neighbours(rows, chosen, surge) if chosen else set()
-    inside = [i for i, r in enumerate(rows) if not near or not near.isdisjoint(r.regions)]
-    found, fullest = _kept([rows[i] for i in inside], surge, bool(near))
+    named = chosen != NONE
+    within = _within(lines.outer_region, _neighbours(lines, rows, chosen, surge) if named else set())
+    inside = [i for i, r in enumerate(rows) if not named or within[r.region]]
+    found, fullest = _kept([rows[i] for i in inside], surge, named)
     kept = {inside[i] for i in found}
-    if near:
+    if named:
         kept.update(_headings(rows, min(kept, default=0), 1))
         # Elsewhere a letter counts less.
-        for outside, some in itertools.groupby(range(len(rows)), lambda i: near.isdisjoint(rows[i].regions)):
+        for outside, some in itertools.groupby(range(len(rows)), lambda i: not within[rows[i].region]):
             at = list(some)
             for first, end, window in _runs([rows[i] for i in at]) if outside else ():
                 if window * OUTSIDE >= fullest:
                     kept.update(at[first:end])
+    else:
+        kept = _without_legal_end(rows, kept)
     return "\n".join(rows[i].said for i in sorted(kept) if rows[i].said)
 
 
@@ -427,7 +535,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Character references are decoded; white space inside a block becomes one
     space. NULL and empty pages, and pages without text, have an empty text.
-    Markup that is cut off or not closed is read as far as it goes. Repeated rows
+    Markup that is cut off or not closed is read as far as it goes, in time that
+    grows with the page's length only. Repeated rows
     and NULL ids come out as they went in. Other columns are not read.
     """
     rows = pages.select(

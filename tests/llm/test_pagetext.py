@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,13 +107,78 @@ def test_a_form_beside_a_line_keeps_its_text():
     assert pagetext.main_text(page).endswith(f"{WORDS.strip()}\n{WORDS.strip()}")
 
 
-def test_parts_of_an_article_that_are_written_in_sentences_stay():
+def test_long_texts_in_parts_that_may_be_others_stay():
     page = (
-        f"<article><p>{WORDS}</p><p class='notice'>Closed on Mondays.</p><div class='related-work'><p>Others did it before.</p></div>"
+        f"<article><p>{WORDS}</p><div class='related-work'><p>{WORDS}</p></div>"
         "<div class='related'><ul><li><a href='/a'>Another story.</a></li></ul></div><div class='share'>Share this</div><p>End.</p></article>"
     )
-    want = [WORDS.strip(), "Closed on Mondays.", "Others did it before.", "End."]
-    assert pagetext.main_text(page).split("\n") == want
+    assert pagetext.main_text(page).split("\n") == [WORDS.strip(), WORDS.strip(), "End."]
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<div class='notice'><p>We use cookies to make the site better.</p></div>",
+        "<p class='notice'>Closed on Mondays.</p>",
+        "<div class='related'><p>Read more: another story of the same kind.</p></div>",
+        "<div class='share-bar'><p>Tell your friends about it.</p></div>",
+        "<section class='recommended'><p>You may like this one. And that one.</p></section>",
+        "<div id='top-banner'><p>Order before midnight. Pay later.</p></div>",
+        "<div class='sponsored'><p>Our partner sells good things. Buy them.</p></div>",
+    ],
+)
+def test_notices_and_the_like_inside_an_article_go(part):
+    want = [WORDS.strip(), "Short.", WORDS.strip()]
+    body = f"<p>{WORDS}</p><p>Short.</p>{part}<p>{WORDS}</p>"
+    for element in ("article", "div class='content'", "div"):
+        page = f"<body>{NAV}<{element}>{body}</{element.split()[0]}>{FOOT}</body>"
+        assert pagetext.main_text(page).split("\n") == want
+
+
+def test_legal_lines_at_the_end_of_a_page_of_plain_divs_go():
+    legal = "<div><p>Terms of use apply to everything on this site and to all that you send to us, whoever you are and wherever.</p></div><div>Copyright 2024 Somebody Inc. All rights reserved.</div>"
+    page = f"<body><div><div><a href='/'>Home</a></div></div><div><p>{WORDS}</p><p>Short end.</p></div>{legal}</body>"
+    assert pagetext.main_text(page) == f"{WORDS.strip()}\nShort end."
+    assert pagetext.main_text("<body><div>Copyright 2024 Somebody</div></body>") == "Copyright 2024 Somebody"
+    assert pagetext.main_text(f"<div><p>{WORDS}</p><p>The copyright is his.</p></div>").endswith("The copyright is his.")
+
+
+MB = 1 << 20
+
+
+@pytest.mark.parametrize(
+    "shape",
+    [
+        "<a href=x ",
+        "<a href='x ",
+        '<a href="x>',
+        "<div class='content'>text ",
+        "<div><b>x",
+        "<div class='ad'>x",
+        "<section class='story'><p>word</section></div></b>",
+        "</div></p>",
+        "<form><main>",
+        "<h2>x</h2><div></div><div></div>",
+        "<!-- x <",
+        "<script>",
+        "<p>&#0000065;&amp;&#99999999999;",
+        "<td>x</td>",
+        "<header>a<h1>b",
+        "<p>a <a href=x>b</a>",
+    ],
+)
+def test_broken_pages_take_time_in_proportion(shape):
+    """A megabyte of each shape, and half of it in about half the time."""
+    took = []
+    for size in (MB // 2, MB):
+        start = time.perf_counter()
+        pagetext.main_text(shape * (size // len(shape)))
+        took.append(time.perf_counter() - start)
+    assert took[1] < 6 and took[1] < 0.5 + 3.5 * took[0], took
+
+
+def test_references_by_number():
+    assert pagetext.main_text("<p>&#00000000065;&#x0000041;&#x1F600;|&#99999999999;|&#" + "9" * 6000 + ";|&#xFFFFFFFF;") == "AA\U0001f600|\ufffd|\ufffd|\ufffd"
 
 
 @pytest.mark.parametrize(
