@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query, table
-from entityhealth.operators import textfeatures
+from entityhealth.operators import keywords, textfeatures
 
 STOP_WORDS = ("the", "of", "and", "is", "la", "de", "der", "was")
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
@@ -57,3 +57,20 @@ def tfidf_hashed(spark, sf):
     The library's hash has no SQL; tests hold the entries against counting by hand.
     """
     return textfeatures.hashed_entries(_documents(spark, sf), ["doc_id"], stop_words=STOP_WORDS)
+
+
+@query(
+    "keyword_tables",
+    """WITH keywords AS (
+      SELECT DISTINCT doc_id % 4 AS category, lower(substr(text, 1 + 10 * i, 12)) AS keyword FROM documents, range(40) t(i)
+      WHERE length(text) >= 12 + 10 * i)
+    SELECT doc_id, category, count(*) AS n_keywords FROM documents JOIN keywords ON contains(lower(text), keyword)
+    GROUP BY doc_id, category""",
+)
+def keyword_tables(spark, sf):
+    """Keywords of four categories, some 10 for every text of the table, each looked for in all texts."""
+    docs = _documents(spark, sf)
+    at = F.explode(F.sequence(F.lit(0), F.lit(39))).alias("_i")
+    cut = docs.select("doc_id", "note_text", at).where(F.length("note_text") >= 12 + 10 * F.col("_i"))
+    table = cut.select((F.col("doc_id") % 4).alias("category"), F.substring("note_text", 1 + 10 * F.col("_i"), 12).alias("keyword"))
+    return keywords.keyword_counts(docs, ["doc_id"], "note_text", table)
