@@ -31,8 +31,10 @@ def parse_device_log(lines: DataFrame, entity_optional: bool = False) -> DataFra
     with an empty name.
     """
     line = LINE_NAME_OPTIONAL if entity_optional else LINE
-    # The line is matched once: its groups are joined with a character that ends no group.
-    found = F.when(F.col("value").rlike(line), F.split(F.regexp_replace(F.regexp_substr("value", F.lit(line)), line, GROUPS), "\n", 4))
+    # The line is matched once: its groups, joined with a character that ends no group, take the place of all of it.
+    # They are always shorter than what they stand for, so a line that does not match is the one that stays as it was.
+    grouped = lines.withColumn("_grouped", F.regexp_replace("value", f"(?s:\\A.*?){line}(?s:.*\\z)", GROUPS))
+    found = F.when(F.col("_grouped") != F.col("value"), F.split("_grouped", "\n", 4))
     level, time, entity, message = (F.coalesce(F.get("_found", i), F.lit("")) for i in range(4))
     event = {
         "log_timestamp": parse_timestamp(time),
@@ -44,7 +46,7 @@ def parse_device_log(lines: DataFrame, entity_optional: bool = False) -> DataFra
         "unusual_behavior_detected": F.contains(message, F.lit(UNUSUAL)),
     }
     other = [c for c in lines.columns if c != "value"]
-    return lines.withColumn("_found", found).select(*other, *[c.alias(name) for name, c in event.items()])
+    return grouped.withColumn("_found", found).select(*other, *[c.alias(name) for name, c in event.items()])
 
 
 def device_daily_summary(events: DataFrame) -> DataFrame:
