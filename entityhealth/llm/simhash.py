@@ -26,9 +26,10 @@ from entityhealth.llm.components import roots
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
-#: Fingerprints of one tile that meet in one unit of work, and those compared with them.
-HOME_ROWS = 2048
-HALO_ROWS = 16384
+#: Fingerprints of one tile that meet in one unit of work, and those that stream past them. A unit holds the former,
+#: eight bytes each, and a block of comparisons. Parts and groups of equal size copy the fewest rows for a unit's work.
+HOME_ROWS = 1 << 17
+HALO_ROWS = 1 << 17
 #: Comparisons held in memory at once.
 BLOCK = 1 << 20
 _CHUNK = 1 << 16
@@ -169,6 +170,32 @@ def _compare(radius: int):
     return run
 
 
+def tile_plan(sizes: DataFrame, radius: int = RADIUS, home_rows: int = HOME_ROWS, halo_rows: int = HALO_ROWS) -> DataFrame:
+    """`tile`, `n`, `around`, `parts`, `groups` from the `tile`, `n` of all tiles that hold a fingerprint.
+
+    A tile's units hold `n * groups` rows of its own and at most `around * parts`
+    of others, so the copies of a fingerprint follow from the histogram alone.
+    No tiles give no rows.
+    """
+    around = (
+        sizes.select(F.explode(_ways(radius)).alias("step"), "tile", "n")
+        .select((F.col("tile") + F.col("step")).alias("tile"), "n")
+        .groupBy("tile")
+        .agg(F.sum("n").alias("around"))
+    )
+    return sizes.join(around, "tile").select(
+        "tile",
+        "n",
+        "around",
+        F.ceil(F.col("n") / home_rows).cast("bigint").alias("parts"),
+        F.greatest(F.lit(1), F.ceil(F.col("around") / halo_rows)).cast("bigint").alias("groups"),
+    )
+
+
+def _ways(radius: int) -> Column:
+    return F.array(*[F.lit(s).cast("bigint") for s in _steps(radius)])
+
+
 def links(nodes: DataFrame, radius: int = RADIUS, home_rows: int = HOME_ROWS, halo_rows: int = HALO_ROWS) -> DataFrame:
     """Links `a`, `b` that connect what any pair of distinct `fp` within the radius connects.
 
@@ -181,24 +208,9 @@ def links(nodes: DataFrame, radius: int = RADIUS, home_rows: int = HOME_ROWS, ha
     """
     if not 0 <= radius <= 5:
         raise ValueError("the radius must be from 0 to 5")
-    steps = _steps(radius)
     nodes = nodes.select("fp", _quarters(F.col("fp")).alias("tile"))
     sizes = nodes.groupBy("tile").agg(F.count("*").alias("n"))
-    ways = F.explode(F.array(*[F.lit(s).cast("bigint") for s in steps]))
-    around = (
-        sizes.select(ways.alias("step"), "tile", "n")
-        .select((F.col("tile") + F.col("step")).alias("tile"), "n")
-        .groupBy("tile")
-        .agg(F.sum("n").alias("around"))
-    )
-    tiles = settled(
-        sizes.join(around, "tile").select(
-            "tile",
-            F.ceil(F.col("n") / home_rows).cast("bigint").alias("parts"),
-            F.greatest(F.lit(1), F.ceil(F.col("around") / halo_rows)).cast("bigint").alias("groups"),
-        ),
-        "tiles",
-    )
+    tiles = settled(tile_plan(sizes, radius, home_rows, halo_rows).select("tile", "parts", "groups"), "tiles")
     spread = F.xxhash64("fp")
     part = F.pmod(spread, F.col("parts"))
     group = F.pmod(F.shiftright(spread, 24), F.col("groups"))
@@ -213,7 +225,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, home_rows: int = HOME_ROWS, ha
         .select(unit(F.col("part"), F.col("group")), F.lit(0).cast("byte").alias("other"), "fp")
     )
     halo = (
-        nodes.select("fp", "tile", ways.alias("step"))
+        nodes.select("fp", "tile", F.explode(_ways(radius)).alias("step"))
         .select("fp", "step", (F.col("tile") + F.col("step")).alias("tile"))
         .join(F.broadcast(tiles), "tile")
         .select("fp", "tile", "step", part.alias("part"), group.alias("group"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("to"))

@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 import numpy as np
@@ -88,6 +90,19 @@ def test_links_connect_what_all_pairs_connect(spark, radius, home, halo):
     assert all(len(v) == 1 for v in group.values()) and len(group) == len(set(want))
 
 
+@pytest.mark.parametrize("rows,most", [(10**5, 22), (10**8, 30), (10**9, 160)])
+def test_copies_of_a_fingerprint(spark, rows, most):
+    """Rows that units read per fingerprint, from the tiles of so many random ones; below 22 there are the tiles around alone."""
+    share = [math.comb(16, k) / 2**16 for k in range(17)]
+    tiles = [
+        (sum((c + 5) << (5 * i) for i, c in enumerate(counts)), round(rows * math.prod(share[c] for c in counts)))
+        for counts in itertools.product(range(17), repeat=4)
+    ]
+    sizes = spark.createDataFrame([t for t in tiles if t[1]], "tile bigint, n bigint")
+    read = F.sum(F.expr("n * groups + around * parts")) / F.sum("n")
+    assert 0 < simhash.tile_plan(sizes).agg(read).first()[0] < most
+
+
 def test_chain_longer_than_a_tile(spark):
     chain = [(1 << i) - 1 for i in range(0, 63)]
     nodes = spark.createDataFrame([(c,) for c in chain], "fp bigint")
