@@ -91,6 +91,11 @@ READINGS = """readings AS (
 
 
 def _report(spark, sf):
+    """What the job wrote, read back."""
+    return jobs.read_reports(spark, _run_report(spark, sf))
+
+
+def _run_report(spark, sf):
     """The job on files: ids in several spellings, missing readings, entities without a profile, no notes."""
     inputs, out = scratch_path(spark, "report-in"), scratch_path(spark, "report-out")
     number = F.lpad(F.col("user_id").cast("string"), 9, "0")
@@ -115,10 +120,9 @@ def _report(spark, sf):
     )
     sinks.write_report(activity, f"{inputs}/activity.csv")
     sinks.write_json(profiles, f"{inputs}/profiles.json")
-    paths = jobs.health_report(
+    return jobs.health_report(
         spark, f"{inputs}/activity.csv", f"{inputs}/profiles.json", f"{inputs}/none.md", out, trees=3
     )
-    return jobs.read_reports(spark, paths)
 
 
 @query(
@@ -150,6 +154,23 @@ def health_report_trends(spark, sf):
     return _report(spark, sf)["monthly_trends"]
 
 
+@query(
+    "health_report_counts",
+    f"""WITH {READINGS}, joined AS (SELECT r.pet_id, date, species FROM readings r LEFT JOIN profiles p ON r.pet_id = p.pet_id),
+    outcomes AS (
+      SELECT 'read' AS step, count(*) AS n FROM joined UNION ALL
+      SELECT 'no_species', count(*) FROM joined WHERE species IS NULL UNION ALL
+      SELECT 'other_species', count(*) FROM joined WHERE species NOT IN ('dog', 'cat') UNION ALL
+      SELECT 'no_day', count(*) FROM joined WHERE date IS NULL UNION ALL
+      SELECT 'scored', count(*) FROM scored UNION ALL
+      SELECT 'alerted', count(*) FROM scored WHERE risk_score > 0
+    ) SELECT * FROM outcomes""",
+)
+def health_report_counts(spark, sf):
+    """What became of the readings, as counted by the job's own writes."""
+    return spark.createDataFrame(list(_run_report(spark, sf).counts.items()), "step string, n bigint")
+
+
 # --- text in CSV -----------------------------------------------------------------
 
 TEXTS = schemas.struct(doc_id="bigint", lang="string", text="string", source="string")

@@ -163,7 +163,8 @@ def train_alert_model(
     sample = train if share >= 10_000 else train.where(_place(keys, seed + 1) < share)
     rows = assemble(feature_table(sample, spec, indexes), spec).select("features", "label")
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
-    return AlertModel(spec, indexes, forest.fit(written(rows, "sample")))
+    # A copy has no training summary; that holds the session, which cannot go to tasks once something was observed in it.
+    return AlertModel(spec, indexes, forest.fit(written(rows, "sample")).copy())
 
 
 def fit_predict(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from entityhealth import schemas
@@ -54,6 +54,27 @@ def score_readings(
     return scoring.score(noted, rules, missing=missing)
 
 
+class Report(dict[str, str]):
+    """Paths of the outputs by name, and in `counts` the rows that the job read, dropped and alerted."""
+
+    def __init__(self, paths: Mapping[str, str], counts: Mapping[str, int]):
+        super().__init__(paths)
+        self.counts = dict(counts)
+
+
+def _write_counted(df: DataFrame, path: str, counts: Mapping[str, Column]) -> dict[str, int]:
+    """Write the rows and count them on the way.
+
+    The counts stand at the end of the plan, in the tasks that write, so they are
+    of the rows written, however often the tasks before them run. An empty table counts 0.
+    """
+    seen = Observation()
+    df.observe(seen, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(name) for name, c in counts.items()]).write.mode(
+        "overwrite"
+    ).parquet(path)
+    return seen.get
+
+
 def health_report(
     spark: SparkSession,
     activity_path: str,
@@ -64,7 +85,7 @@ def health_report(
     trees: int = 100,
     missing: str = "zero",
     multi_line: bool = False,
-) -> dict[str, str]:
+) -> Report:
     """Merge and score all readings; write both tables and the four reports.
 
     Ids match whatever their case and surrounding blanks. A missing reading
@@ -89,19 +110,34 @@ def health_report(
     if missing == "zero":
         activity = cleanse.fill_missing(activity, schemas.METRICS)
     merged = with_profiles(activity, tables.read_profiles(spark, profiles_path))
-    merged.write.mode("overwrite").parquet(paths["readings"])
+    ruled = F.col("species").isin([c.category for c in rules.categories])
+    counts = _write_counted(
+        merged,
+        paths["readings"],
+        {
+            "read": F.count("*"),
+            "no_species": F.count_if(F.col("species").isNull()),
+            "other_species": F.count_if(~ruled),
+            "no_day": F.count_if(F.col("date").isNull()),
+        },
+    )
     readings = spark.read.parquet(paths["readings"])
-    score_readings(readings, read_notes(spark, notes_path), rules, missing).write.mode("overwrite").parquet(paths["scored"])
+    scored = score_readings(readings, read_notes(spark, notes_path), rules, missing)
+    counts |= _write_counted(
+        scored, paths["scored"], {"scored": F.count("*"), "alerted": F.count_if(F.col("risk_score") > 0)}
+    )
     scored = spark.read.parquet(paths["scored"])
     sinks.write_report(scoring.alert_report(scored, schemas.ALERT.fieldNames()), paths["alerts"])
 
-    known = readings.where(F.col("species").isin([c.category for c in rules.categories]))
+    known = readings.where(ruled)
     sinks.write_report(aggregates.trend_by(known, ["species", "breed"], TREND_MEANS), paths["breed_trends"])
     sinks.write_report(aggregates.trend_by_month(known, "species", "date", TREND_MEANS), paths["monthly_trends"])
 
-    _, predictions = model.fit_predict(scored, trees=trees)
-    sinks.write_report(predictions.select(*schemas.PREDICTION.fieldNames()), paths["predictions"])
-    return paths
+    predictions = spark.createDataFrame([], schemas.PREDICTION)
+    if counts["scored"]:
+        predictions = model.fit_predict(scored, trees=trees)[1].select(*schemas.PREDICTION.fieldNames())
+    sinks.write_report(predictions, paths["predictions"])
+    return Report(paths, counts)
 
 
 def read_reports(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:

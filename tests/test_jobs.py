@@ -63,6 +63,22 @@ def test_health_report(spark, reports):
     assert read["monthly_trends"].agg(F.sum("total_records")).first()[0] == 540
     assert read["breed_trends"].count() == 6
     assert 0 < read["predictions"].count() < 200
+    # One profile is missing; no notes repeat a reading.
+    alerted = read["alerts"].count()
+    assert reports.counts == dict(read=600, no_species=60, other_species=0, no_day=0, scored=540, alerted=alerted)
+
+
+def test_counts_of_an_empty_table_and_of_odd_rows(spark, tmp_path):
+    (tmp_path / "p.json").write_text(
+        "\n".join(json.dumps(dict(pet_id=i, name="N", species=s, breed="b")) for i, s in (("pet1", "dog"), ("pet2", "bird"), ("pet3", None)))
+    )
+    lines = [",".join(COLUMNS), *[f"pet{i},2025-01-0{d},900,12,1,15,,,,," for i in range(1, 5) for d in (1, 2)], "pet1,never,250,12,1,15,,,,,", ",2025-01-01,,,,,,,,,"]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "n.md").write_text("# Pet ID: pet1 - Notes on 2025-01-01\nx\n# Pet ID: pet1 - Notes on 2025-01-01\ny\n")
+    run = lambda name: jobs.health_report(spark, f"{tmp_path}/{name}", f"{tmp_path}/p.json", f"{tmp_path}/n.md", f"{tmp_path}/o", trees=1)
+    assert run("a.csv").counts == dict(read=10, no_species=5, other_species=2, no_day=1, scored=4, alerted=3)
+    (tmp_path / "e.csv").write_text(lines[0] + "\n")
+    assert set(run("e.csv").counts.values()) == {0}
 
 
 def test_report_with_ids_in_other_spellings_and_missing_readings(spark, tmp_path):
