@@ -1,4 +1,9 @@
-"""From raw documents to training batches: five operators, each on all that the one before it kept."""
+"""From raw documents to training batches: five operators, each on all that the one before it kept.
+
+Every stage takes an empty table, NULL in any column, empty and very long texts,
+repeated rows and further columns of any name; what becomes of them is said at
+the stage. An empty table gives an empty one with the same columns.
+"""
 
 from __future__ import annotations
 
@@ -9,22 +14,32 @@ from entityhealth.llm.common import settled
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules, or their host's verdict, reject go."""
+    """Documents that the rules, or their host's verdict, reject go.
+
+    NULL and empty texts have no words and go. A NULL source is a host of its own. Repeated rows are judged alike.
+    """
     return hostrules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Texts without words are one group. A row without id stays only where its
+    group has none with one; rows with the same id and text are one row.
+    """
     return simhash.keep_one(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked; no document goes."""
+    """Secrets are masked; no document goes. NULL and empty texts, and repeated rows, come back as they were."""
     return secrets.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the numbers that the sources' weights give."""
+    """Documents in the numbers that the sources' weights give.
+
+    A NULL source is the last source. Rows with the same id are taken together, rows without id are ordered by their text.
+    """
     return mixing.mixed(docs)
 
 
