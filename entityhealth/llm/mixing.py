@@ -135,7 +135,13 @@ def mixed(
     epochs: int = MAX_EPOCHS,
     seed: str = "mix",
 ) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, all columns as they were."""
+    """The documents of the mix, each as often as it is taken, all columns as they were.
+
+    Rows are taken as by `mix`: NULL is the last source, rows with the same id
+    go together, rows without id are ordered by their text. NULL and empty texts
+    have no size and follow their source's rounds and cut. An empty table gives none;
+    further columns may have any name.
+    """
     text, source = docs[text_col], docs[source_col].alias("source")
     key = hash_key(docs[id_col], text, seed).alias("key")
     cut = cuts(settled(docs.select(source, key, n_words(text).alias("size")), "sizes"), weights, epochs)
