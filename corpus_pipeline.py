@@ -2,7 +2,8 @@
 
 Every stage takes an empty table, NULL in any column, empty and very long texts,
 repeated rows and further columns of any name; what becomes of them is said at
-the stage. An empty table gives an empty one with the same columns.
+the stage. An empty table gives an empty one, with the same columns but for the
+last stage, which returns sequences.
 """
 
 from __future__ import annotations
@@ -44,7 +45,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The batch and the place of every sequence."""
+    """The batch and the place of every sequence.
+
+    NULL and empty texts have no sequence, long ones several; repeated rows are packed one by one.
+    """
     return packing.pack(docs)
 
 
