@@ -5,15 +5,27 @@ Here every keyword is filed under its rarest piece of a few characters. Texts
 give their pieces, an equi-join finds the keywords filed under them, and only
 those are searched in the text. The work grows with texts and hits, not with
 texts times keywords.
+
+Counting does not need the pairs of texts and keywords as rows. There, keywords
+that are not long are looked for as whole windows of the texts. A filter of fixed
+size tells most windows that are no keyword before anything is shuffled; the
+others travel packed, once for a chunk of texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from entityhealth.session import written
 
@@ -21,6 +33,17 @@ PIECE = 8
 #: Texts whose pieces are counted to tell rare from frequent ones. The choice changes the work, never the result.
 COUNTED_TEXTS = 2_000
 CHUNK = 256
+#: Keywords up to so many characters are searched whole.
+WHOLE = 32
+#: The filter of windows has 2 to this power bits, whatever the number of keywords. More keywords let more windows pass.
+FILTER_BITS = 28
+#: Code points at hand at a time, pairs of texts and windows in a chunk, keywords in a bucket, about.
+SLICE_CHARS = 2_000_000
+CHUNK_PAIRS = 4_000_000
+BUCKET_WORDS = 200_000
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_PACKED_TYPES = (pa.int32(), pa.string(), pa.string(), pa.binary())
+_COUNTED = pa.schema([("chunk", pa.string()), ("kind", pa.string()), ("data", pa.binary())])
 
 
 def cut(df: DataFrame, text: str, sizes: Sequence[int], keep: Sequence[str] = ()) -> DataFrame:
@@ -84,10 +107,266 @@ def keyword_matches(docs: DataFrame, ids: Sequence[str], text: str, keywords: Da
     return found.select(*ids, F.explode(hits).alias(word)).distinct()
 
 
+# --- whole keywords up to WHOLE characters -------------------------------------------
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _MULTIPLIER
+    return h ^ (h >> np.uint64(29))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse modulo 2^64, as many as `n`."""
+    inverse = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
+    out = []
+    for base in (_MULTIPLIER, inverse):
+        steps = np.full(n, base, np.uint64)
+        steps[:1] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def _code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts in a row, and where each text begins (and the last one ends)."""
+    values = texts.to_pylist()
+    ends = np.cumsum([0, *map(len, values)])
+    return np.frombuffer("".join(values).encode("utf-32-le", "surrogatepass"), "<u4"), ends
+
+
+def _sums(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    up, down = _powers(len(points) + 1)
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], out=sums[1:])
+    return sums, down
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A hash of each word; the windows of a text have the same ones."""
+    points, ends = _code_points(words)
+    sums, down = _sums(points)
+    return _mixed((sums[ends[1:]] - sums[ends[:-1]]) * down[ends[:-1]])
+
+
+def _strings(points: np.ndarray, at: np.ndarray, size: int) -> pa.Array:
+    """The windows of `size` code points at the given places, as strings."""
+    codes = points[at[:, None] + np.arange(size)]
+    long = 1 + (codes >= 0x80).astype(np.int32) + (codes >= 0x800) + (codes >= 0x10000)
+    offsets = np.concatenate([[0], np.cumsum(long.sum(axis=1))]).astype(np.int64)
+    data = codes.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data))
+
+
+def _blob(batch: pa.RecordBatch | pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _table(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all()
+
+
+def _marked(words: DataFrame, word: str) -> DataFrame:
+    """The rows with a `_hash` of the word."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = _hashes(b.column(word)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hashes)], names=[*b.schema.names, "_hash"])
+
+    return words.mapInArrow(mark, T.StructType([*words.schema.fields, T.StructField("_hash", T.LongType())]))
+
+
+def _filter(marked: DataFrame) -> np.ndarray:
+    """A bit for the hash of every word: a window without one is no word. The size does not depend on the words."""
+    place = F.shiftrightunsigned("_hash", 64 - FILTER_BITS)
+    part = FILTER_BITS - 7
+
+    def pack(group: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << part, bool)
+        bits[group.column("place").to_numpy() & ((1 << part) - 1)] = True
+        return pa.table({"part": pa.array([group.column("part")[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    places = marked.select(place.alias("place")).distinct().withColumn("part", F.shiftright("place", part))
+    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for r in places.groupBy("part").applyInArrow(pack, "part bigint, bits binary").toLocalIterator():
+        out[r["part"] << (part - 3) : (r["part"] + 1) << (part - 3)] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+class _Chunk:
+    """The windows of some texts that may be words: which text has which, a row per window, dealt over buckets."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.found, self.owners, self.pairs, self.texts = buckets, [], [], 0, 0
+
+    def add(self, points: np.ndarray, ends: np.ndarray, owner: np.ndarray, sizes: Sequence[int], bits: np.ndarray) -> None:
+        sums, down = _sums(points)
+        text = np.repeat(np.arange(len(owner)), np.diff(ends))
+        left = ends[1:][text] - np.arange(len(points))
+        for size in sizes:
+            at = np.flatnonzero(left >= size)
+            h = _mixed((sums[at + size] - sums[at]) * down[at])
+            place = h >> np.uint64(64 - FILTER_BITS)
+            held = (bits[(place >> np.uint64(3)).astype(np.int64)] >> (7 - (place & np.uint64(7)).astype(np.uint8))) & 1
+            held = np.flatnonzero(held)
+            at, h = at[held], h[held]
+            # A window that repeats in a batch of texts is told by its hash, but kept as the string that it is.
+            order = np.argsort(h, kind="stable")
+            at, h, own = at[order], h[order], owner[text[at[order]]]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(h))))
+            same = np.ones(len(h), bool)
+            for i in range(size):
+                same &= points[at + i] == points[at[first][group] + i]
+            first, group = np.append(first, np.flatnonzero(~same)), np.where(same, group, 0)
+            group[~same] = np.arange(len(first) - (~same).sum(), len(first))
+            pairs = np.unique(group.astype(np.int64) << 32 | own)
+            group, own = pairs >> 32, (pairs & 0xFFFFFFFF).astype(np.int32)
+            offsets = np.searchsorted(group, np.arange(len(first) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(own))
+            bucket = (h[first] % np.uint64(self.buckets)).astype(np.int32)
+            self.found.append(pa.table({"bucket": pa.array(bucket), "word": _strings(points, at[first], size), "docs": lists}))
+            self.pairs += len(own)
+
+    def blobs(self, name: str, ids: pa.Table) -> Iterator[tuple[int, str, str, bytes]]:
+        """Also the ids of the texts, by their place in the chunk, which ride in one of the buckets."""
+        yield zlib.crc32(name.encode()) % self.buckets, name, "ids", _blob(ids.combine_chunks())
+        found = pa.concat_tables(self.found).sort_by([("bucket", "ascending"), ("word", "ascending")])
+        edges = np.searchsorted(found.column("bucket").to_numpy(), np.arange(self.buckets + 1))
+        for b in np.flatnonzero(np.diff(edges)):
+            part = found.select(["word", "docs"]).slice(edges[b], edges[b + 1] - edges[b])
+            yield int(b), name, "words", _blob(part.combine_chunks())
+
+
+PACKED = "bucket int, chunk string, kind string, data binary"
+
+
+def pack_windows(docs: DataFrame, ids: Sequence[str], sizes: Sequence[int], bits: np.ndarray, buckets: int) -> DataFrame:
+    """PACKED: the windows of the texts (`_texts`, a list) that may be words, and which texts have them.
+
+    A row holds the windows of a chunk of texts that fall into one bucket,
+    sorted and compressed, each once with the texts that have it.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n, chunk, names = TaskContext.get().partitionId(), 0, _Chunk(buckets), []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if names:
+                for row in chunk.blobs(f"{task}-{n}", pa.Table.from_batches(names)):
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _PACKED_TYPES)], names=["bucket", "chunk", "kind", "data"])
+
+        for b in batches:
+            texts = b.column("_texts")
+            lengths = np.asarray([sum(map(len, t)) for t in texts.to_pylist()], np.int64)
+            # Slices of bounded size, whatever the texts' lengths.
+            cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // SLICE_CHARS, prepend=0)).tolist()
+            for start, stop in zip([0, *cuts], [*cuts, b.num_rows]):
+                if start == stop:
+                    continue
+                part = b.slice(start, stop - start)
+                lists = part.column("_texts")
+                owner = np.repeat(np.arange(part.num_rows) + chunk.texts, lists.value_lengths().to_numpy(zero_copy_only=False))
+                chunk.add(*_code_points(lists.flatten()), owner, sizes, shared.value)
+                chunk.texts += part.num_rows
+                names.append(part.select(list(ids)))
+                if chunk.pairs >= CHUNK_PAIRS:
+                    yield from flush()
+                    n, chunk, names = n + 1, _Chunk(buckets), []
+        yield from flush()
+
+    return docs.select(*ids, "_texts").mapInArrow(pack, PACKED)
+
+
+def _together(docs: DataFrame, ids: Sequence[str], text: str) -> DataFrame:
+    """`ids`, `_texts`: a row for each text, but one for all texts of ids that repeat. NULL texts and ids have none."""
+    known = docs.select(*ids, F.lower(text).alias("_text")).dropna()
+    again = written(known.groupBy(*ids).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), "repeated")
+    one = known.join(again, list(ids), "left_anti").select(*ids, F.array("_text").alias("_texts"))
+    return one.unionByName(known.join(again, list(ids), "left_semi").groupBy(*ids).agg(F.collect_set("_text").alias("_texts")))
+
+
+def _count_whole(docs: DataFrame, ids: Sequence[str], text: str, table: DataFrame, word: str, category: str) -> DataFrame:
+    """`ids`, `category`, `n_keywords` for keywords that are searched as whole windows.
+
+    A window travels only if the filter says it may be a keyword, and once for a
+    chunk of texts; the keywords of its bucket tell its categories, as strings.
+    What comes back to a chunk are counts.
+    """
+    marked = written(_marked(table, word), "words")
+    sizes = sorted(r[0] for r in marked.select(F.length(word)).distinct().collect())
+    texts = docs.select(*ids)
+    out = T.StructType([*texts.schema.fields, table.schema[category], T.StructField("n_keywords", T.LongType(), False)])
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], out)
+    buckets = max(8, -(-marked.count() // BUCKET_WORDS))
+    packed = pack_windows(_together(docs, ids, text), ids, sizes, _filter(marked), buckets)
+
+    def look_up(windows: pa.Table, words: pa.Table) -> pa.Table:
+        rows = []
+        names = words.column(word).cast(pa.large_string()).combine_chunks().dictionary_encode()
+        order = np.argsort(names.indices.to_numpy(), kind="stable")
+        begins = np.searchsorted(names.indices.to_numpy()[order], np.arange(len(names.dictionary) + 1))
+        categories = words.column(category).combine_chunks().dictionary_encode(null_encoding="encode")
+        codes = categories.indices.to_numpy()[order]
+        for chunk, kind, data in zip(*(windows.column(c).to_pylist() for c in ("chunk", "kind", "data"))):
+            if kind == "ids":
+                rows.append((chunk, kind, data))
+                continue
+            t = _table(data)
+            at = pc.index_in(t.column("word"), value_set=names.dictionary).combine_chunks()
+            held = at.is_valid().to_numpy(zero_copy_only=False)
+            at = at.drop_null().to_numpy()
+            docs_of = t.column("docs").combine_chunks().filter(pa.array(held))
+            n_docs = docs_of.value_lengths().to_numpy(zero_copy_only=False)
+            at, own = np.repeat(at, n_docs), docs_of.flatten().to_numpy()
+            n = (begins[1:] - begins[:-1])[at]
+            entry = np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            pairs, counts = np.unique(np.repeat(own.astype(np.int64), n) << 32 | codes[entry], return_counts=True)
+            if len(pairs):
+                found = categories.dictionary.take(pa.array(pairs & 0xFFFFFFFF))
+                rows.append((chunk, kind, _blob(pa.table({"doc": pa.array((pairs >> 32).astype(np.int32)), "category": found, "n": pa.array(counts.astype(np.int32))}))))
+        return pa.Table.from_pylist([dict(zip(_COUNTED.names, r)) for r in rows], schema=_COUNTED)
+
+    def add_up(group: pa.Table) -> pa.Table:
+        kinds = {"ids": [], "words": []}
+        for kind, data in zip(group.column("kind").to_pylist(), group.column("data").to_pylist()):
+            kinds[kind].append(_table(data))
+        named = kinds["ids"][0]
+        if not kinds["words"]:
+            return pa.table([*[c.slice(0, 0) for c in named.columns], pa.nulls(0, category_type), pa.nulls(0, pa.int64())], names=out.names)
+        total = pa.concat_tables(kinds["words"]).group_by(["doc", "category"]).aggregate([("n", "sum")])
+        own = named.take(total.column("doc"))
+        return pa.table([*own.columns, total.column("category"), total.column("n_sum").cast(pa.int64())], names=out.names)
+
+    category_type = to_arrow_type(table.schema[category].dataType)
+    words = marked.select(word, category, _bucket(buckets).alias("bucket"))
+    counted = packed.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(look_up, "chunk string, kind string, data binary")
+    return counted.groupBy("chunk").applyInArrow(add_up, out)
+
+
+def _bucket(buckets: int) -> Column:
+    """The unsigned hash modulo `buckets`, as windows have it."""
+    high = F.pmod(F.shiftrightunsigned("_hash", 1), F.lit(buckets))
+    return F.pmod(high * 2 + F.col("_hash").bitwiseAND(F.lit(1)), F.lit(buckets)).cast("int")
+
+
 def keyword_counts(
     docs: DataFrame, ids: Sequence[str], text: str, keywords: DataFrame, word: str = "keyword", category: str = "category"
 ) -> DataFrame:
-    """`ids`, `category`, `n_keywords`: how many keywords of each category a text has; texts without any have no row."""
+    """`ids`, `category`, `n_keywords`: how many keywords of each category a text has; texts without any have no row.
+
+    Texts with the same ids count as one. Keywords of up to WHOLE characters are
+    searched whole; the longer ones, whose windows would be of very many sizes,
+    by their rarest piece.
+    """
     table = keywords.select(F.lower(word).alias(word), category).where(F.length(word) > 0).distinct()
-    matches = keyword_matches(docs, ids, text, table, word)
-    return matches.join(table, word).groupBy(*ids, category).agg(F.count("*").alias("n_keywords"))
+    counted = _count_whole(docs, ids, text, table.where(F.length(word) <= WHOLE), word, category)
+    long = written(table.where(F.length(word) > WHOLE), "long")
+    if long.isEmpty():
+        return counted
+    matches = keyword_matches(docs, ids, text, long, word).join(long, word).groupBy(*ids, category).agg(F.count("*").alias("n_keywords"))
+    return counted.unionByName(matches).groupBy(*ids, category).agg(F.sum("n_keywords").alias("n_keywords"))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from entityhealth.operators import keywords
@@ -40,3 +42,32 @@ def test_words_are_filed_under_their_rarest_piece(spark):
     filed = {r.word: (r.piece, r["size"]) for r in keywords.file_keywords(words, docs, "t", [3, 8]).collect()}
     assert filed["commonzz"] == ("commonzz", 8)
     assert filed["com"] == ("com", 3) and " common" not in filed["rarest common"][0]
+
+
+def test_texts_of_the_same_id_count_as_one_and_collisions_are_told_apart(spark, monkeypatch):
+    texts = [(1, "abcabc"), (1, "ABC d"), (1, "abcabc"), (2, "xyz"), (None, "abc"), (3, None)]
+    docs = spark.createDataFrame(texts, "id int, note string")
+    table = spark.createDataFrame([("abc", 1), ("abc", 2), ("c d", 1), ("abc", None), ("zzz", 1)], "keyword string, category int")
+    want = {(1, 1, 2), (1, 2, 1), (1, None, 1)}
+    assert {tuple(r) for r in keywords.keyword_counts(docs, ["id"], "note", table).collect()} == want
+    chunk = keywords._Chunk(4)
+    monkeypatch.setattr(keywords, "_mixed", lambda h: h * np.uint64(0))
+    points, ends = keywords._code_points(pa.array(["abca", "bcab", "caa\0"]))
+    chunk.add(points, ends, np.array([0, 1, 1]), [2], np.full(1 << (keywords.FILTER_BITS - 3), 255, np.uint8))
+    found = {(r["word"], d) for t in chunk.found for r in t.to_pylist() for d in r["docs"]}
+    assert found == {("ab", 0), ("bc", 0), ("ca", 0), ("bc", 1), ("ca", 1), ("ab", 1), ("aa", 1), ("a\0", 1)}
+
+
+def test_windows_that_are_no_keyword_are_not_shuffled(spark):
+    """Before, every place of every text was a row of the shuffle."""
+    rnd = random.Random(3)
+    docs = spark.createDataFrame([(i, "".join(rnd.choices("abcdefghijklmnop", k=4000))) for i in range(40)], "id int, note string")
+    words = docs.selectExpr("id % 2 AS category", "substring(note, 100, 12) AS keyword")
+    marked = keywords._marked(words, "keyword")
+    texts = docs.selectExpr("id", "array(note) AS _texts")
+    packed = keywords.pack_windows(texts, ["id"], [12], keywords._filter(marked), 2).where("kind = 'words'").collect()
+    found = [r for p in packed for r in keywords._table(p["data"]).to_pylist()]
+    assert {r["word"] for r in found} >= {r.keyword for r in words.collect()} and len(found) < 100
+    assert sum(len(p["data"]) for p in packed) < 40 * 4000 / 10
+    counted = keywords.keyword_counts(docs, ["id"], "note", words).collect()
+    assert sorted(map(tuple, counted)) == [(i, i % 2, 1) for i in range(40)]
