@@ -69,6 +69,25 @@ def test_band_equals_drawing_by_hand(spark, readings):
             assert got[at][name] == (pytest.approx(np.quantile(means, level)) if means else None)
 
 
+def test_a_day_of_any_size_has_the_same_band(spark, readings, rows, monkeypatch):
+    """In slices, and dealt over tasks; keys and values may be NULL or repeat."""
+    df = readings.withColumn("v", F.when(F.col("v") % 9 != 0, F.col("v"))).withColumn("key", F.when(F.col("v") % 5 != 0, F.col("v")))
+    df = df.unionByName(df.where("v % 4 = 0"))
+    names = ["pet_id", "date", "readings"]
+    rounded = [F.round(f"v_{c}", 9) for c in ("mean", "low", "high")]
+    want = rows(resampling.daily_mean_bootstrap(df, "v", ["key"]).select(*names, *rounded))
+    monkeypatch.setattr(resampling, "SLICE", 2)
+    assert rows(resampling.daily_mean_bootstrap(df.coalesce(1), "v", ["key"]).select(*names, *rounded)) == want
+    assert rows(resampling.daily_mean_bootstrap(df, "v", ["key"], task_rows=2).select(*names, *rounded)) == want
+
+
+def test_replicates_are_not_shuffled(spark, readings, plan, capsys):
+    """Before, a reading was a row of the shuffle in each block of replicates, and a day one for each replicate."""
+    text = plan(resampling.daily_mean_bootstrap(readings, "v", ["v"]), capsys)
+    tree = text.split("(1)")[0]
+    assert tree.count("Exchange") == 1 and "Generate" not in tree and "Aggregate" not in tree
+
+
 def test_band_is_close_to_the_analytic_one(spark):
     rnd = np.random.default_rng(1)
     df = spark.createDataFrame([(i, "a", day(1), float(x)) for i, x in enumerate(rnd.normal(50, 10, 900))], "id int, pet_id string, date date, v double")
