@@ -51,9 +51,12 @@ def _notes(spark, sf):
 
 def wide(spark, sf):
     """Readings, profiles, device log and notes in one table, written once for all that explores it."""
-    out = jobs.integrate(_activity(spark, sf), _profiles(spark, sf), log_lines(spark, sf).select("value"), _notes(spark, sf), NAMES)
     counted = F.size(F.filter(vector_to_array("text_features"), lambda x: x > 0))
-    return written(out.withColumn("n_features", F.when(F.col("text_features").isNotNull(), counted)).drop("text_features"), "wide")
+    n_features = {"n_features": F.when(F.col("text_features").isNotNull(), counted)}
+    out = jobs.integrate(
+        _activity(spark, sf), _profiles(spark, sf), log_lines(spark, sf).select("value"), _notes(spark, sf), NAMES, of_features=n_features
+    )
+    return written(out, "wide")
 
 
 WIDE = f"""{PARSED}, {DAILY}, mapped AS (

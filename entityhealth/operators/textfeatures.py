@@ -41,13 +41,18 @@ def tfidf(
     stop_words: Sequence[str] = STOP_WORDS,
     buckets: int = NUM_FEATURES,
     out: str = "text_features",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Words, filtered words, hashed counts and their TF-IDF weights.
+    """Words, filtered words, hashed counts and their TF-IDF weights; with `keep`, only those columns and the weights.
 
     Weights need the counts of all texts first, so counted rows are written once:
-    texts are split and hashed once.
+    texts are split and hashed once. With `keep`, no texts and no words are written.
     """
-    counted = written(hash_tf(remove_stop_words(tokens(df, text), stop_words), buckets=buckets), "counted")
+    counted = hash_tf(remove_stop_words(tokens(df, text), stop_words), buckets=buckets)
+    if keep is not None:
+        counted = written(counted.select(*keep, "raw_features"), "counted")
+        return IDF(inputCol="raw_features", outputCol=out).fit(counted).transform(counted).select(*keep, out)
+    counted = written(counted, "counted")
     return IDF(inputCol="raw_features", outputCol=out).fit(counted).transform(counted)
 
 

@@ -166,15 +166,26 @@ def integrate(
     note_table: DataFrame,
     names: Mapping[str, str],
     stop_words: Sequence[str] = textfeatures.STOP_WORDS,
+    of_features: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """The wide table: readings, profile, age, device sums and text features per entity and day."""
+    """The wide table: readings, profile, age, device sums and text features per entity and day.
+
+    `of_features` names columns that are computed of `text_features` and take its
+    place: once for a note, not for each reading that it meets, and vectors are not shuffled.
+
+    Device sums and features are written, since the search for hot keys reads
+    both sides of the last join before it runs: the log is parsed and notes are weighed once.
+    """
     base = joins.attach_profile(
         cleanse.normalize_key(activity, "pet_id"), cleanse.normalize_key(profiles, "pet_id"), "pet_id", "inner"
     )
     base = cleanse.with_age(base, out="pet_age_at_log")
     daily = devicelog.device_daily_summary(devicelog.parse_device_log(log_lines))
-    daily = devicelog.mapped_only(devicelog.map_names(daily, names))
-    features = textfeatures.tfidf(note_table, stop_words=stop_words).select("pet_id", "date", "text_features")
+    daily = written(devicelog.mapped_only(devicelog.map_names(daily, names)), "device-days")
+    features = textfeatures.tfidf(note_table, stop_words=stop_words, keep=("pet_id", "date"))
+    if of_features is not None:
+        features = features.select("pet_id", "date", *[c.alias(name) for name, c in of_features.items()])
+    features = written(features, "features")
     return joins.attach_text(joins.attach_device(base, daily), features)
 
 

@@ -142,6 +142,32 @@ def test_integrate_and_explore(spark, files):
     assert out["describe"].count() == 3 and out["weekly"].count() > 9 and out["loud"].count() == 0
 
 
+def test_features_are_summed_up_once_for_a_note(spark, files, rows, monkeypatch):
+    """Before, texts and words were written, the log was parsed for the search of hot keys too, and each reading carried its notes' vectors."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from entityhealth.operators import textfeatures
+
+    root, _ = files
+    activity = tables.read_activity_csv(spark, f"{root}/a.csv").drop("name", "species", "breed", "gender", "birth_year")
+    profiles, note_table = tables.read_profiles(spark, f"{root}/p.json"), notes.read_note_blocks(spark, f"{root}/n.md")
+    kept = {}
+
+    def noted(df, label):
+        kept[label] = df.columns
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(textfeatures, "written", noted)
+    monkeypatch.setattr(jobs, "written", noted)
+    given = (activity, profiles, devicelog.read_log_lines(spark, f"{root}/l.txt"), note_table, {"Miu": "pet001"})
+    size = F.size(F.filter(vector_to_array("text_features"), lambda x: x > 0))
+    early = jobs.integrate(*given, of_features={"n": size})
+    assert kept["counted"] == ["pet_id", "date", "raw_features"] and kept["features"] == ["pet_id", "date", "n"] and "device-days" in kept
+    late = jobs.integrate(*given).withColumn("n", F.when(F.col("text_features").isNotNull(), size)).drop("text_features")
+    assert early.columns == late.columns and rows(early) == rows(late)
+
+
 def test_stream_equals_batch_as_files_land(spark, tmp_path, rows):
     from entityhealth.operators import scoring, upkeep
 
