@@ -134,6 +134,35 @@ def test_forest_learns_the_levels(scored):
     assert len(both) == predictions.count() and {r.rule_level for r in both} <= {0.0, 1.0, 2.0, 3.0}
 
 
+def test_a_forest_learns_from_every_training_row(spark, monkeypatch):
+    """Before, from some 200,000 at most."""
+    learnt = []
+
+    class Stop(Exception):
+        pass
+
+    def kept(df, label):
+        if label == "sample":
+            learnt.append(df.count())
+            raise Stop
+        return df
+
+    monkeypatch.setattr(model, "written", kept)
+    rows = spark.range(300_000).selectExpr("id", "id % 7 AS v", "cast(id % 3 AS string) AS c", "'x' AS health_alert_level")
+    with pytest.raises(Stop):
+        model.fit_predict(rows, ["id"], model.FeatureSpec(("v",), (), ("c",)))
+    assert learnt == [model.hash_split(rows, ["id"])[0].count()]
+
+
+def test_predictions_say_whether_they_beat_the_majority(spark):
+    rows = [(0.0, 0.0)] * 6 + [(1.0, 1.0)] * 3
+    assert model.beats_majority(spark.createDataFrame(rows + [(0.0, 1.0)], "prediction double, label double"))
+    assert not model.beats_majority(spark.createDataFrame([(0.0, r[1]) for r in rows], "prediction double, label double"))
+    assert not model.beats_majority(spark.createDataFrame([], "prediction double, label double"))
+    predicted = catalog.QUERIES["alert_predictions"](spark, "/root/testdata/sf0.001")
+    assert {r.beats_majority for r in predicted.select("beats_majority", "prediction").collect()} == {True}
+
+
 def test_same_seed_same_model(scored, rows):
     one, two = (model.fit_predict(scored, trees=5)[1] for _ in range(2))
     assert rows(one, "pet_id", "date", "prediction") == rows(two, "pet_id", "date", "prediction")
