@@ -71,3 +71,71 @@ def test_windows_that_are_no_keyword_are_not_shuffled(spark):
     assert sum(len(p["data"]) for p in packed) < 40 * 4000 / 10
     counted = keywords.keyword_counts(docs, ["id"], "note", words).collect()
     assert sorted(map(tuple, counted)) == [(i, i % 2, 1) for i in range(40)]
+
+
+def everything(power):
+    return np.full(1 << (power - 3), 255, np.uint8)
+
+
+def test_keywords_of_many_texts_are_counted_with_the_texts(spark):
+    """Before, every text sent each of its keywords through the shuffle."""
+    rnd = random.Random(9)
+    common = ["".join(rnd.choices("abcdefgh", k=12)) for _ in range(30)]
+    texts = [(i, " ".join(rnd.sample(common, 20)) + f" own keyword {i:06}", i % 3) for i in range(300)]
+    docs = spark.createDataFrame(texts, "id int, note string, c int")
+    given = [(w, c) for k, w in enumerate(common) for c in {None if k % 5 == 0 else k % 4, 3}] + [(f"keyword {i:06}", 1) for i in range(300)]
+    table = spark.createDataFrame(given, "keyword string, category int")
+    marked = keywords._marked(table, "keyword")
+    bits = keywords._filter(marked)
+    known = keywords._frequent(docs, ["id"], "note", marked, [12, 14], bits, "keyword", "category")
+    packed = keywords.pack_windows(docs.selectExpr("id", "array(note) AS _texts"), ["id"], [12, 14], bits, 2, known)
+    found = [r for p in packed.where("kind = 'words'").collect() for r in keywords._table(p["data"]).to_pylist()]
+    assert len(known.hashes) == 30 and not {r["word"] for r in found} & set(common)
+    assert 300 <= sum(len(r["docs"]) for r in found) < 600
+    want = {(i, c, n) for i, t, _ in texts for c in (None, 0, 1, 2, 3) if (n := sum(w in t for w, x in given if x == c))}
+    assert {tuple(r) for r in keywords.keyword_counts(docs, ["id"], "note", table).collect()} == want
+
+
+def test_windows_are_those_of_each_text_whatever_is_hashed_at_a_time(monkeypatch):
+    texts = pa.array(["", "abcab", "日本語", "a", "x😀y" * 9, "", "zz"])
+    points, ends = keywords._code_points(texts.slice(1))
+    assert bytes(points).decode("utf-32-le") == "".join(texts.to_pylist()) and ends.tolist() == [0, 5, 8, 9, 36, 36, 38]
+    for at_a_time in (1, 4, 1 << 16):
+        monkeypatch.setattr(keywords, "HASHED_CHARS", at_a_time)
+        for size, at, h, owner in keywords._windows(points, ends, [1, 3, 5, 26], everything(16)):
+            want = [(i, t[k : k + size]) for i, t in enumerate(texts.slice(1).to_pylist()) for k in range(len(t) - size + 1)]
+            assert list(zip(owner.tolist(), keywords._strings(points, at, size).to_pylist())) == want
+            assert (h == keywords._hashes(pa.array([w for _, w in want]))).all()
+
+
+def test_a_known_word_is_told_by_its_letters(monkeypatch):
+    rows = pa.table({"word": ["ab", "cd", "ab", "abc"], "category": pa.array(["x", None, "y", "x"])})
+    points, ends = keywords._code_points(pa.array(["abcd", "cdab"]))
+
+    def named(known):
+        return {(known.find(points, at, h, size) >= 0).sum().item() for size, at, h, _ in keywords._windows(points, ends, [2], everything(16))}
+
+    known = keywords._Known.of(rows, "word", "category")
+    assert len(known.hashes) == 3 and named(known) == {4}
+    owner, code, n = known.counts(np.repeat(np.arange(3), 2), np.zeros(6, np.int64))
+    assert {(known.categories[c].as_py(), k) for c, k in zip(code.tolist(), n.tolist())} == {("x", 2), ("y", 1), (None, 1)}
+    monkeypatch.setattr(keywords, "_mixed", lambda h: h * np.uint64(0))
+    assert named(keywords._Known.of(rows, "word", "category")) == {2}
+    assert named(keywords._Known.of(rows.slice(0, 0), "word", "category")) == {0}
+
+
+def test_the_most_frequent_rows_fit_the_table(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, n) for k, n in enumerate([9, 9, 5, 5, 5, 2])], "k int, n bigint")
+    for most, want in ((6, 6), (5, 5), (4, 2), (1, 0)):
+        monkeypatch.setattr(keywords, "KNOWN_ROWS", most)
+        assert keywords._most_often(rows).count() == want
+
+
+def test_keyword_tables_cuts_whole_keywords_only(spark, tmp_path):
+    from catalog.text import keyword_tables
+
+    rnd = random.Random(2)
+    texts = [(i, "".join(rnd.choices("abé日😀", k=n))) for i, n in enumerate([0, 11, 12, 21, 22, 401, 402, 403, 900])] + [(40, None)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    table = [(t[10 * k : 10 * k + 12], i % 4) for i, t in texts if t for k in range(40) if len(t) >= 12 + 10 * k]
+    assert {tuple(r) for r in keyword_tables(spark, str(tmp_path)).collect()} == by_hand(texts, table)
